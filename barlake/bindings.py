@@ -671,10 +671,10 @@ SELECT d.ticker, d.feature_date, d.actual_close, p.predicted_close,
 FROM daily d LEFT JOIN naive p ON p.ticker = d.ticker AND p.prediction_date = d.feature_date""")
 def q_actual_vs_pred(spark, d):
     daily = _daily(spark, d)
-    pred = _naive_predictions(daily)
-    j = daily.join(pred, (daily.ticker == pred.ticker) & (daily.feature_date == pred.prediction_date), "left")
-    return j.select(daily.ticker, daily.feature_date, daily.actual_close, pred.predicted_close,
-                    (daily.actual_close - pred.predicted_close).alias("error"))
+    pred = _naive_predictions(daily).withColumnRenamed("prediction_date", "feature_date")
+    j = daily.join(pred, ["ticker", "feature_date"], "left")
+    return j.select("ticker", "feature_date", "actual_close", "predicted_close",
+                    (F.col("actual_close") - F.col("predicted_close")).alias("error"))
 
 
 @register("predictions_upsert", DAILY_CTE + f""",
