@@ -107,7 +107,7 @@ def _fill_carry(pos_df: DataFrame, keys: list[str], fill_cols: list[str],
                 chunk_rows: int, halo_before: int) -> DataFrame:
     """Per (keys, chunk p): last non-null value of each fill column among the
     key's rows that precede chunk p's halo, i.e. positions < p*chunk_rows - halo."""
-    chunk = F.floor(F.col(POS) / chunk_rows)
+    chunk = F.expr(f"{POS} div {int(chunk_rows)}")
     tail = (F.col(POS) % chunk_rows) >= (chunk_rows - halo_before)
     region = (chunk * 2 + tail.cast("long")).alias("_bl_region")
     aggs = [F.max_by(F.col(c), F.when(F.col(c).isNotNull(), F.col(POS))).alias(c) for c in fill_cols]
@@ -119,7 +119,7 @@ def _fill_carry(pos_df: DataFrame, keys: list[str], fill_cols: list[str],
     )
     # region 2(p-1) (head of chunk p-1) ends right before chunk p's halo.
     return cum.filter(F.col("_bl_region") % 2 == 0).select(
-        *keys, (F.col("_bl_region") / 2 + 1).cast("long").alias(PART),
+        *keys, (F.expr("_bl_region div 2") + 1).alias(PART),
         *[f"_bl_carry_{c}" for c in fill_cols],
     )
 
@@ -170,7 +170,7 @@ def series_windows(
     if b <= max(halo_before, halo_after):
         raise ValueError("chunk_rows must exceed the frame reach")
     pos_df = with_position(df, keys, order)
-    chunk = F.floor(F.col(POS) / b).cast("long")
+    chunk = F.expr(f"{POS} div {int(b)}")
     offset = F.col(POS) % b
     copies = [F.struct(chunk.alias("p"), F.lit(False).alias("h"))]
     if halo_before:
