@@ -14,7 +14,7 @@ from ..functions.time import epoch_nanos_to_timestamp, local_to_utc
 from ..operators.clean import clean_keys, filter_time_window, require_columns
 from ..operators.quality import enforce, quality_metrics, report_row, write_report
 from ..operators.series import moving_average_columns, series_windows
-from ..sources.scan import read_window, scan_partitioned
+from ..sources.scan import dataset_exists, read_window, scan_partitioned
 from ..sources.sinks import publish
 
 OHLC = ("open", "high", "low", "close")
@@ -93,7 +93,7 @@ def run_silver(spark: SparkSession, bronze_root: str, silver_path: str, report_p
     elif mode == "incremental":
         lo = target - dt.timedelta(days=0 if carry_rows else lookback_days)
         raw = normalize_bronze(read_window(spark, bronze_root, "trade_date", lo, target), zone)
-        if carry_rows:
+        if carry_rows and dataset_exists(spark, silver_path):
             history = scan_partitioned(spark, silver_path)
             out = incremental(raw, history, target, **kw)
         else:
