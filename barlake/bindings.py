@@ -548,9 +548,13 @@ def q_silver_full(spark, d):
 def q_silver_incremental(spark, d):
     day = dt.date.fromisoformat(TARGET_DAY)
     bars = _bars(spark, d)
-    history = silver.enrich(bars.filter(F.col("trade_date") < F.lit(TARGET_DAY).cast("date")), chunk_rows=CHUNK_ROWS)
+    # published silver up to the day before, as a partitioned table
+    path = scratch_path(spark, "silver_history")
+    publish(silver.enrich(bars.filter(F.col("trade_date") < F.lit(TARGET_DAY).cast("date")), chunk_rows=CHUNK_ROWS),
+            path, ["trade_date"], mode="full", sort_by=["ticker", "event_time"])
+    history = scan_partitioned(spark, path)
     new = bars.filter(F.col("trade_date") == F.lit(TARGET_DAY).cast("date"))
-    out = silver.incremental(new, history, day, chunk_rows=CHUNK_ROWS)
+    out = silver.incremental(new, history, day, lookback_days=3, chunk_rows=CHUNK_ROWS)
     return out.select("ticker", "event_time", "open", "high", "low", "close", "volume",
                       *[F.round(f"ma{n}", 9).alias(f"ma{n}") for n in MAS], "trade_date")
 

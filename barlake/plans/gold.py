@@ -131,11 +131,26 @@ def validation_snapshot(dim_ticker: DataFrame, dim_date: DataFrame, fact: DataFr
 
 
 def run_gold(spark: SparkSession, silver_path: str, gold_root: str, load_ts: str,
-             start=None, end=None, zone: str = "Asia/Ho_Chi_Minh") -> dict:
+             start=None, end=None, zone: str = "Asia/Ho_Chi_Minh", layout: str = "canonical") -> dict:
     """Load silver rows in [start, end] (default: all) into the gold tables.
     One set-based pass; only the date partitions that receive rows are
-    rewritten in the fact table, so reruns are idempotent."""
-    silver = read_with_path_key(spark, silver_path)
+    rewritten in the fact table, so reruns are idempotent.
+
+    ``canonical``: silver partitioned by trade_date, so the window becomes
+    PartitionFilters (one day of slack on each side: the gold date is the
+    local date of the event, silver's trade_date the bronze date).
+    ``mixed``: historical mixed layouts, read recursively with the key
+    recovered from the path (no pruning possible)."""
+    if layout == "canonical":
+        silver = scan_partitioned(spark, silver_path)
+        if start:
+            silver = silver.filter(F.col("trade_date") >= F.date_sub(F.lit(str(start)).cast("date"), 1))
+        if end:
+            silver = silver.filter(F.col("trade_date") <= F.date_add(F.lit(str(end)).cast("date"), 1))
+    elif layout == "mixed":
+        silver = read_with_path_key(spark, silver_path)
+    else:
+        raise ValueError(f"unknown layout {layout!r}")
     base = gold_base(silver, zone)
     if start:
         base = base.filter(F.col("full_date") >= F.lit(str(start)).cast("date"))

@@ -50,29 +50,88 @@ def enrich(df: DataFrame, key: str = "ticker", time: str = "event_time", windows
     return out.na.drop(subset=list(OHLC))
 
 
+SHORT_KEYS_IN_LIST = 10_000
+
+
 def carry_context(silver: DataFrame, before: dt.date, key: str = "ticker", time: str = "event_time",
-                  rows: int = max(MA_WINDOWS) - 1) -> DataFrame:
+                  rows: int = max(MA_WINDOWS) - 1, lookback_days: int | None = 45,
+                  keys: DataFrame | None = None) -> DataFrame:
     """Last ``rows`` published rows per key strictly before ``before``: enough
-    context for the widest frame, so incremental == full. ``row_number <= k``
-    is planned with a partial WindowGroupLimit (top-k per key inside each
-    task before the shuffle)."""
+    context for the widest frame, so incremental == full.
+
+    Bounded read: only the ``lookback_days`` partitions before ``before`` are
+    scanned (partition pruning). Keys of the new batch (``keys``) that have
+    fewer than ``rows`` rows there (new or sparse series) take their context
+    from the whole history, read with an IN-list on the key so Parquet skips
+    row groups by min/max (files are sorted by key); beyond
+    ``SHORT_KEYS_IN_LIST`` such keys a semi join is used instead.
+    ``row_number() <= rows`` is planned with a partial WindowGroupLimit: each
+    task keeps only its top rows per key before the shuffle.
+    ``lookback_days=None`` reads the whole history."""
+    history = silver.filter(F.col("trade_date") < F.lit(str(before)).cast("date"))
+    if lookback_days is not None:
+        lo = F.lit(str(before - dt.timedelta(days=int(lookback_days)))).cast("date")
+        ranged = history.filter(F.col("trade_date") >= lo)
+        wanted = (keys if keys is not None else ranged).select(key).distinct()
+        counts = ranged.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+        short = (wanted.join(counts, key, "left").filter(F.coalesce(F.col("_n"), F.lit(0)) < rows)
+                 .select(key))
+        n_short = short.count()
+        if n_short == 0:
+            history = ranged
+        else:
+            if n_short <= SHORT_KEYS_IN_LIST:
+                listed = [r[0] for r in short.collect()]
+                deep = history.filter(F.col(key).isin(listed))
+            else:
+                deep = history.join(short, key, "left_semi")
+            history = ranged.join(short, key, "left_anti").unionByName(deep)
     spec = Window.partitionBy(key).orderBy(F.col(time).desc())
     return (
-        silver.filter(F.col("trade_date") < F.lit(str(before)).cast("date"))
-        .withColumn("_bl_rn", F.row_number().over(spec))
+        history.withColumn("_bl_rn", F.row_number().over(spec))
         .filter(F.col("_bl_rn") <= rows)
         .drop("_bl_rn")
     )
 
 
-def incremental(new_rows: DataFrame, history: DataFrame, target_date: dt.date, key: str = "ticker",
-                time: str = "event_time", windows=MA_WINDOWS, **kw) -> DataFrame:
-    """Silver rows of ``target_date`` from its new bars plus carried history."""
-    ctx = carry_context(history, target_date, key, time, max(windows) - 1)
+def incremental(new_rows: DataFrame, history: DataFrame, from_date: dt.date, key: str = "ticker",
+                time: str = "event_time", windows=MA_WINDOWS, lookback_days: int | None = 45,
+                **kw) -> DataFrame:
+    """Silver rows with trade_date >= ``from_date`` from the new bars of those
+    days plus the carried published history before ``from_date``."""
+    ctx = carry_context(history, from_date, key, time, max(windows) - 1, lookback_days,
+                        keys=new_rows.select(key))
     cols = [key, time, "trade_date", *OHLC, "volume"]
     base = ctx.select(*cols).unionByName(new_rows.select(*cols))
     out = enrich(base, key, time, windows, **kw)
-    return out.filter(F.col("trade_date") == F.lit(str(target_date)).cast("date"))
+    return out.filter(F.col("trade_date") >= F.lit(str(from_date)).cast("date"))
+
+
+def run_silver_from(spark: SparkSession, bronze_root: str, silver_path: str, report_path: str,
+                    from_date, run_ts_utc: str, zone: str = "Asia/Ho_Chi_Minh",
+                    lookback_days: int | None = 45, **kw) -> dict:
+    """Recompute every silver day >= ``from_date`` (bronze re-read from that
+    day on, context carried from published silver before it) and dynamically
+    overwrite exactly those days. Idempotent; used for late or re-delivered
+    bronze days and by the streaming driver."""
+    start = dt.date.fromisoformat(str(from_date))
+    raw = normalize_bronze(read_window(spark, bronze_root, "trade_date", start, None), zone)
+    if dataset_exists(spark, silver_path):
+        out = incremental(raw, scan_partitioned(spark, silver_path), start, lookback_days=lookback_days, **kw)
+    else:
+        out = enrich(raw, **kw).filter(F.col("trade_date") >= F.lit(str(start)).cast("date"))
+    out = out.select("ticker", "event_time", *OHLC, "volume", *[f"ma{n}" for n in MA_WINDOWS], "trade_date")
+    from ..operators.series import materialize
+
+    out = materialize(out)
+    metrics_df = quality_metrics(out)
+    metrics = metrics_df.first().asDict()
+    write_report(report_row(metrics_df, run_ts_utc, "incremental", str(start), str(start)), report_path)
+    if metrics["total_rows"] == 0:
+        return metrics
+    enforce(metrics, "incremental")
+    publish(out, silver_path, ["trade_date"], mode="incremental", sort_by=["ticker", "event_time"])
+    return metrics
 
 
 def run_silver(spark: SparkSession, bronze_root: str, silver_path: str, report_path: str,
@@ -96,6 +155,7 @@ def run_silver(spark: SparkSession, bronze_root: str, silver_path: str, report_p
         if carry_rows and dataset_exists(spark, silver_path):
             history = scan_partitioned(spark, silver_path)
             out = incremental(raw, history, target, **kw)
+            out = out.filter(F.col("trade_date") == F.lit(str(target)).cast("date"))
         else:
             out = enrich(raw, **kw).filter(F.col("trade_date") == F.lit(str(target)).cast("date"))
         if start:

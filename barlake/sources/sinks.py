@@ -11,16 +11,20 @@ from pyspark.sql import functions as F
 from ..session import scratch_path
 
 
+MAX_RECORDS_PER_FILE = 4_000_000
+
+
 def _write(df: DataFrame, path: str, partition_by: Sequence[str], mode: str, overwrite_mode: str | None,
            sort_by: Sequence[str] = ()) -> None:
-    partition_by = list(partition_by)
-    if partition_by:
-        # cluster rows of one output partition into one task -> one file per
-        # partition directory per task range, sorted for min/max skipping.
-        df = df.repartition(*[F.col(c) for c in partition_by])
-    if sort_by:
-        df = df.sortWithinPartitions(*partition_by, *sort_by)
-    w = df.write.mode(mode)
+    partition_by, sort_by = list(partition_by), list(sort_by)
+    if partition_by or sort_by:
+        # Range partitioning on (partition columns, sort columns): each task
+        # writes a contiguous slice, so a directory gets few files, and a huge
+        # partition value (one day holding a third of the data) is split over
+        # many tasks by the sampled bounds instead of landing in one.
+        df = df.repartitionByRange(*[F.col(c) for c in partition_by + sort_by]) \
+               .sortWithinPartitions(*partition_by, *sort_by)
+    w = df.write.mode(mode).option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
     if overwrite_mode:
         w = w.option("partitionOverwriteMode", overwrite_mode)
     if partition_by:
