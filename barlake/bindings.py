@@ -127,7 +127,7 @@ silver AS (
 
 
 def _silver(spark, d, ma_round: int | None = 9) -> DataFrame:
-    out = silver.enrich(_bars(spark, d), "ticker", "event_time", MAS, chunk_rows=CHUNK_ROWS)
+    out = silver.enrich(_bars(spark, d), "ticker", "event_time", MAS)
     if ma_round is not None:
         out = out.select(*[F.round(c, ma_round).alias(c) if c.startswith("ma") else F.col(c) for c in out.columns])
     return out.select("ticker", "event_time", "open", "high", "low", "close", "volume",
@@ -174,7 +174,7 @@ features AS (
 
 def _features(spark, d) -> DataFrame:
     dim_t, dim_d, fact = _gold_tables(spark, d)
-    return gold.feature_view(fact, dim_t, dim_d, chunk_rows=CHUNK_ROWS)
+    return gold.feature_view(fact, dim_t, dim_d)
 
 
 # ---------------------------------------------------------------- windows
@@ -550,11 +550,11 @@ def q_silver_incremental(spark, d):
     bars = _bars(spark, d)
     # published silver up to the day before, as a partitioned table
     path = scratch_path(spark, "silver_history")
-    publish(silver.enrich(bars.filter(F.col("trade_date") < F.lit(TARGET_DAY).cast("date")), chunk_rows=CHUNK_ROWS),
+    publish(silver.enrich(bars.filter(F.col("trade_date") < F.lit(TARGET_DAY).cast("date"))),
             path, ["trade_date"], mode="full", sort_by=["ticker", "event_time"])
     history = scan_partitioned(spark, path)
     new = bars.filter(F.col("trade_date") == F.lit(TARGET_DAY).cast("date"))
-    out = silver.incremental(new, history, day, lookback_days=3, chunk_rows=CHUNK_ROWS)
+    out = silver.incremental(new, history, day, lookback_days=3)
     return out.select("ticker", "event_time", "open", "high", "low", "close", "volume",
                       *[F.round(f"ma{n}", 9).alias(f"ma{n}") for n in MAS], "trade_date")
 
@@ -576,7 +576,7 @@ SELECT (SELECT CAST(count(*) AS BIGINT) FROM dim_ticker) AS dim_ticker_count,
        (SELECT CAST(count(*) AS BIGINT) FROM features) AS ml_feature_rows""")
 def q_validation_snapshot(spark, d):
     dim_t, dim_d, fact = _gold_tables(spark, d)
-    return gold.validation_snapshot(dim_t, dim_d, fact, gold.feature_view(fact, dim_t, dim_d, chunk_rows=CHUNK_ROWS))
+    return gold.validation_snapshot(dim_t, dim_d, fact, gold.feature_view(fact, dim_t, dim_d))
 
 
 @register("supervised_set", GOLD_CTES + "\nSELECT * FROM features WHERE target_next_close IS NOT NULL")
@@ -795,8 +795,7 @@ def q_bronze_land(spark, d):
 
     first = delivery(0.0, 1)
     refetch = delivery(0.5, 2).filter(F.col("Trade_date") >= F.lit("2024-01-27").cast("date"))  # daily 3-day overlap
-    landed = dedupe_by_max_struct(first.unionByName(refetch), ["Ticker", "Time"], ["_seq"]).drop("_seq")
-    land_bronze(landed, root)
+    land_bronze(first.unionByName(refetch), root, delivery_order=["_seq"])
     back = silver.normalize_bronze(scan_partitioned(spark, root), zone="UTC")
     return back.select("ticker", "event_time", "trade_date", "close", "volume")
 

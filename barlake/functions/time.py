@@ -65,6 +65,15 @@ def to_price(c, scale: int = 4) -> Column:
     return F.round(_c(c), 9).cast("decimal(38,9)").cast(f"decimal(19,{scale})")
 
 
+def utc_now_second() -> str:
+    """Run timestamp (UTC, floored to the second) to pass into a job as a
+    literal, so every task and rerun sees the same value."""
+    import datetime as _dt
+
+    now = _dt.datetime.now(_dt.timezone.utc).replace(microsecond=0, tzinfo=None)
+    return now.strftime("%Y-%m-%d %H:%M:%S")
+
+
 def date_key(c) -> Column:
     """yyyymmdd integer key of a date/timestamp."""
     d = F.to_date(_c(c))

@@ -7,6 +7,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.time import date_attributes, round_to_second, to_price
 from ..operators.clean import dedupe_by_max_struct
@@ -16,6 +17,49 @@ from ..sources.scan import dataset_exists, read_with_path_key, scan_partitioned
 from ..sources.sinks import publish, staged_overwrite
 
 PRICE = "decimal(19,4)"
+
+# Fixed gold table schemas (the serving layer's DDL, as Spark types).
+DIM_TICKER_SCHEMA = T.StructType([
+    T.StructField("ticker_key", T.LongType(), False),
+    T.StructField("ticker", T.StringType(), False),
+    T.StructField("sector", T.StringType(), True),
+    T.StructField("exchange", T.StringType(), True),
+    T.StructField("is_active", T.BooleanType(), False),
+    T.StructField("created_at", T.TimestampNTZType(), False),
+    T.StructField("updated_at", T.TimestampNTZType(), False),
+])
+DIM_DATE_SCHEMA = T.StructType([
+    T.StructField("date_key", T.IntegerType(), False),
+    T.StructField("full_date", T.DateType(), False),
+    T.StructField("year", T.ShortType(), False),
+    T.StructField("quarter", T.ByteType(), False),
+    T.StructField("month", T.ByteType(), False),
+    T.StructField("day", T.ByteType(), False),
+    T.StructField("day_of_week", T.ByteType(), False),
+    T.StructField("is_weekend", T.BooleanType(), False),
+])
+FACT_PRICES_SCHEMA = T.StructType([
+    T.StructField("ticker_key", T.LongType(), False),
+    T.StructField("date_key", T.IntegerType(), False),
+    T.StructField("event_time", T.TimestampNTZType(), False),
+    *[T.StructField(c, T.DecimalType(19, 4), False) for c in ("open_price", "high_price", "low_price", "close_price")],
+    T.StructField("volume", T.LongType(), False),
+    *[T.StructField(c, T.DecimalType(19, 4), True) for c in ("ma10", "ma20", "ma50", "ma200")],
+    T.StructField("load_ts_utc", T.TimestampNTZType(), False),
+])
+SCHEMAS = {"dim_ticker": DIM_TICKER_SCHEMA, "dim_date": DIM_DATE_SCHEMA, "fact_prices": FACT_PRICES_SCHEMA}
+
+
+def ensure_tables(spark: SparkSession, gold_root: str) -> dict[str, bool]:
+    """Create each gold table as an empty Parquet dataset if it is absent
+    (metadata-only existence check). Returns which ones were created."""
+    created = {}
+    for name, schema in SCHEMAS.items():
+        path = f"{gold_root}/{name}"
+        created[name] = not dataset_exists(spark, path)
+        if created[name]:
+            spark.createDataFrame([], schema).write.mode("overwrite").parquet(path)
+    return created
 MEASURES = ["open_price", "high_price", "low_price", "close_price", "volume", "ma10", "ma20", "ma50", "ma200"]
 FACT_COLUMNS = ["ticker_key", "date_key", "event_time", *MEASURES, "load_ts_utc"]
 DIM_TICKER_COLUMNS = ["ticker_key", "ticker", "sector", "exchange", "is_active", "created_at", "updated_at"]
@@ -106,7 +150,10 @@ def upsert_fact(existing: DataFrame | None, staged: DataFrame) -> DataFrame:
 
 
 def feature_view(fact: DataFrame, dim_ticker: DataFrame, dim_date: DataFrame, **kw) -> DataFrame:
-    """Fact joined to both dimensions plus the next bar's close per ticker."""
+    """Fact joined to both dimensions plus the next bar's close per ticker
+    (bar series are bounded per key, see ``silver.enrich``: direct window by
+    default, ``strategy="chunked"`` available)."""
+    kw.setdefault("strategy", "direct")
     base = (
         fact.join(dim_ticker.select("ticker_key", "ticker"), "ticker_key")
         .join(dim_date.select("date_key", F.col("full_date").alias("feature_date")), "date_key")
@@ -169,8 +216,15 @@ def run_gold(spark: SparkSession, silver_path: str, gold_root: str, load_ts: str
     old_date = spark.read.parquet(paths["dim_date"]) if exists["dim_date"] else None
     new_date = staged_dates if old_date is None else upsert(old_date, staged_dates, ["date_key"])
     new_date = materialize(new_date.select(*DIM_DATE_COLUMNS))
+    # dims are published before the fact (their new versions are already
+    # materialised), so a fact row never references a missing key.
+    publish(new_ticker, paths["dim_ticker"])
+    publish(new_date, paths["dim_date"])
     staged_fact = fact_rows(base, new_ticker, new_date, load_ts)
     if exists["fact_prices"]:
+        # only the date partitions that receive rows are read (the semi join on
+        # the partition column is planned with dynamic partition pruning) and
+        # rewritten through a staging copy.
         touched = staged_fact.select("date_key").distinct()
         old_fact = spark.read.parquet(paths["fact_prices"]).join(touched, "date_key", "left_semi")
         merged = upsert_fact(old_fact, staged_fact)
@@ -178,9 +232,6 @@ def run_gold(spark: SparkSession, silver_path: str, gold_root: str, load_ts: str
     else:
         publish(upsert_fact(None, staged_fact), paths["fact_prices"], ["date_key"], mode="incremental",
                 sort_by=["ticker_key", "event_time"])
-    # dims: rewrite in full from the materialised new version (small tables).
-    publish(new_ticker, paths["dim_ticker"])
-    publish(new_date, paths["dim_date"])
     dt_ = spark.read.parquet(paths["dim_ticker"])
     dd = spark.read.parquet(paths["dim_date"])
     fp = scan_partitioned(spark, paths["fact_prices"])

@@ -37,10 +37,16 @@ def normalize_bronze(df: DataFrame, zone: str = "Asia/Ho_Chi_Minh") -> DataFrame
 
 
 def enrich(df: DataFrame, key: str = "ticker", time: str = "event_time", windows=MA_WINDOWS,
-           strategy: str = "chunked", chunk_rows: int | None = None, nan_as_null: bool = True,
+           strategy: str = "direct", chunk_rows: int | None = None, nan_as_null: bool = True,
            tie_break: Sequence[str] = ()) -> DataFrame:
     """Clean keys, default volume, forward-fill OHLC, moving averages of the
-    filled close, then drop rows still lacking OHLC. One ordered pass."""
+    filled close, then drop rows still lacking OHLC. One ordered pass.
+
+    Silver rows are bars: a key has at most one per interval, so a series is
+    bounded by its time span (<= 8,784 hourly bars per key and year) however
+    skewed the raw rows were (the bar aggregation absorbs that skew map-side).
+    Hence ``direct`` (one exchange) by default; ``chunked`` for sub-minute
+    bars over long histories or any unbounded per-row series."""
     cleaned = clean_keys(df, key, time, defaults={"volume": 0})
     out = series_windows(
         cleaned, [key], [time, *tie_break], fill_cols=OHLC,

@@ -58,8 +58,14 @@ def staged_overwrite(df: DataFrame, path: str, partition_by: Sequence[str], sort
 
 
 def land_bronze(df: DataFrame, path: str, key: str = "Ticker", time: str = "Time",
-                date_col: str = "Trade_date") -> None:
-    """One Parquet file per (date, key), rows sorted by time, de-duplicated on
-    (key, time) keeping the last delivered row; re-landing a (date, key)
-    replaces just that partition (dynamic overwrite)."""
+                date_col: str = "Trade_date", delivery_order: Sequence[str] = ()) -> None:
+    """Bronze landing partitioned by (date, key), rows sorted by time. With
+    ``delivery_order`` (e.g. a fetch sequence column) rows are first
+    de-duplicated on (key, time), keeping the last delivered one, and those
+    columns are dropped. Re-landing a (date, key) replaces just that
+    partition (dynamic overwrite)."""
+    if delivery_order:
+        from ..operators.clean import dedupe_by_max_struct
+
+        df = dedupe_by_max_struct(df, [key, time], list(delivery_order)).drop(*delivery_order)
     _write(df, path, [date_col, key], "overwrite", "dynamic", [time])

@@ -42,23 +42,23 @@ def test_bronze_silver_gold(spark, tmp_root):
     bronze, full, inc = f"{tmp_root}/bronze", f"{tmp_root}/silver_full", f"{tmp_root}/silver_inc"
     report, groot = f"{tmp_root}/report", f"{tmp_root}/gold"
     _land(spark, bronze, events)
-    m = silver.run_silver(spark, bronze, full, report, "full", "2024-01-30", RUN_TS, chunk_rows=257)
+    m = silver.run_silver(spark, bronze, full, report, "full", "2024-01-30", RUN_TS, strategy="chunked", chunk_rows=257)
     assert m["total_rows"] > 0 and m["duplicate_key_count"] == 0 and m["ohlc_null_count"] == 0
 
     # incremental: days up to 01-19 published, then 01-20 processed alone with carried rows
-    silver.run_silver(spark, bronze, inc, report, "full", "2024-01-19", RUN_TS, chunk_rows=257)
+    silver.run_silver(spark, bronze, inc, report, "full", "2024-01-19", RUN_TS, strategy="chunked", chunk_rows=257)
     pruned = scan_partitioned(spark, inc).filter(F.col("trade_date") <= F.lit("2024-01-19").cast("date"))
     staged = f"{tmp_root}/silver_inc2"
     publish(pruned, staged, ["trade_date"], mode="full")
     for _ in range(2):  # rerun is idempotent
-        silver.run_silver(spark, bronze, staged, report, "incremental", "2024-01-20", RUN_TS, chunk_rows=257)
+        silver.run_silver(spark, bronze, staged, report, "incremental", "2024-01-20", RUN_TS, strategy="chunked", chunk_rows=257)
     assert _silver_rows(spark, staged, "2024-01-20") == _silver_rows(spark, full, "2024-01-20")
     assert len(_silver_rows(spark, staged, "2024-01-20")) > 0
 
     # a short lookback instead of carried rows gives different MA200 (guards the test above)
     short = f"{tmp_root}/silver_short"
     silver.run_silver(spark, bronze, short, report, "incremental", "2024-01-20", RUN_TS, carry_rows=False,
-                      lookback_days=1, chunk_rows=257)
+                      lookback_days=1, strategy="chunked", chunk_rows=257)
     assert _silver_rows(spark, short, "2024-01-20") != _silver_rows(spark, full, "2024-01-20")
 
     # the report was appended once per run (5 runs), all partitions readable

@@ -16,12 +16,12 @@ def test_stream_matches_full(spark, tmp_root):
     bronze, streamed, full = f"{tmp_root}/bronze", f"{tmp_root}/silver_stream", f"{tmp_root}/silver_full"
     report, ckpt = f"{tmp_root}/report", f"{tmp_root}/ckpt"
     _land(spark, bronze, events.filter(F.col("ts") < F.lit("2024-01-12").cast("timestamp_ntz")))
-    q = start_silver_stream(spark, bronze, streamed, report, RUN_TS, checkpoint=ckpt, chunk_rows=257, lookback_days=3)
+    q = start_silver_stream(spark, bronze, streamed, report, RUN_TS, checkpoint=ckpt, strategy="chunked", chunk_rows=257, lookback_days=3)
     q.awaitTermination()
     # second landing: later days plus day 2024-01-11 re-delivered
     _land(spark, bronze, events.filter(F.col("ts") >= F.lit("2024-01-11").cast("timestamp_ntz")))
-    q = start_silver_stream(spark, bronze, streamed, report, RUN_TS, checkpoint=ckpt, chunk_rows=257, lookback_days=3)
+    q = start_silver_stream(spark, bronze, streamed, report, RUN_TS, checkpoint=ckpt, strategy="chunked", chunk_rows=257, lookback_days=3)
     q.awaitTermination()
-    silver.run_silver(spark, bronze, full, report, "full", "2024-01-30", RUN_TS, chunk_rows=257)
+    silver.run_silver(spark, bronze, full, report, "full", "2024-01-30", RUN_TS, strategy="chunked", chunk_rows=257)
     assert _silver_rows(spark, streamed) == _silver_rows(spark, full)
     assert scan_partitioned(spark, streamed).count() > 0
