@@ -25,7 +25,7 @@ from .functions.time import date_attributes, date_key, local_to_utc, parse_time_
 from .operators.bars import build_bars
 from .operators.clean import (
     clean_keys,
-    dedupe_by_max_struct,
+    dedupe_keep_last,
     filter_time_window,
     normalize_schema,
     universe_filter,
@@ -139,7 +139,10 @@ SILVER_RAW_CTES = "WITH " + BARS_CTE + "," + _fill_ma_ctes("bars", None)
 
 
 def _gold_tables(spark, d):
-    base = gold.gold_base(_silver(spark, d, None), zone="UTC")
+    from .operators.series import materialize
+
+    # dims and fact all derive from the base: computed once (as in run_gold)
+    base = materialize(gold.gold_base(_silver(spark, d, None), zone="UTC"))
     dim_t = gold.ticker_dim(None, base.select("ticker"), LOAD_TS)
     dim_d = gold.date_dim(base)
     fact = gold.upsert_fact(None, gold.fact_rows(base, dim_t, dim_d, LOAD_TS))
@@ -299,7 +302,7 @@ SELECT * EXCLUDE (rn) FROM (
   FROM lineitem) WHERE rn = 1""")
 def q_dedupe_keep_last(spark, d):
     li = table(spark, d, "lineitem")
-    return dedupe_by_max_struct(li, ["l_orderkey", "l_linenumber"],
+    return dedupe_keep_last(li, ["l_orderkey", "l_linenumber"],
                                 ["l_shipdate", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity",
                                  "l_discount", "l_tax", "l_returnflag", "l_linestatus"])
 

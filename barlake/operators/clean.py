@@ -77,8 +77,11 @@ def dedupe_keep_last(df: DataFrame, keys, order: Sequence[Column | str]) -> Data
     """Keep one row per key: the last by ``order`` (a list of columns, all
     compared descending; give enough tie-breakers for a total order).
 
-    ``row_number() == 1`` lets Catalyst insert a WindowGroupLimit, which keeps
-    only the top row per key inside each task before the shuffle."""
+    ``row_number() == 1`` is planned as WindowGroupLimit(Partial) -> Exchange
+    -> WindowGroupLimit(Final): every map task forwards at most one row per
+    key, so a hot key costs no more shuffle than any other (and all columns
+    stay in Tungsten rows, unlike a max(struct) aggregate that falls back to
+    sort-based aggregation)."""
     keys = [keys] if isinstance(keys, str) else list(keys)
     spec = Window.partitionBy(*keys).orderBy(*[
         (F.col(c) if isinstance(c, str) else c).desc_nulls_last() for c in order
@@ -86,16 +89,6 @@ def dedupe_keep_last(df: DataFrame, keys, order: Sequence[Column | str]) -> Data
     return df.withColumn("_bl_rn", F.row_number().over(spec)).filter("_bl_rn = 1").drop("_bl_rn")
 
 
-def dedupe_by_max_struct(df: DataFrame, keys, order: Sequence[str]) -> DataFrame:
-    """Same result as :func:`dedupe_keep_last` but as an aggregate: the winning
-    row is ``max(struct(order..., row))`` per key. Partial aggregation makes it
-    skew-proof for hot keys (one row per key leaves each task)."""
-    keys = [keys] if isinstance(keys, str) else list(keys)
-    rest = [c for c in df.columns if c not in keys]
-    best = F.max(F.struct(*[F.col(c) for c in order], F.struct(*[F.col(c) for c in rest]).alias("_r")))
-    return df.groupBy(*keys).agg(best.alias("_bl_best")).select(*keys, "_bl_best._r.*").select(*df.columns)
-
-
 def universe_filter(listing: DataFrame, symbol: str, conditions: Mapping[str, object]) -> DataFrame:
     """Distinct non-null symbols whose attributes equal ``conditions``."""
     cond = F.lit(True)

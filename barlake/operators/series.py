@@ -44,6 +44,7 @@ _PID = "_bl_pid"
 _OFF = "_bl_off"
 
 DEFAULT_CHUNK_ROWS = 1 << 20
+MAX_LITERAL_OFFSETS = 20_000
 
 
 def _names(cols) -> list[str]:
@@ -70,7 +71,11 @@ def materialize(df: DataFrame, how: str = "checkpoint") -> DataFrame:
     from ..session import work_dir
 
     work_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    # cache first: writing the checkpoint would otherwise recompute the input
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    out = cached.checkpoint(eager=True)
+    cached.unpersist()
+    return out
 
 
 def with_position(df: DataFrame, keys, order, num_partitions: int | None = None,
@@ -93,11 +98,21 @@ def with_position(df: DataFrame, keys, order, num_partitions: int | None = None,
     )
     ranged = materialize(ranged, how)
     sizes = ranged.groupBy(_PID).agg(F.count(F.lit(1)).alias("_bl_n"))
+    if n <= MAX_LITERAL_OFFSETS:
+        # n numbers (one per range partition) -> a literal array lookup
+        counts = dict(sizes.collect())
+        starts, acc = [], 0
+        for p in range(max(counts, default=-1) + 1):
+            starts.append(acc)
+            acc += counts.get(p, 0)
+        start = F.element_at(F.array(*[F.lit(x).cast("long") for x in starts] or [F.lit(0).cast("long")]),
+                             F.col(_PID) + 1)
+        return ranged.withColumn(POS, start + F.col(_OFF)).drop(_PID, _OFF)
     # one row per partition (bounded by n): a global window here is tiny.
     before = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select(_PID, F.coalesce(F.sum("_bl_n").over(before), F.lit(0)).alias("_bl_start"))
+    starts_df = sizes.select(_PID, F.coalesce(F.sum("_bl_n").over(before), F.lit(0)).alias("_bl_start"))
     return (
-        ranged.join(F.broadcast(starts), _PID)
+        ranged.join(F.broadcast(starts_df), _PID)
         .withColumn(POS, F.col("_bl_start") + F.col(_OFF))
         .drop(_PID, _OFF, "_bl_start")
     )

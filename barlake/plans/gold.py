@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.time import date_attributes, round_to_second, to_price
-from ..operators.clean import dedupe_by_max_struct
+from ..operators.clean import dedupe_keep_last
 from ..operators.series import lead_target
 from ..operators.upsert import assign_keys, upsert
 from ..sources.scan import dataset_exists, read_with_path_key, scan_partitioned
@@ -81,7 +81,7 @@ def gold_base(silver: DataFrame, zone: str = "Asia/Ho_Chi_Minh") -> DataFrame:
         *[F.col(c).cast("double").alias(c) for c in ("ma10", "ma20", "ma50", "ma200")],
     ).withColumn("full_date", F.to_date("event_time"))
     base = base.na.drop(subset=["ticker", "event_time", "full_date"])
-    return dedupe_by_max_struct(base, ["ticker", "event_time"], MEASURES)
+    return dedupe_keep_last(base, ["ticker", "event_time"], MEASURES)
 
 
 def date_dim(df: DataFrame, date_col: str = "full_date") -> DataFrame:
@@ -138,7 +138,7 @@ def fact_rows(base: DataFrame, dim_ticker: DataFrame, dim_date: DataFrame, load_
 def dedupe_fact(fact: DataFrame) -> DataFrame:
     """Two bars that round to the same second collide on the fact key; keep the
     one with the largest measures (deterministic)."""
-    return dedupe_by_max_struct(fact, ["ticker_key", "event_time"], [*MEASURES, "date_key"])
+    return dedupe_keep_last(fact, ["ticker_key", "event_time"], [*MEASURES, "date_key"])
 
 
 def upsert_fact(existing: DataFrame | None, staged: DataFrame) -> DataFrame:

@@ -65,7 +65,7 @@ def land_bronze(df: DataFrame, path: str, key: str = "Ticker", time: str = "Time
     columns are dropped. Re-landing a (date, key) replaces just that
     partition (dynamic overwrite)."""
     if delivery_order:
-        from ..operators.clean import dedupe_by_max_struct
+        from ..operators.clean import dedupe_keep_last
 
-        df = dedupe_by_max_struct(df, [key, time], list(delivery_order)).drop(*delivery_order)
+        df = dedupe_keep_last(df, [key, time], list(delivery_order)).drop(*delivery_order)
     _write(df, path, [date_col, key], "overwrite", "dynamic", [time])
