@@ -834,8 +834,8 @@ SELECT CAST(floor(datediff('day', lo, d) / 93) AS INTEGER) AS slice_id,
 FROM x, lo GROUP BY 1, 2""")
 def q_batch_slices(spark, d):
     o = table(spark, d, "orders").select(F.to_date("o_orderdate").alias("d"))
-    lo = o.agg(F.min("d").alias("lo"))
-    x = o.crossJoin(F.broadcast(lo))  # one-row side
+    lo = o.agg(F.min("d")).first()[0]  # one date: the load window start
+    x = o.withColumn("lo", F.lit(lo).cast("date"))
     sid = F.floor(F.datediff("d", "lo") / 93).cast("int")
     return x.groupBy(sid.alias("slice_id"), F.date_add("lo", sid * 93).alias("slice_start")).agg(
         F.count(F.lit(1)).cast("long").alias("n_rows"), F.countDistinct("d").cast("long").alias("n_days"))

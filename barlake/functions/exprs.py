@@ -28,3 +28,12 @@ def is_blank(c) -> Column:
 def blank_to_null(c) -> Column:
     col = _c(c)
     return F.when(is_blank(col), F.lit(None).cast("string")).otherwise(col)
+
+
+def combine_one_row(*frames):
+    """Several one-row aggregates with distinct column names -> one row
+    (union of the rows, then a global max per column; no join)."""
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f, allowMissingColumns=True)
+    return out.agg(*[F.max(c).alias(c) for c in out.columns])

@@ -23,9 +23,9 @@ def time_split_cut(df: DataFrame, date_key: str = "date_key", fraction: float =
 
 def time_split(df: DataFrame, date_key: str = "date_key", fraction: float = 0.8) -> DataFrame:
     """Label rows train (date <= cut) / test, ordered in time — no random split.
-    The cut is a one-row table joined to every row (broadcast of 1 row)."""
-    cut = time_split_cut(df, date_key, fraction)
-    return df.crossJoin(F.broadcast(cut)).withColumn(
+    The cut (one number from an aggregate over distinct dates) becomes a literal."""
+    cut = time_split_cut(df, date_key, fraction).first()["cut_key"]
+    return df.withColumn("cut_key", F.lit(cut).cast("int")).withColumn(
         "split", F.when(F.col(date_key) <= F.col("cut_key"), "train").otherwise("test")
     )
 

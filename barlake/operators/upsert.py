@@ -76,9 +76,8 @@ def assign_keys(existing: DataFrame | None, members: DataFrame, natural: Sequenc
         kept = None
     else:
         new = members.join(existing.select(*natural), natural, "left_anti")
-        top = existing.agg(F.coalesce(F.max(key), F.lit(0)).cast("long").alias("_bl_max"))
-        new = new.crossJoin(top)  # 1-row side
-        base = F.col("_bl_max")
+        top = existing.agg(F.coalesce(F.max(key), F.lit(0)).cast("long")).first()[0]  # one number
+        base = F.lit(top).cast("long")
         kept = existing.select(*natural, F.col(key).cast("long").alias(key))
     ranked = with_position(new, [], natural, how=how)
     fresh = ranked.select(*natural, (base + F.col(POS) + 1).cast("long").alias(key))

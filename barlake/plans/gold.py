@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.exprs import combine_one_row
 from ..functions.time import date_attributes, round_to_second, to_price
 from ..operators.clean import dedupe_keep_last
 from ..operators.series import lead_target
@@ -171,9 +172,7 @@ def validation_snapshot(dim_ticker: DataFrame, dim_date: DataFrame, fact: DataFr
         fact.agg(F.count(F.lit(1)).alias("fact_prices_count")),
         view.agg(F.count(F.lit(1)).alias("ml_feature_rows")),
     ]
-    out = counts[0]
-    for c in counts[1:]:
-        out = out.crossJoin(c)
+    out = combine_one_row(*counts)
     return out.select(*[F.col(c).cast("long") for c in out.columns])
 
 
