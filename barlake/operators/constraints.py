@@ -18,8 +18,10 @@ def check_constraints(
     not_null: Sequence[str] = (),
     fks: Mapping[str, tuple[DataFrame, str]] | None = None,
 ) -> DataFrame:
-    """Rows (table, check, violations). FK checks are left-anti joins against
-    the referenced key set (distinct first, so the anti join sees one row per key)."""
+    """Rows (table, check, violations). FK checks first reduce the child to
+    (value, row count) with a partial aggregation — a hot foreign-key value
+    leaves each task as one row — then left-anti join the referenced key set
+    (distinct) and sum the counts of the orphans."""
     spark = df.sparkSession
     parts = []
     if pk:
@@ -33,8 +35,9 @@ def check_constraints(
                                 F.expr(f"stack({len(not_null)}, {stack}) as (check_name, violations)")))
     for col, (ref, ref_col) in (fks or {}).items():
         keys = ref.select(F.col(ref_col).alias(col)).distinct()
-        orphans = df.filter(F.col(col).isNotNull()).join(keys, col, "left_anti")
-        parts.append(orphans.agg(F.count(F.lit(1)).alias("violations")).select(
+        values = df.filter(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("_n"))
+        orphans = values.join(keys, col, "left_anti")
+        parts.append(orphans.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("violations")).select(
             F.lit(name).alias("table_name"), F.lit(f"fk:{col}").alias("check_name"), "violations"))
     out = parts[0]
     for p in parts[1:]:

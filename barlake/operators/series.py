@@ -14,7 +14,8 @@ Two physical strategies produce identical rows:
      offset inside the partition are recorded, then the sorted table is
      checkpointed so every later branch sees the same partitioning;
   2. the global position ``pos`` = rows in earlier partitions + offset
-     (a P-row offsets table, P = partition count, broadcast);
+     (P numbers, P = partition count: a literal array, or a broadcast table
+     beyond ``MAX_LITERAL_OFFSETS``);
   3. ``chunk = pos div chunk_rows``. The last ``halo_before`` rows of each
      chunk are copied into the next chunk (frames reaching back) and the first
      ``halo_after`` rows into the previous one (``lead``);
