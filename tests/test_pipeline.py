@@ -115,3 +115,16 @@ def test_windows(spark):
         load_window(df, "d", start="2026-03-01")
     sl = batch_slices(dt.date(2026, 1, 5), dt.date(2026, 2, 20), 31)
     assert sl == [(dt.date(2026, 1, 5), dt.date(2026, 2, 4)), (dt.date(2026, 2, 5), dt.date(2026, 2, 20))]
+
+
+def test_cli_silver_and_gold(spark, tmp_root):
+    from barlake import cli
+
+    _land(spark, f"{tmp_root}/bronze", table(spark, SF001, "events"))
+    m = cli.main(["silver", "--bronze", f"{tmp_root}/bronze", "--silver", f"{tmp_root}/silver",
+                  "--report", f"{tmp_root}/report", "--mode", "full", "--target-date", "2024-01-30"])
+    assert m["total_rows"] > 0
+    snap = cli.main(["gold", "--silver", f"{tmp_root}/silver", "--gold", f"{tmp_root}/gold", "--batch-days", "10"])
+    assert snap["fact_prices_count"] == m["total_rows"] == snap["ml_feature_rows"]
+    with pytest.raises(SystemExit):
+        cli.main(["gold", "--silver", "x", "--gold", "y", "--start-date", "2024-02-01", "--end-date", "2024-01-01"])
