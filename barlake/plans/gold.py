@@ -18,6 +18,7 @@ from ..sources.scan import dataset_exists, read_with_path_key, scan_partitioned
 from ..sources.sinks import publish, staged_overwrite
 
 PRICE = "decimal(19,4)"
+MAX_TOUCHED_DAYS = 20_000
 
 # Fixed gold table schemas (the serving layer's DDL, as Spark types).
 DIM_TICKER_SCHEMA = T.StructType([
@@ -221,11 +222,17 @@ def run_gold(spark: SparkSession, silver_path: str, gold_root: str, load_ts: str
     publish(new_date, paths["dim_date"])
     staged_fact = fact_rows(base, new_ticker, new_date, load_ts)
     if exists["fact_prices"]:
-        # only the date partitions that receive rows are read (the semi join on
-        # the partition column is planned with dynamic partition pruning) and
-        # rewritten through a staging copy.
+        # only the date partitions that receive rows are read and rewritten
+        # (through a staging copy). Touched days are bounded by the calendar
+        # (<= 366 per loaded year), so they become a literal IN list: static
+        # PartitionFilters on date_key, no scan of untouched days.
         touched = staged_fact.select("date_key").distinct()
-        old_fact = spark.read.parquet(paths["fact_prices"]).join(touched, "date_key", "left_semi")
+        fact_all = spark.read.parquet(paths["fact_prices"])
+        if touched.count() <= MAX_TOUCHED_DAYS:
+            keys = [r[0] for r in touched.collect()]
+            old_fact = fact_all.filter(F.col("date_key").isin(keys))
+        else:
+            old_fact = fact_all.join(touched, "date_key", "left_semi")
         merged = upsert_fact(old_fact, staged_fact)
         staged_overwrite(merged, paths["fact_prices"], ["date_key"], sort_by=["ticker_key", "event_time"])
     else:
