@@ -153,7 +153,8 @@ def _price_sql(c: str) -> str:
     return f"CAST(CAST(round({c}, 9) AS DECIMAL(38,9)) AS DECIMAL(19,4))"
 
 
-GOLD_CTES = SILVER_RAW_CTES + f""",
+def _gold_ctes(silver_ctes: str) -> str:
+    return silver_ctes + f""",
 dim_ticker AS (SELECT CAST(row_number() OVER (ORDER BY ticker) AS BIGINT) AS ticker_key, ticker
                FROM (SELECT DISTINCT ticker FROM silver)),
 dim_date AS (SELECT DISTINCT CAST(strftime(trade_date, '%Y%m%d') AS INTEGER) AS date_key, trade_date AS full_date
@@ -175,6 +176,9 @@ features AS (
   FROM fact f JOIN dim_ticker t ON t.ticker_key = f.ticker_key JOIN dim_date d ON d.date_key = f.date_key)"""
 
 
+GOLD_CTES = _gold_ctes(SILVER_RAW_CTES)
+
+
 def _features(spark, d) -> DataFrame:
     dim_t, dim_d, fact = _gold_tables(spark, d)
     return gold.feature_view(fact, dim_t, dim_d)
@@ -842,3 +846,88 @@ def q_batch_slices(spark, d):
     sid = F.floor(F.datediff("d", "lo") / 93).cast("int")
     return x.groupBy(sid.alias("slice_id"), F.date_add("lo", sid * 93).alias("slice_start")).agg(
         F.count(F.lit(1)).cast("long").alias("n_rows"), F.countDistinct("d").cast("long").alias("n_days"))
+
+
+# ---------------------------------------------------------------- end-to-end pipelines (written tables)
+
+GAP_BARS_CTE = """
+bars AS (
+  SELECT ticker, event_time,
+         CASE WHEN hour(event_time) % 5 = 0 THEN NULL ELSE open END AS open,
+         CASE WHEN hour(event_time) % 5 = 0 THEN NULL ELSE high END AS high,
+         CASE WHEN hour(event_time) % 5 = 0 THEN NULL ELSE low END AS low,
+         CASE WHEN hour(event_time) % 5 = 0 THEN NULL ELSE close END AS close, volume
+  FROM (SELECT event_type AS ticker, date_trunc('hour', ts) AS event_time,
+               arg_min(value, (ts, event_id)) AS open, max(value) AS high, min(value) AS low,
+               arg_max(value, (ts, event_id)) AS close, count(*) AS volume
+        FROM events GROUP BY 1, 2))"""
+PIPE_SILVER_CTES = "WITH " + GAP_BARS_CTE + "," + _fill_ma_ctes("bars")
+PIPE_GOLD_CTES = _gold_ctes("WITH " + GAP_BARS_CTE + "," + _fill_ma_ctes("bars", None))
+RUN_TS = "2024-02-01T00:00:00Z"
+
+
+def _land_events_bronze(spark, d, root: str, before: str | None = None, since: str | None = None) -> None:
+    """Hourly bars of events landed as vendor bronze (naive ns time); a gap
+    hour (hour % 5 == 0) is a bar whose four prices are all missing."""
+    e = _events(spark, d)
+    if before:
+        e = e.filter(F.col("ts") < F.lit(before).cast("timestamp_ntz"))
+    if since:
+        e = e.filter(F.col("ts") >= F.lit(since).cast("timestamp_ntz"))
+    bars = build_bars(e, ["event_type"], "ts", "value", None, "1 hour", tie_break=["event_id"], bar_time="t")
+    gap = F.hour("t") % 5 == 0
+    micros = F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', t)")
+    land_bronze(bars.select(
+        F.col("event_type").alias("Ticker"), (micros * 1000).alias("Time"),
+        *[F.when(gap, F.lit(None).cast("double")).otherwise(F.col(c.lower())).alias(c)
+          for c in ("Open", "High", "Low", "Close")],
+        F.col("volume").alias("Volume"), F.to_date("t").alias("Trade_date")), root)
+
+
+def _published_silver(spark, path: str) -> DataFrame:
+    out = scan_partitioned(spark, path)
+    return out.select("ticker", "event_time", "open", "high", "low", "close", "volume",
+                      *[F.round(f"ma{n}", 9).alias(f"ma{n}") for n in MAS], F.col("trade_date").cast("date"))
+
+
+def _run_pipeline_silver(spark, d) -> str:
+    root = scratch_path(spark, "pipeline")
+    _land_events_bronze(spark, d, f"{root}/bronze")
+    silver.run_silver(spark, f"{root}/bronze", f"{root}/silver", f"{root}/report", "full", "2024-01-30",
+                      RUN_TS, zone="UTC")
+    return root
+
+
+@register("pipeline_silver_full", PIPE_SILVER_CTES + "\nSELECT * FROM silver")
+def q_pipeline_silver_full(spark, d):
+    """bronze landing -> run_silver(full): report, gate, static publish."""
+    return _published_silver(spark, f"{_run_pipeline_silver(spark, d)}/silver")
+
+
+@register("pipeline_silver_incremental", PIPE_SILVER_CTES + f"\nSELECT * FROM silver WHERE trade_date = DATE '{TARGET_DAY}'")
+def q_pipeline_silver_incremental(spark, d):
+    """Days before the target landed and published in full; then the target
+    day lands and run_silver(incremental) carries context from the published
+    table (dynamic overwrite of that day only)."""
+    root = scratch_path(spark, "pipeline_inc")
+    _land_events_bronze(spark, d, f"{root}/bronze", before=TARGET_DAY)
+    silver.run_silver(spark, f"{root}/bronze", f"{root}/silver", f"{root}/report", "full", TARGET_DAY, RUN_TS,
+                      zone="UTC")
+    _land_events_bronze(spark, d, f"{root}/bronze", since=TARGET_DAY)
+    silver.run_silver(spark, f"{root}/bronze", f"{root}/silver", f"{root}/report", "incremental", TARGET_DAY,
+                      RUN_TS, zone="UTC", lookback_days=3)
+    out = _published_silver(spark, f"{root}/silver")
+    return out.filter(F.col("trade_date") == F.lit(TARGET_DAY).cast("date"))
+
+
+@register("pipeline_gold_features", PIPE_GOLD_CTES + "\nSELECT * FROM features")
+def q_pipeline_gold_features(spark, d):
+    """run_silver(full) -> run_gold twice (second run upserts the same rows)
+    -> feature view over the published gold tables."""
+    root = _run_pipeline_silver(spark, d)
+    for _ in range(2):
+        gold.run_gold(spark, f"{root}/silver", f"{root}/gold", LOAD_TS, zone="UTC")
+    dim_t = spark.read.parquet(f"{root}/gold/dim_ticker")
+    dim_d = spark.read.parquet(f"{root}/gold/dim_date")
+    fact = scan_partitioned(spark, f"{root}/gold/fact_prices").withColumn("date_key", F.col("date_key").cast("int"))
+    return gold.feature_view(fact, dim_t, dim_d)
