@@ -81,8 +81,10 @@ def main(argv=None) -> dict:
             for a, b in batch_slices(lo, hi, args.batch_days):
                 try:
                     out = gold.run_gold(spark, args.silver, args.gold, run_ts, a, b, args.zone, args.layout)
-                except RuntimeError:  # empty slice
+                except RuntimeError:  # empty slice: skipped
                     continue
+            if not out:
+                raise SystemExit("no gold batch was loaded; check the window and the silver data")
     else:
         from .streaming import start_silver_stream
 
