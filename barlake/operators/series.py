@@ -140,6 +140,34 @@ def _fill_carry(pos_df: DataFrame, keys: list[str], fill_cols: list[str],
     )
 
 
+def _with_copies(pos_df: DataFrame, b: int, halo_before: int, halo_after: int) -> DataFrame:
+    """Each row tagged with its chunk (``PART``), plus halo copies: the last
+    ``halo_before`` rows of a chunk into the next, the first ``halo_after``
+    into the previous one (``HALO`` = True)."""
+    chunk = F.expr(f"{POS} div {int(b)}")
+    offset = F.col(POS) % b
+    copies = [F.struct(chunk.alias("p"), F.lit(False).alias("h"))]
+    if halo_before:
+        copies.append(F.when(offset >= b - halo_before, F.struct((chunk + 1).alias("p"), F.lit(True).alias("h"))))
+    if halo_after:
+        copies.append(F.when((offset < halo_after) & (chunk > 0),
+                             F.struct((chunk - 1).alias("p"), F.lit(True).alias("h"))))
+    exploded = pos_df.select("*", F.explode(F.filter(F.array(*copies), lambda x: x.isNotNull())).alias("_bl_copy"))
+    return exploded.select(
+        *[c for c in pos_df.columns], F.col("_bl_copy.p").alias(PART), F.col("_bl_copy.h").alias(HALO)
+    )
+
+
+def chunk_layout(df: DataFrame, keys, order, chunk_rows: int, halo_before: int = 0,
+                 halo_after: int = 0) -> DataFrame:
+    """Rows per window partition (keys, chunk) of the chunked strategy, halo
+    copies included: the unit of work of one task. Inspection helper."""
+    keys, order = _names(keys), _names(order)
+    pos_df = with_position(df, keys, order)
+    return _with_copies(pos_df, chunk_rows, halo_before, halo_after).groupBy(*keys, PART).agg(
+        F.count(F.lit(1)).alias("rows"))
+
+
 def series_windows(
     df: DataFrame,
     keys,
@@ -186,18 +214,7 @@ def series_windows(
     if b <= max(halo_before, halo_after):
         raise ValueError("chunk_rows must exceed the frame reach")
     pos_df = with_position(df, keys, order)
-    chunk = F.expr(f"{POS} div {int(b)}")
-    offset = F.col(POS) % b
-    copies = [F.struct(chunk.alias("p"), F.lit(False).alias("h"))]
-    if halo_before:
-        copies.append(F.when(offset >= b - halo_before, F.struct((chunk + 1).alias("p"), F.lit(True).alias("h"))))
-    if halo_after:
-        copies.append(F.when((offset < halo_after) & (chunk > 0),
-                             F.struct((chunk - 1).alias("p"), F.lit(True).alias("h"))))
-    exploded = pos_df.select("*", F.explode(F.filter(F.array(*copies), lambda x: x.isNotNull())).alias("_bl_copy"))
-    exploded = exploded.select(
-        *[c for c in pos_df.columns], F.col("_bl_copy.p").alias(PART), F.col("_bl_copy.h").alias(HALO)
-    )
+    exploded = _with_copies(pos_df, b, halo_before, halo_after)
     carry_cols = None
     if fill_cols:
         carry = _fill_carry(pos_df, keys, fill_cols, b, halo_before)

@@ -96,3 +96,21 @@ def test_lead_across_chunks(spark):
 def test_chunk_must_exceed_reach(spark):
     with pytest.raises(ValueError):
         rolling_mean(_c1(spark), "k", "t", "close", (10,), chunk_rows=5)
+
+
+def test_hot_key_is_split(spark):
+    """One key with more than a third of all rows: the chunked plan's largest
+    unit of work stays at chunk_rows + halo, the direct plan's is the key."""
+    from barlake.operators.series import chunk_layout
+
+    e = table(spark, SF01, "events")
+    hot = e.select(F.when(F.col("user_id") % 3 == 0, F.lit(-1)).otherwise(F.col("user_id")).alias("k"),
+                   "ts", "event_id", "value")
+    n_hot = hot.filter("k = -1").count()
+    assert n_hot * 3 > e.count()
+    layout = chunk_layout(hot, "k", ["ts", "event_id"], chunk_rows=500, halo_before=199, halo_after=1)
+    assert layout.agg(F.max("rows")).first()[0] <= 500 + 199 + 1
+    assert layout.filter("k = -1").count() >= n_hot // 500
+    d = rolling_mean(hot, "k", ["ts", "event_id"], "value", (10, 200), strategy="direct")
+    c = rolling_mean(hot, "k", ["ts", "event_id"], "value", (10, 200), chunk_rows=500)
+    assert c.exceptAll(d).count() == 0 and d.count() == c.count()
