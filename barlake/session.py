@@ -46,6 +46,9 @@ def work_dir(spark: SparkSession) -> str:
         # Spark appends a per-application sub-folder; its parent is the shared root.
         path = current.rsplit("/", 1)[0] if current else None
     if not path:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS / object store): "
+                               "checkpoints and staging copies must survive executor loss")
         path = tempfile.mkdtemp(prefix="barlake-ckpt-")
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(path)
