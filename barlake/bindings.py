@@ -805,7 +805,8 @@ def q_bronze_land(spark, d):
 
     first = delivery(0.0, 1)
     refetch = delivery(0.5, 2).filter(F.col("Trade_date") >= F.lit("2024-01-27").cast("date"))  # daily 3-day overlap
-    land_bronze(first.unionByName(refetch), root, delivery_order=["_seq"])
+    # raw events, not bars: a (day, key) is unbounded -> range clustering
+    land_bronze(first.unionByName(refetch), root, delivery_order=["_seq"], cluster="range")
     back = silver.normalize_bronze(scan_partitioned(spark, root), zone="UTC")
     return back.select("ticker", "event_time", "trade_date", "close", "volume")
 

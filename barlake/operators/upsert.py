@@ -79,6 +79,8 @@ def assign_keys(existing: DataFrame | None, members: DataFrame, natural: Sequenc
         top = existing.agg(F.coalesce(F.max(key), F.lit(0)).cast("long")).first()[0]  # one number
         base = F.lit(top).cast("long")
         kept = existing.select(*natural, F.col(key).cast("long").alias(key))
+    if kept is not None and new.isEmpty():  # steady state: no new member, no ranking job
+        return kept
     ranked = with_position(new, [], natural, how=how)
     fresh = ranked.select(*natural, (base + F.col(POS) + 1).cast("long").alias(key))
     return fresh if kept is None else kept.unionByName(fresh)

@@ -15,15 +15,21 @@ MAX_RECORDS_PER_FILE = 4_000_000
 
 
 def _write(df: DataFrame, path: str, partition_by: Sequence[str], mode: str, overwrite_mode: str | None,
-           sort_by: Sequence[str] = ()) -> None:
+           sort_by: Sequence[str] = (), cluster: str = "range") -> None:
+    """``range``: range partitioning on (partition columns, sort columns) —
+    each task writes a contiguous slice, a directory gets few files, and a
+    huge partition value (one day holding a third of the data) is split over
+    many tasks by sampled bounds; the sampling pass reads the input once more,
+    so callers pass materialised frames. ``hash``: one task per partition value
+    tuple, no sampling pass — for partition values whose size is bounded by
+    construction (a bar table's (day, key): at most one row per interval)."""
     partition_by, sort_by = list(partition_by), list(sort_by)
     if partition_by or sort_by:
-        # Range partitioning on (partition columns, sort columns): each task
-        # writes a contiguous slice, so a directory gets few files, and a huge
-        # partition value (one day holding a third of the data) is split over
-        # many tasks by the sampled bounds instead of landing in one.
-        df = df.repartitionByRange(*[F.col(c) for c in partition_by + sort_by]) \
-               .sortWithinPartitions(*partition_by, *sort_by)
+        if cluster == "hash" and partition_by:
+            df = df.repartition(*[F.col(c) for c in partition_by])
+        else:
+            df = df.repartitionByRange(*[F.col(c) for c in partition_by + sort_by])
+        df = df.sortWithinPartitions(*partition_by, *sort_by)
     w = df.write.mode(mode).option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
     if overwrite_mode:
         w = w.option("partitionOverwriteMode", overwrite_mode)
@@ -58,14 +64,17 @@ def staged_overwrite(df: DataFrame, path: str, partition_by: Sequence[str], sort
 
 
 def land_bronze(df: DataFrame, path: str, key: str = "Ticker", time: str = "Time",
-                date_col: str = "Trade_date", delivery_order: Sequence[str] = ()) -> None:
+                date_col: str = "Trade_date", delivery_order: Sequence[str] = (),
+                cluster: str = "hash") -> None:
     """Bronze landing partitioned by (date, key), rows sorted by time. With
     ``delivery_order`` (e.g. a fetch sequence column) rows are first
     de-duplicated on (key, time), keeping the last delivered one, and those
     columns are dropped. Re-landing a (date, key) replaces just that
-    partition (dynamic overwrite)."""
+    partition (dynamic overwrite). ``cluster="hash"`` suits bars (a (day, key)
+    holds at most one row per interval); raw ticks, where one (day, key) may be
+    huge, use ``cluster="range"``."""
     if delivery_order:
         from ..operators.clean import dedupe_keep_last
 
         df = dedupe_keep_last(df, [key, time], list(delivery_order)).drop(*delivery_order)
-    _write(df, path, [date_col, key], "overwrite", "dynamic", [time])
+    _write(df, path, [date_col, key], "overwrite", "dynamic", [time], cluster=cluster)

@@ -34,6 +34,8 @@ HEADLINE = [
     "constraint_checks",
     "naive_metrics",
     "top_movers",
+    "pipeline_silver_incremental",
+    "pipeline_gold_features",
 ]
 
 
