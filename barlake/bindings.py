@@ -20,8 +20,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .functions.exprs import nan_to_null
-from .functions.time import date_attributes, date_key, local_to_utc, parse_time_lenient, round_to_second, to_price
+from .functions.time import date_key, local_to_utc, parse_time_lenient, round_to_second
 from .operators.bars import build_bars
 from .operators.clean import (
     clean_keys,
@@ -32,11 +31,11 @@ from .operators.clean import (
 )
 from .operators.constraints import check_constraints
 from .operators.evaluate import directional_accuracy, error_metrics, supervised_set, time_split, top_k_per_group
-from .operators.quality import METRICS, RULES, duplicate_keys, quality_metrics, report_row, write_report
+from .operators.quality import RULES, duplicate_keys, quality_metrics, report_row, write_report
 from .operators.series import forward_fill, lead_target, rolling_mean, series_windows
 from .operators.upsert import assign_keys, upsert
 from .plans import gold, silver
-from .plans.windows import ingest_window, slice_column
+from .plans.windows import ingest_window
 from .session import scratch_path, table
 from .sources.scan import read_window, read_with_path_key, scan_partitioned, scan_recursive
 from .sources.sinks import append, land_bronze, publish, staged_overwrite

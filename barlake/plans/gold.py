@@ -3,8 +3,6 @@ view, published as Parquet tables with idempotent upserts."""
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T

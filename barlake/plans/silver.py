@@ -8,7 +8,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, TimestampNTZType, TimestampType
 
 from ..functions.time import epoch_nanos_to_timestamp, local_to_utc
 from ..operators.clean import clean_keys, filter_time_window, require_columns

@@ -4,13 +4,11 @@ orphans in published gold, results independent of the session time zone."""
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from barlake import bindings
 from barlake.operators.clean import dedupe_keep_last
 from barlake.operators.constraints import check_constraints
 from barlake.operators.upsert import upsert
-from barlake.session import table
 from conftest import SF001
 
 pairs = st.lists(st.tuples(st.integers(0, 20), st.integers(-5, 5)), max_size=25)
