@@ -128,3 +128,22 @@ def test_cli_silver_and_gold(spark, tmp_root):
     assert snap["fact_prices_count"] == m["total_rows"] == snap["ml_feature_rows"]
     with pytest.raises(SystemExit):
         cli.main(["gold", "--silver", "x", "--gold", "y", "--start-date", "2024-02-01", "--end-date", "2024-01-01"])
+
+
+def test_gold_layouts_agree_and_start_bound(spark, tmp_root):
+    events = table(spark, SF001, "events")
+    bronze, sv = f"{tmp_root}/bronze", f"{tmp_root}/silver"
+    _land(spark, bronze, events)
+    silver.run_silver(spark, bronze, sv, f"{tmp_root}/r", "full", "2024-01-30", RUN_TS, start_date="2024-01-10")
+    assert scan_partitioned(spark, sv).agg(F.min("trade_date")).first()[0] >= dt.date(2024, 1, 9)
+    facts = []
+    for layout in ("canonical", "mixed"):
+        root = f"{tmp_root}/gold_{layout}"
+        gold.run_gold(spark, sv, root, "2024-02-01 00:00:00", layout=layout)
+        facts.append(sorted(tuple(r) for r in scan_partitioned(spark, f"{root}/fact_prices")
+                            .select("ticker_key", "event_time", "close_price", "ma200").collect()))
+    assert facts[0] == facts[1] and len(facts[0]) > 0
+    windowed = f"{tmp_root}/gold_window"
+    gold.run_gold(spark, sv, windowed, "2024-02-01 00:00:00", start="2024-01-15", end="2024-01-20")
+    days = scan_partitioned(spark, f"{windowed}/fact_prices").select("date_key").distinct().collect()
+    assert sorted(r[0] for r in days) == list(range(20240115, 20240121))
