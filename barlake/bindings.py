@@ -32,7 +32,7 @@ from .operators.clean import (
 from .operators.constraints import check_constraints
 from .operators.evaluate import directional_accuracy, error_metrics, supervised_set, time_split, top_k_per_group
 from .operators.quality import RULES, duplicate_keys, quality_metrics, report_row, write_report
-from .operators.series import forward_fill, lead_target, rolling_mean, series_windows
+from .operators.series import forward_fill, lead_target, pick_strategy, rolling_mean, series_windows
 from .operators.upsert import assign_keys, upsert
 from .plans import gold, silver
 from .plans.windows import ingest_window
@@ -145,7 +145,14 @@ def _gold_tables(spark, d):
     dim_t = gold.ticker_dim(None, base.select("ticker"), LOAD_TS)
     dim_d = gold.date_dim(base)
     fact = gold.upsert_fact(None, gold.fact_rows(base, dim_t, dim_d, LOAD_TS))
-    return dim_t, dim_d, fact
+    return dim_t, dim_d, fact, base
+
+
+def _view(fact, dim_t, dim_d, base) -> DataFrame:
+    # bound on a ticker's series measured on the materialised base: the fact
+    # only inner-joins unique dimension keys and de-duplicates, so it never
+    # holds more rows per ticker than the base.
+    return gold.feature_view(fact, dim_t, dim_d, strategy=pick_strategy(base, ["ticker"]))
 
 
 def _price_sql(c: str) -> str:
@@ -179,8 +186,8 @@ GOLD_CTES = _gold_ctes(SILVER_RAW_CTES)
 
 
 def _features(spark, d) -> DataFrame:
-    dim_t, dim_d, fact = _gold_tables(spark, d)
-    return gold.feature_view(fact, dim_t, dim_d)
+    dim_t, dim_d, fact, base = _gold_tables(spark, d)
+    return _view(fact, dim_t, dim_d, base)
 
 
 # ---------------------------------------------------------------- windows
@@ -584,8 +591,8 @@ SELECT (SELECT CAST(count(*) AS BIGINT) FROM dim_ticker) AS dim_ticker_count,
        (SELECT CAST(count(*) AS BIGINT) FROM fact) AS fact_prices_count,
        (SELECT CAST(count(*) AS BIGINT) FROM features) AS ml_feature_rows""")
 def q_validation_snapshot(spark, d):
-    dim_t, dim_d, fact = _gold_tables(spark, d)
-    return gold.validation_snapshot(dim_t, dim_d, fact, gold.feature_view(fact, dim_t, dim_d))
+    dim_t, dim_d, fact, base = _gold_tables(spark, d)
+    return gold.validation_snapshot(dim_t, dim_d, fact, _view(fact, dim_t, dim_d, base))
 
 
 @register("supervised_set", GOLD_CTES + "\nSELECT * FROM features WHERE target_next_close IS NOT NULL")

@@ -1,7 +1,8 @@
 """Ordered per-key series operators: forward fill, row-frame moving averages,
 lead targets — exact, and safe when one key holds a large share of all rows.
 
-Two physical strategies produce identical rows:
+Two physical strategies produce identical rows (``auto`` picks one from a
+measured bound, see ``pick_strategy``):
 
 ``direct``   ``Window.partitionBy(keys).orderBy(order)``: one hash exchange, but
              every row of a key lands in one task. Fine when a key's series is
@@ -56,6 +57,27 @@ def _names(cols) -> list[str]:
     return list(cols)
 
 
+def max_rows_per_key(df: DataFrame, keys) -> int:
+    """Rows of the largest series (0 when empty). One aggregate that reads
+    only the key columns; counts are combined map-side, so a hot key costs
+    one partial count per task, and only one number reaches the driver."""
+    keys = _names(keys)
+    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_bl_n")) if keys else df.select(
+        F.count(F.lit(1)).alias("_bl_n"))
+    top = per_key.agg(F.max("_bl_n")).first()[0]
+    return int(top or 0)
+
+
+def pick_strategy(df: DataFrame, keys, chunk_rows: int | None = None, extra_rows: int = 0,
+                  bound_from: DataFrame | None = None) -> str:
+    """``direct`` when the measured largest series (of ``bound_from``, default
+    ``df``, plus ``extra_rows``) fits in one chunk, else ``chunked``. The
+    single-task window is thus used only behind a size check, like a broadcast."""
+    b = chunk_rows or chunk_rows_conf(df)
+    n = max_rows_per_key(bound_from if bound_from is not None else df, keys) + int(extra_rows)
+    return "direct" if n <= b else "chunked"
+
+
 def chunk_rows_conf(df: DataFrame) -> int:
     value = df.sparkSession.conf.get("barlake.series.chunkRows", None)
     return int(value) if value else DEFAULT_CHUNK_ROWS
@@ -183,8 +205,11 @@ def series_windows(
     """Forward-fill ``fill_cols`` (last non-null, unbounded preceding) and then
     add the columns returned by ``build(window_spec) -> list[Column]`` which may
     reference the filled columns; frames may reach ``halo_before`` rows back and
-    ``halo_after`` rows ahead."""
+    ``halo_after`` rows ahead. ``strategy``: ``chunked``, ``direct`` or
+    ``auto`` (direct only if the largest series is measured to fit one chunk)."""
     keys, order, fill_cols = _names(keys), _names(order), list(fill_cols)
+    if strategy == "auto":
+        strategy = pick_strategy(df, keys, chunk_rows)
     if nan_as_null and fill_cols:
         df = df.select(*[nan_to_null(c).alias(c) if c in fill_cols else F.col(c) for c in df.columns])
     cols = df.columns

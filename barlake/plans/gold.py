@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 from ..functions.exprs import combine_one_row
 from ..functions.time import date_attributes, round_to_second, to_price
 from ..operators.clean import dedupe_keep_last
-from ..operators.series import lead_target
+from ..operators.series import lead_target, pick_strategy
 from ..operators.upsert import assign_keys, upsert
 from ..sources.scan import dataset_exists, read_with_path_key, scan_partitioned
 from ..sources.sinks import publish, staged_overwrite
@@ -150,10 +150,12 @@ def upsert_fact(existing: DataFrame | None, staged: DataFrame) -> DataFrame:
 
 
 def feature_view(fact: DataFrame, dim_ticker: DataFrame, dim_date: DataFrame, **kw) -> DataFrame:
-    """Fact joined to both dimensions plus the next bar's close per ticker
-    (bar series are bounded per key, see ``silver.enrich``: direct window by
-    default, ``strategy="chunked"`` available)."""
-    kw.setdefault("strategy", "direct")
+    """Fact joined to both dimensions plus the next bar's close per ticker.
+    ``auto``: the largest ticker series is counted on the fact's key column
+    (an upper bound: the inner joins can only drop rows) and the one-exchange
+    direct window is used only if it fits one chunk, else the chunked one."""
+    if kw.get("strategy", "auto") == "auto":
+        kw["strategy"] = pick_strategy(fact, ["ticker_key"], kw.get("chunk_rows"))
     base = (
         fact.join(dim_ticker.select("ticker_key", "ticker"), "ticker_key")
         .join(dim_date.select("date_key", F.col("full_date").alias("feature_date")), "date_key")

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..functions.time import epoch_nanos_to_timestamp, local_to_utc
 from ..operators.clean import clean_keys, filter_time_window, require_columns
 from ..operators.quality import enforce, quality_metrics, report_row, write_report
-from ..operators.series import moving_average_columns, series_windows
+from ..operators.series import moving_average_columns, pick_strategy, series_windows
 from ..sources.scan import dataset_exists, read_window, scan_partitioned
 from ..sources.sinks import publish
 
@@ -36,16 +36,18 @@ def normalize_bronze(df: DataFrame, zone: str = "Asia/Ho_Chi_Minh") -> DataFrame
 
 
 def enrich(df: DataFrame, key: str = "ticker", time: str = "event_time", windows=MA_WINDOWS,
-           strategy: str = "direct", chunk_rows: int | None = None, nan_as_null: bool = True,
+           strategy: str = "auto", chunk_rows: int | None = None, nan_as_null: bool = True,
            tie_break: Sequence[str] = ()) -> DataFrame:
     """Clean keys, default volume, forward-fill OHLC, moving averages of the
     filled close, then drop rows still lacking OHLC. One ordered pass.
 
     Silver rows are bars: a key has at most one per interval, so a series is
-    bounded by its time span (<= 8,784 hourly bars per key and year) however
-    skewed the raw rows were (the bar aggregation absorbs that skew map-side).
-    Hence ``direct`` (one exchange) by default; ``chunked`` for sub-minute
-    bars over long histories or any unbounded per-row series."""
+    usually bounded by its time span (<= 8,784 hourly bars per key and year)
+    however skewed the raw rows were. ``auto`` does not rely on that: it
+    measures the largest series (one partial-count aggregate over the key
+    column) and runs the one-exchange ``direct`` window only if it fits one
+    chunk (``barlake.series.chunkRows``); otherwise the skew-safe ``chunked``
+    strategy splits every long series over many tasks."""
     cleaned = clean_keys(df, key, time, defaults={"volume": 0})
     out = series_windows(
         cleaned, [key], [time, *tie_break], fill_cols=OHLC,
@@ -106,6 +108,10 @@ def incremental(new_rows: DataFrame, history: DataFrame, from_date: dt.date, key
     days plus the carried published history before ``from_date``."""
     ctx = carry_context(history, from_date, key, time, max(windows) - 1, lookback_days,
                         keys=new_rows.select(key))
+    if kw.get("strategy", "auto") == "auto":
+        # bound without evaluating the context twice: a key's series here is
+        # its new bars plus at most max(windows) - 1 carried rows.
+        kw["strategy"] = pick_strategy(new_rows, [key], kw.get("chunk_rows"), extra_rows=max(windows) - 1)
     cols = [key, time, "trade_date", *OHLC, "volume"]
     base = ctx.select(*cols).unionByName(new_rows.select(*cols))
     out = enrich(base, key, time, windows, **kw)

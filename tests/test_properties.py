@@ -38,7 +38,7 @@ def test_dedupe_unique_and_last(spark, rows):
 
 
 def test_gold_has_no_orphans(spark):
-    dim_t, dim_d, fact = bindings._gold_tables(spark, SF001)
+    dim_t, dim_d, fact, _ = bindings._gold_tables(spark, SF001)
     checks = check_constraints(fact, "fact_prices", pk=["ticker_key", "event_time"],
                                not_null=["open_price", "close_price", "volume"],
                                fks={"ticker_key": (dim_t, "ticker_key"), "date_key": (dim_d, "date_key")})

@@ -114,3 +114,26 @@ def test_hot_key_is_split(spark):
     d = rolling_mean(hot, "k", ["ts", "event_id"], "value", (10, 200), strategy="direct")
     c = rolling_mean(hot, "k", ["ts", "event_id"], "value", (10, 200), chunk_rows=500)
     assert c.exceptAll(d).count() == 0 and d.count() == c.count()
+
+
+def test_auto_strategy_checks_the_largest_series(spark):
+    """``auto`` runs the single-task window only behind a measured bound: a
+    hot key larger than one chunk switches the plan to the chunked strategy,
+    and both plans give the same rows."""
+    from barlake.operators.series import max_rows_per_key, pick_strategy
+
+    e = table(spark, SF01, "events")
+    hot = e.select(F.when(F.col("user_id") % 3 == 0, F.lit(-1)).otherwise(F.col("user_id")).alias("k"),
+                   "ts", "event_id", "value")
+    n_hot = hot.filter("k = -1").count()
+    assert max_rows_per_key(hot, "k") == n_hot
+    assert max_rows_per_key(hot.limit(0), "k") == 0
+    assert pick_strategy(hot, "k", chunk_rows=n_hot) == "direct"
+    assert pick_strategy(hot, "k", chunk_rows=n_hot, extra_rows=1) == "chunked"
+    assert pick_strategy(hot, "k", chunk_rows=500) == "chunked"
+    a = rolling_mean(hot, "k", ["ts", "event_id"], "value", (10, 200), strategy="auto", chunk_rows=500)
+    d = rolling_mean(hot, "k", ["ts", "event_id"], "value", (10, 200), strategy="direct")
+    assert a.exceptAll(d).count() == 0 and d.count() == a.count()
+    # the chunked plan orders by the global position; the direct one does not
+    assert "_bl_pos" in a._jdf.queryExecution().analyzed().toString()
+    assert "_bl_pos" not in d._jdf.queryExecution().analyzed().toString()
