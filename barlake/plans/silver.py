@@ -83,12 +83,12 @@ def carry_context(silver: DataFrame, before: dt.date, key: str = "ticker", time:
         counts = ranged.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
         short = (wanted.join(counts, key, "left").filter(F.coalesce(F.col("_n"), F.lit(0)) < rows)
                  .select(key))
-        n_short = short.count()
-        if n_short == 0:
+        # one job: at most SHORT_KEYS_IN_LIST + 1 keys reach the driver
+        listed = [r[0] for r in short.limit(SHORT_KEYS_IN_LIST + 1).collect()]
+        if not listed:
             history = ranged
         else:
-            if n_short <= SHORT_KEYS_IN_LIST:
-                listed = [r[0] for r in short.collect()]
+            if len(listed) <= SHORT_KEYS_IN_LIST:
                 deep = history.filter(F.col(key).isin(listed))
             else:
                 deep = history.join(short, key, "left_semi")
