@@ -46,7 +46,8 @@ def start_silver_stream(spark: SparkSession, bronze_root: str, silver_path: str,
     def process(batch: DataFrame, epoch_id: int) -> None:
         first = batch.agg(F.min("Trade_date")).first()[0]  # one value per batch
         if first is not None:
-            run_silver_from(spark, bronze_root, silver_path, report_path, first, run_ts_utc, **kw)
+            # the batch's own session (required under Spark Connect, same object in classic mode)
+            run_silver_from(batch.sparkSession, bronze_root, silver_path, report_path, first, run_ts_utc, **kw)
 
     writer = (
         earliest.writeStream.foreachBatch(process)
