@@ -68,13 +68,12 @@ def max_rows_per_key(df: DataFrame, keys) -> int:
     return int(top or 0)
 
 
-def pick_strategy(df: DataFrame, keys, chunk_rows: int | None = None, extra_rows: int = 0,
-                  bound_from: DataFrame | None = None) -> str:
-    """``direct`` when the measured largest series (of ``bound_from``, default
-    ``df``, plus ``extra_rows``) fits in one chunk, else ``chunked``. The
-    single-task window is thus used only behind a size check, like a broadcast."""
+def pick_strategy(df: DataFrame, keys, chunk_rows: int | None = None, extra_rows: int = 0) -> str:
+    """``direct`` when the measured largest series of ``df`` plus ``extra_rows``
+    fits in one chunk, else ``chunked``. The single-task window is thus used
+    only behind a size check, like a broadcast."""
     b = chunk_rows or chunk_rows_conf(df)
-    n = max_rows_per_key(bound_from if bound_from is not None else df, keys) + int(extra_rows)
+    n = max_rows_per_key(df, keys) + int(extra_rows)
     return "direct" if n <= b else "chunked"
 
 
