@@ -58,9 +58,10 @@ def _names(cols) -> list[str]:
 
 
 def max_rows_per_key(df: DataFrame, keys) -> int:
-    """Rows of the largest series (0 when empty). One aggregate that reads
-    only the key columns; counts are combined map-side, so a hot key costs
-    one partial count per task, and only one number reaches the driver."""
+    """Rows of the largest series (0 when empty). One aggregate; column
+    pruning leaves the scan with the keys and whatever ``df``'s own filters
+    read. Counts are combined map-side, so a hot key costs one partial count
+    per task, and only one number reaches the driver."""
     keys = _names(keys)
     per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_bl_n")) if keys else df.select(
         F.count(F.lit(1)).alias("_bl_n"))
