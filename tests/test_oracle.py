@@ -9,6 +9,7 @@ import pytest
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
 
 import __spark_entry__ as entry  # noqa: E402
+from barlake import bindings  # noqa: E402
 from conftest import SF001  # noqa: E402
 from oracle_check import check, duck  # noqa: E402
 
@@ -25,10 +26,10 @@ def test_entry_smoke(spark):
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(bindings.queries()) == set(bindings.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(bindings.queries()))
 def test_query_matches_oracle(spark, con, name):
     res = check(spark, con, name, SF001)
     assert res["status"] == "EQUAL", res
