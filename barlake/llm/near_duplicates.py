@@ -10,9 +10,8 @@ misses all of them with probability below ``MISS``. A bucket is joined as stars:
    shares most often, and the links are contracted to components;
 2. in buckets that still hold several components every member of another
    component than the centre's is compared with the centre;
-3. what is left after that (members that the centre did not reach) is compared
-   with the bucket's members in other components, unless lengths or the triangle
-   inequality of the Jaccard distance exclude a link.
+3. the nodes of buckets that still hold several components are joined across
+   components by the exact prefix filter (see :func:`_rest`).
 
 So a large group of near copies costs about one comparison a node, its members
 are never paired with each other, and no pair that shares a bucket is left out.
@@ -206,25 +205,47 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def _rest(links: _Links, members: DataFrame) -> DataFrame:
-    """Pairs of a bucket that its star left open: a member outside the centre's
-    component with the members of yet other components. Known distances to the
-    centre exclude most: they may differ by 1 - threshold at most."""
-    known = links.tested.select("a", "b", (1 - F.col("both") / F.col("either")).alias("far"))
-    at = links.labelled(links.labelled(members, "a", "ca"), "b", "cb")
-    outside = at.where("ca <> cb").select("bucket", "a", "b", "nb", "ca", "cb").join(known, ["a", "b"], "left")
-    mixed = outside.select("bucket").distinct()
-    outside = staged(outside, "outside")
-    inside = at.join(mixed, "bucket", "left_semi").join(known, ["a", "b"], "left").select(
-        "bucket", F.col("b").alias("m"), F.col("nb").alias("nm"), F.col("cb").alias("cm"),
-        F.when(F.col("a") == F.col("b"), 0.0).otherwise(F.col("far")).alias("far_m"))
-    inside = staged(inside, "inside")
-    reach = 1 - links.percent / 100 + 1e-9
-    apart = F.abs(F.col("far") - F.col("far_m")) > reach  # null where a distance is unknown
-    pairs = outside.select("bucket", "b", "nb", "cb", "far").join(inside, "bucket").where(
-        (F.col("cb") != F.col("cm")) & links.close("nb", "nm") & ~F.coalesce(apart, F.lit(False)))
-    return pairs.select(F.least("b", "m").alias("a"), F.when(F.col("b") < F.col("m"), F.col("nb")).otherwise(F.col("nm")).alias("na"),
-                        F.greatest("b", "m").alias("b"), F.when(F.col("b") < F.col("m"), F.col("nm")).otherwise(F.col("nb")).alias("nb")
-                        ).distinct()
+    """Pairs that the stars left open: nodes of buckets that hold several
+    components, where the pair passes the prefix filter, which is exact.
+
+    With a node's shingles in one order for all, rarest first, two linked sets
+    share one among their first n - ceil(threshold * n) + 1, and early enough
+    that what follows can still make up the overlap. Shingles that only one node
+    has fill the prefixes of nodes with many edits, so a large group of loosely
+    similar texts gives few pairs. Each such shingle is joined from the nodes
+    outside its first component."""
+    at = links.labelled(members, "b", "c")
+    mixed = at.groupBy("bucket").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low <> high")
+    nodes = at.join(mixed, "bucket", "left_semi").select(F.col("b").alias("node"), F.col("nb").alias("n"), "c").distinct()
+    nodes, words = staged(nodes, "open"), links.words
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = WordHashes()
+        for batch in batches:
+            for node, text in zip(batch.column("node").to_pylist(), utf8(batch.column("t"))):
+                found = np.unique(shingles(hashes.of(text), words))
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(found), node)), pa.array(signed(found))],
+                                                 names=["node", "shingle"])
+
+    held = staged(links.texts.join(nodes, "node", "left_semi").mapInArrow(run, "node long, shingle long"), "shingles")
+    shared = held.groupBy("shingle").agg(F.count("*").alias("df")).where("df > 1")
+    ordered = held.join(shared, "shingle", "left").groupBy("node").agg(
+        F.sort_array(F.collect_list(F.struct(F.coalesce("df", F.lit(1)).alias("df"), "shingle"))).alias("order"))
+    n, percent = F.col("n"), links.percent
+    length = (n - F.ceil(percent * n / 100) + 1).cast("int")
+    prefix = ordered.join(nodes, "node").select("node", "n", "c", F.posexplode(F.slice("order", F.lit(1), length)).alias("at", "s"))
+    prefix = staged(prefix.where("s.df > 1").select("node", "n", "c", "at", F.col("s.shingle").alias("shingle")), "prefix")
+
+    bounds = prefix.groupBy("shingle").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low <> high")
+    inner = prefix.join(bounds.drop("high"), "shingle")
+    outer = inner.where("c <> low").select("shingle", *(F.col(x).alias(f"o_{x}") for x in ("node", "n", "c", "at")))
+    left = F.least(n - F.col("at"), F.col("o_n") - F.col("o_at"))
+    pairs = outer.join(inner, "shingle").where((F.col("c") != F.col("o_c")) & links.close("n", "o_n")
+                                               & (percent * (n + F.col("o_n")) <= (100 + percent) * left))
+    ends = [F.struct(F.col("node").alias("id"), "n"), F.struct(F.col("o_node").alias("id"), F.col("o_n").alias("n"))]
+    pairs = pairs.select(F.least(*ends).alias("x"), F.greatest(*ends).alias("y"))
+    return pairs.select(F.col("x.id").alias("a"), F.col("x.n").alias("na"), F.col("y.id").alias("b"),
+                        F.col("y.n").alias("nb")).distinct()
 
 
 def _labelled(rows: DataFrame, first: DataFrame, labels: DataFrame, id_col: str) -> DataFrame:
