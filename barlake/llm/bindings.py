@@ -5,19 +5,114 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..session import table
+from .exact_top_k import exact_top_k
+from .line_dedup import dedup_lines
 from .near_duplicates import near_duplicates
+from .packing import pack
+from .staging import fresh
+from .token_counts import token_counts
+from .url_filters import judge_urls
+from .warc import salvage, write_archive
+
+TOKENIZER = "word_bpe_49k.json"
+#: Fixed by the contract: (host, path, verdict).
+URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
+
+
+def op1_warc_salvage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = fresh(spark, "warc")
+    write_archive(table(spark, sf_dir, "pages"), path, min_bytes=0)
+    records, _ = salvage(spark, path, payloads=False)
+    return records.select(F.expr("try_cast(record_id AS long)").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+                          F.expr("try_cast(refers_to AS long)").alias("refers_to"))
+
+
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), limit=2048)
+
+
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = dedup_lines(table(spark, sf_dir, "documents"), min_docs=10, min_chars=1, keep_first=False)
+    return out.select("row.doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+OP3_SQL = """
+WITH bare AS (
+  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+         generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos FROM documents),
+keyed AS (
+  SELECT doc_id, line, pos, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+         'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM bare),
+often AS (SELECT key FROM keyed WHERE length(key) >= 1 GROUP BY key HAVING count(DISTINCT doc_id) >= 10),
+marked AS (SELECT k.*, o.key IS NOT NULL AS gone FROM keyed k LEFT JOIN often o ON k.key = o.key)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
+FROM marked GROUP BY doc_id
+"""
+
+
+def op5_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_top_k(table(spark, sf_dir, "embeddings"), k=5, scale=256, query_every=50)
+
+
+OP5_SQL = """
+WITH valid AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS codes
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
+scored AS (
+  SELECT q.vec_id AS query_id, d.vec_id,
+         CAST(list_sum(list_transform(list_zip(q.codes, d.codes), lambda z: z[1] * z[2])) AS BIGINT) AS score
+  FROM valid q JOIN valid d ON q.vec_id % 50 = 0 AND d.vec_id <> q.vec_id),
+ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
+
+def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.sql(f"SELECT * FROM VALUES {', '.join(map(str, URL_RULES))} AS rules(host, path, verdict)")
+    out = judge_urls(table(spark, sf_dir, "pages").select("page_id", "url"), rules)
+    return out.select("row.page_id", "host", "path", "rule", "verdict")
+
+
+OP6_SQL = """
+WITH rules(rhost, rpath, rverdict) AS (VALUES
+  ('net', '/', 'block'), ('example.net', '/en/', 'allow'), ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')),
+rest AS (
+  SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS r FROM pages),
+parts AS (
+  SELECT page_id, translate(regexp_extract(r, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(r, '^[^/?#]*([^?#]*)', 1) AS path FROM rest),
+fits AS (
+  SELECT p.*, rhost || rpath AS rule, rverdict, row_number() OVER (
+           PARTITION BY page_id ORDER BY length(rhost || rpath) DESC NULLS LAST, rverdict DESC) AS rn
+  FROM parts p LEFT JOIN rules ON (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath))
+SELECT page_id, host, path, rule, coalesce(rverdict, 'allow') AS verdict FROM fits WHERE rn = 1
+"""
+
+
+def op7_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), capacity=4096, end_id=2)
 
 
 def op10_minhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=85)
 
 
+_QUERIES = (op1_warc_salvage, op2_token_counts, op3_line_dedup, op5_exact_top_k, op6_url_filters, op7_harmonic_packing,
+            op10_minhash_near_duplicates)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op10_minhash_near_duplicates,)}
+    return {f.__name__: f for f in _QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op3_line_dedup": OP3_SQL, "op5_exact_top_k": OP5_SQL, "op6_url_filters": OP6_SQL}
