@@ -61,7 +61,8 @@ def record(page_id: str, uri: bytes | None, payload: bytes, digest: str, refers_
         head.append(b"WARC-Target-URI: " + re.sub(rb"[\x00-\x20\x7f]", lambda m: b"%%%02X" % m[0][0], uri))
     if refers_to is not None:
         head += [b"WARC-Refers-To: <urn:page:%s>" % refers_to.encode(), b"WARC-Profile: " + REVISIT_PROFILE]
-    head += [b"WARC-Payload-Digest: sha1:" + digest.encode(), b"Content-Type: application/http;msgtype=response",
+    head += [b"WARC-Payload-Digest: sha1:" + digest.encode(), b"WARC-Block-Digest: sha1:" + base32_sha1(block).encode(),
+             b"Content-Type: application/http;msgtype=response",
              b"Content-Length: %d" % len(block)]
     return b"\r\n".join(head) + b"\r\n\r\n" + block + b"\r\n\r\n"
 
@@ -175,6 +176,9 @@ def parse(data: bytes) -> Record:
         raise ValueError("length")
     if fields.get(b"warc-type") is None or fields.get(b"warc-record-id") is None:
         raise ValueError("header")
+    stated = fields.get(b"warc-block-digest", b"")
+    if stated.startswith(b"sha1:") and stated[5:].decode("latin-1") != base32_sha1(block):
+        raise ValueError("digest")
     kind, payload = fields[b"warc-type"].decode("utf-8", "replace"), block
     size = len(block)
     if fields.get(b"content-type", b"").startswith(b"application/http"):
