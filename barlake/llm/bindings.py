@@ -10,7 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table
+from .decontamination import leaks
 from .exact_top_k import exact_top_k
+from .language_id import language_id, train
+from .licenses import license_scan
 from .line_dedup import dedup_lines
 from .near_duplicates import near_duplicates
 from .packing import pack
@@ -56,6 +59,13 @@ FROM marked GROUP BY doc_id
 """
 
 
+def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents that benchmark items leak into, with the items."""
+    out = leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return out.select(F.col("id").alias("doc_id"), F.col("item").alias("item_id"), "score", F.col("start").alias("start_word"),
+                      F.col("stop").alias("stop_word"))
+
+
 def op5_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_top_k(table(spark, sf_dir, "embeddings"), k=5, scale=256, query_every=50)
 
@@ -102,12 +112,21 @@ def op7_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), capacity=4096, end_id=2)
 
 
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan(table(spark, sf_dir, "documents"))
+
+
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return language_id(docs, train(docs)).select("doc_id", "lang", "confidence", "kept")
+
+
 def op10_minhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=85)
+    return near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=85).drop("text_hash")
 
 
-_QUERIES = (op1_warc_salvage, op2_token_counts, op3_line_dedup, op5_exact_top_k, op6_url_filters, op7_harmonic_packing,
-            op10_minhash_near_duplicates)
+_QUERIES = (op1_warc_salvage, op2_token_counts, op3_line_dedup, op4_benchmark_decontamination, op5_exact_top_k,
+            op6_url_filters, op7_harmonic_packing, op8_license_scan, op9_language_id, op10_minhash_near_duplicates)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -96,11 +96,12 @@ def _sketched(docs: DataFrame, id_col: str, text_col: str, words: int, bands: in
                 prints.append(blake2b(found.tobytes(), digest_size=16).digest())
                 keys.append(signed(sketch.buckets(found)) if len(found) else None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), pa.array(sizes, pa.int64()), pa.array(prints, pa.binary()),
-                 pa.array(keys, pa.list_(pa.int64()))], names=["id", "n", "print", "keys"])
+                [batch.column("id"), batch.column("text_hash"), pa.array(sizes, pa.int64()), pa.array(prints, pa.binary()),
+                 pa.array(keys, pa.list_(pa.int64()))], names=["id", "text_hash", "n", "print", "keys"])
 
-    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("t")).mapInArrow(
-        run, "id long, n long, print binary, keys array<long>")
+    text = F.col(text_col).cast("string")
+    return docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text).alias("text_hash"), text.alias("t")).mapInArrow(
+        run, "id long, text_hash long, n long, print binary, keys array<long>")
 
 
 def _compared(pairs: DataFrame, texts: DataFrame, words: int) -> DataFrame:
@@ -163,7 +164,7 @@ class _Links:
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5,
                     percent: int = 80) -> DataFrame:
-    """One row per document: (id, n_shingles, component_id, kept).
+    """One row per document: (id, n_shingles, component_id, kept, text_hash).
 
     Two documents are linked if ``100 * |A and B| >= percent * |A or B|`` for
     their sets of distinct ``words``-word shingles. component_id is the smallest
@@ -251,8 +252,8 @@ def _rest(links: _Links, members: DataFrame) -> DataFrame:
 def _labelled(rows: DataFrame, first: DataFrame, labels: DataFrame, id_col: str) -> DataFrame:
     named = first.join(labels.withColumnRenamed("component", "c"), "node", "left").select(
         "print", F.coalesce("c", "node").alias("component_id"))
-    out = rows.select("id", "n", "print").join(named, "print", "left")
+    out = rows.select("id", "text_hash", "n", "print").join(named, "print", "left")
     alone = (F.col("n") == 0) | F.col("id").isNull()
     component = F.when(alone, F.col("id")).otherwise(F.col("component_id"))
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"),
-                      F.coalesce(component == F.col("id"), F.lit(True)).alias("kept"))
+                      F.coalesce(component == F.col("id"), F.lit(True)).alias("kept"), "text_hash")
