@@ -13,7 +13,6 @@ no padding either.
 
 from __future__ import annotations
 
-import os
 import zlib
 from collections.abc import Iterator
 
@@ -22,6 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .token_counts import Splitter
 from .words import pieces, utf8
 
 #: Distinct words whose ids a worker keeps; a cache only.
@@ -32,31 +32,35 @@ PARTITION_BITS = 40
 SCHEMA = "start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
-class Encoder:
-    """Whole texts as little-endian unsigned 32-bit ids. The tokenizer drops
-    ASCII white space and never merges across it, so a text's ids are those of
-    its words in turn; words are encoded once, by the library."""
+class Encoder(dict):
+    """Bytes between two separators -> little-endian unsigned 32-bit ids, filled
+    as they are met. The tokenizer drops ASCII white space and never merges
+    across it, so a text's ids are those of its words in turn; pieces of words
+    are encoded once, by the library's model."""
 
     def __init__(self, spec: str, end_id: int):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.library = Tokenizer.from_str(spec)
-        self.known: dict[bytes, bytes] = {}
+        super().__init__()
+        self.splitter = Splitter(spec)
+        self.model = self.splitter.library.model
+        self.known = {"\0" + s: i.to_bytes(4, "little") for s, i in self.splitter.special_ids.items()}
         self.end = end_id.to_bytes(4, "little")
 
-    def ids(self, text: bytes | None) -> bytes:
+    def __missing__(self, raw: bytes) -> bytes:
         out = []
-        for piece in pieces(text or b""):
-            words = piece.split()
-            distinct = set(words)
-            if len(self.known) + len(distinct) > CACHE_WORDS:
-                self.known.clear()
-            new = [w for w in distinct if w not in self.known]
-            found = self.library.encode_batch_fast([w.decode("utf-8", "replace") for w in new], add_special_tokens=False)
-            for word, encoded in zip(new, found):
-                self.known[word] = b"".join([i.to_bytes(4, "little") for i in encoded.ids])
-            out.extend(map(self.known.__getitem__, words))
+        for piece in self.splitter.pieces(raw):
+            found = self.known.get(piece)
+            if found is None:
+                found = self.known[piece] = b"".join([t.id.to_bytes(4, "little") for t in self.model.tokenize(piece)])
+            out.append(found)
+        if len(self) >= CACHE_WORDS:
+            self.clear()
+            self.known = {k: v for k, v in self.known.items() if k[0] == "\0"}
+        ids = self[raw] = b"".join(out)
+        return ids
+
+    def ids(self, text: bytes | None) -> bytes:
+        """Of a whole text, with the end id."""
+        out = [b"".join(map(self.__getitem__, piece.split())) for piece in pieces(text or b"")]
         return b"".join([*out, self.end])
 
 

@@ -32,6 +32,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from .words import utf8
 
@@ -40,6 +41,8 @@ _SEPARATOR = re.compile(rb"[\x20\x09-\x0D]+")
 #: Sizes at which a worker's caches are emptied; caches only.
 CACHE_WORDS, CACHE_STATES = 500_000, 300_000
 CHUNK_BYTES = 1 << 18
+#: Last character that the patterns and case rules here and there agree on.
+LATIN = "\u024f"
 #: Distance between a letter and the same letter at the end of a word.
 _END = 0x100000
 
@@ -133,37 +136,70 @@ class WordTransducer:
         return total + self.step(state, chr(ord(letters[-1]) + _END))[1]
 
 
-class Counter(dict):
-    """Bytes between two separators -> tokens, filled as they are met. Compiled
-    from the text of a tokenizer file (BPE with a word-end suffix, byte-level
-    letters, NFC and lower case, pieces cut by a pattern)."""
+class Splitter:
+    """Cuts the bytes between two separators into pieces, as the tokenizer file
+    says (NFC and lower case, a pattern, byte-level letters). Characters beyond
+    Latin are left to the library's own normalizer and splitter, whose Unicode
+    tables may be older or newer than Python's."""
 
     def __init__(self, spec: str):
-        super().__init__()
         data = json.loads(spec)
-        model, cut = data["model"], data["pre_tokenizer"]["pretokenizers"][0]
+        cut = data["pre_tokenizer"]["pretokenizers"][0]
         kinds = [n["type"] for n in data["normalizer"]["normalizers"]]
-        if model["type"] != "BPE" or cut["type"] != "Split" or kinds != ["NFC", "Replace", "Lowercase"]:
+        if data["model"]["type"] != "BPE" or cut["type"] != "Split" or kinds != ["NFC", "Replace", "Lowercase"]:
             raise ValueError("not a lower-casing word BPE tokenizer")
-        merges = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
-        self.words = WordTransducer(merges, model["end_of_word_suffix"])
         self.pattern = regex.compile(cut["pattern"]["Regex"])
-        special = sorted((t["content"] for t in data["added_tokens"]), key=len, reverse=True)
-        self.special = regex.compile("|".join(map(regex.escape, special))) if special else None
+        self.special_ids = {t["content"]: t["id"] for t in data["added_tokens"]}
+        special = sorted(self.special_ids, key=len, reverse=True)
+        self.special = regex.compile("(" + "|".join(map(regex.escape, special)) + ")") if special else None
         self.letters = byte_letters()
+        self.library = Tokenizer.from_str(spec)
 
-    def __missing__(self, raw: bytes) -> int:
+    def pieces(self, raw: bytes) -> list[str]:
+        """Pieces as letters; a special string is a piece of its own, after a NUL
+        (which is no letter)."""
         text = raw.decode("utf-8", "replace")
+        if self.special is None or "<" not in text:
+            return self._cut(text)
+        out = []
+        for k, part in enumerate(self.special.split(text)):
+            out += ["\0" + part] if k % 2 else self._cut(part)
+        return out
+
+    def _cut(self, text: str) -> list[str]:
+        if text.isascii():
+            found = self.pattern.findall(text.lower())
+            if text.isprintable():
+                return found
+        elif max(text) <= LATIN:
+            found = self.pattern.findall(unicodedata.normalize("NFC", text).lower())
+        else:
+            return [p for p, _ in self.library.pre_tokenizer.pre_tokenize_str(self.library.normalizer.normalize_str(text))]
+        return ["".join([self.letters[b] for b in piece.encode()]) for piece in found]
+
+
+class Counter(dict):
+    """Bytes between two separators -> tokens, filled as they are met. Compiled
+    from the text of a tokenizer file (BPE with a word-end suffix)."""
+
+    def __init__(self, spec: str):
+        super().__init__()
+        model = json.loads(spec)["model"]
+        merges = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+        self.splitter = Splitter(spec)
+        self.words = WordTransducer(merges, model["end_of_word_suffix"])
+        self.known: dict[str, int] = {}
+
+    def __missing__(self, raw: bytes) -> int:
         total = 0
-        if self.special is not None and "<" in text:
-            parts = self.special.split(text)
-            total, text = len(parts) - 1, None
-        for part in [text] if text is not None else parts:
-            part = unicodedata.normalize("NFC", part).replace("\u03a3", "\u03c3").lower()  # a final sigma is like any other
-            for piece in self.pattern.findall(part):
-                total += self.words.count("".join([self.letters[b] for b in piece.encode()]))
+        for piece in self.splitter.pieces(raw):
+            tokens = self.known.get(piece)
+            if tokens is None:
+                tokens = self.known[piece] = 1 if piece[0] == "\0" else self.words.count(piece)
+            total += tokens
         if len(self) >= CACHE_WORDS:
             self.clear()
+            self.known.clear()
         self[raw] = total
         return total
 

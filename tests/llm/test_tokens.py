@@ -52,7 +52,7 @@ def both():
     return Tokenizer.from_file(PATH), Counter(open(PATH, encoding="utf-8").read())
 
 
-@settings(max_examples=150, deadline=None)
+@settings(max_examples=400, deadline=None)
 @given(st.text(alphabet=st.one_of(st.characters(codec="utf-8"), st.sampled_from(" \n'stremlvdABCéß<|>"))), st.integers(1, 9))
 def test_counts_of_any_text(text, size):
     library, counter = both()
