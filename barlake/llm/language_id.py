@@ -87,9 +87,11 @@ def _scored(rows: DataFrame, model: np.ndarray) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            counts = [trigram_counts(t) for t in utf8(batch.column("t"))]
-            grams = [int(c.sum()) for c in counts]
-            logs = [(spread.value @ c) / TEMPER for c in counts]
+            grams, logs = [], []
+            for text in utf8(batch.column("t")):  # one table of counts at a time
+                counts = trigram_counts(text)
+                grams.append(int(counts.sum()))
+                logs.append((spread.value @ counts) / TEMPER)
             columns = [batch.column(f.name) for f in rest]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(grams, pa.int64()), pa.array(logs, pa.list_(pa.float64()))],
                                              names=[*(f.name for f in rest), "grams", "log_text"])
