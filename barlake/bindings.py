@@ -27,22 +27,20 @@ from .operators.clean import (
     dedupe_keep_last,
     filter_time_window,
     normalize_schema,
+    row_sample,
     universe_filter,
 )
 from .operators.constraints import check_constraints
 from .operators.evaluate import directional_accuracy, error_metrics, supervised_set, time_split, top_k_per_group
-from .operators.quality import RULES, duplicate_keys, quality_metrics, report_row, write_report
+from .operators.quality import RULES, duplicate_keys, quality_metrics, report_row, violated, write_report
 from .operators.series import forward_fill, lead_target, pick_strategy, rolling_mean, series_windows
 from .operators.upsert import assign_keys, upsert
 from .plans import gold, silver
-from .plans.windows import ingest_window
-from .session import scratch_path, table
+from .plans.windows import ingest_window, load_window, slice_column
+from .session import scratch_path, staged, table
 from .sources.scan import read_window, read_with_path_key, scan_partitioned, scan_recursive
 from .sources.sinks import append, land_bronze, publish, staged_overwrite
 
-# Physical only (results never depend on it): small enough that the sf0.01
-# check crosses several chunk boundaries of the skew-safe series windows.
-CHUNK_ROWS = 4096
 MAS = (10, 20, 50, 200)
 TARGET_DAY = "2024-01-25"
 LOAD_TS = "2024-02-01 00:00:00"
@@ -126,7 +124,8 @@ silver AS (
 
 
 def _silver(spark, d, ma_round: int | None = 9) -> DataFrame:
-    out = silver.enrich(_bars(spark, d), "ticker", "event_time", MAS)
+    # staged: the bars are read by the series bound and by the window
+    out = silver.enrich(staged(_bars(spark, d), "bars"), "ticker", "event_time", MAS)
     if ma_round is not None:
         out = out.select(*[F.round(c, ma_round).alias(c) if c.startswith("ma") else F.col(c) for c in out.columns])
     return out.select("ticker", "event_time", "open", "high", "low", "close", "volume",
@@ -138,10 +137,8 @@ SILVER_RAW_CTES = "WITH " + BARS_CTE + "," + _fill_ma_ctes("bars", None)
 
 
 def _gold_tables(spark, d):
-    from .operators.series import materialize
-
     # dims and fact all derive from the base: computed once (as in run_gold)
-    base = materialize(gold.gold_base(_silver(spark, d, None), zone="UTC"))
+    base = staged(gold.gold_base(_silver(spark, d, None), zone="UTC"), "gold_base")
     dim_t = gold.ticker_dim(None, base.select("ticker"), LOAD_TS)
     dim_d = gold.date_dim(base)
     fact = gold.upsert_fact(None, gold.fact_rows(base, dim_t, dim_d, LOAD_TS))
@@ -200,7 +197,7 @@ SELECT event_id, event_type, ts, v AS v_raw,
 FROM b""")
 def q_forward_fill(spark, d):
     b = _b(spark, d).select("event_id", "event_type", "ts", F.col("v").alias("v_raw"), F.col("v").alias("v_filled"))
-    return forward_fill(b, ["event_type"], ["ts", "event_id"], ["v_filled"], chunk_rows=CHUNK_ROWS)
+    return forward_fill(b, ["event_type"], ["ts", "event_id"], ["v_filled"])
 
 
 def _ma_sql(col: str, key: str, order: str, digits: int = 9) -> str:
@@ -214,7 +211,7 @@ SELECT event_id, event_type, ts, value, {_ma_sql('value', 'event_type', 'ts, eve
 FROM events""")
 def q_moving_averages(spark, d):
     e = _events(spark, d).select("event_id", "event_type", "ts", "value")
-    out = rolling_mean(e, ["event_type"], ["ts", "event_id"], "value", MAS, chunk_rows=CHUNK_ROWS)
+    out = rolling_mean(e, ["event_type"], ["ts", "event_id"], "value", MAS)
     return out.select("event_id", "event_type", "ts", "value", *[F.round(f"ma{n}", 9).alias(f"ma{n}") for n in MAS])
 
 
@@ -224,7 +221,7 @@ SELECT event_id, user_id, ts, v, {_ma_sql('v', 'user_id', 'ts, event_id')}
 FROM b""")
 def q_moving_averages_by_user(spark, d):
     b = _b(spark, d).select("event_id", "user_id", "ts", "v")
-    out = rolling_mean(b, ["user_id"], ["ts", "event_id"], "v", MAS, chunk_rows=CHUNK_ROWS)
+    out = rolling_mean(b, ["user_id"], ["ts", "event_id"], "v", MAS)
     return out.select("event_id", "user_id", "ts", "v", *[F.round(f"ma{n}", 9).alias(f"ma{n}") for n in MAS])
 
 
@@ -242,7 +239,7 @@ def q_moving_sums_exact(spark, d):
         return [F.sum("px").over(frame).cast("decimal(38,4)").alias("sum200"),
                 F.count("px").over(frame).cast("long").alias("n200")]
 
-    out = series_windows(e, ["event_type"], ["ts", "event_id"], build=build, halo_before=199, chunk_rows=CHUNK_ROWS)
+    out = series_windows(e, ["event_type"], ["ts", "event_id"], build=build, halo_before=199)
     return out.select("event_id", "event_type", "ts", "sum200", "n200")
 
 
@@ -252,7 +249,39 @@ SELECT event_id, event_type, ts, value,
 FROM events""")
 def q_lead_target(spark, d):
     e = _events(spark, d).select("event_id", "event_type", "ts", "value")
-    return lead_target(e, ["event_type"], ["ts", "event_id"], "value", "target_next", chunk_rows=CHUNK_ROWS)
+    return lead_target(e, ["event_type"], ["ts", "event_id"], "value", "target_next")
+
+
+@register("forward_fill_null_keys", f"""
+WITH {B_CTE}, k AS (SELECT event_id, CASE WHEN event_type = 'error' THEN NULL ELSE event_type END AS key, ts, v FROM b)
+SELECT event_id, key, last_value(v IGNORE NULLS) OVER (PARTITION BY key ORDER BY ts, event_id
+         ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS v_filled
+FROM k""")
+def q_forward_fill_null_keys(spark, d):
+    """Rows without a key are a series of their own, whatever the strategy."""
+    key = F.when(F.col("event_type") != "error", F.col("event_type"))
+    b = _b(spark, d).select("event_id", key.alias("key"), "ts", F.col("v").alias("v_filled"))
+    return forward_fill(b, ["key"], ["ts", "event_id"], ["v_filled"]).select("event_id", "key", "v_filled")
+
+
+@register("forward_fill_types", """
+WITH t AS (SELECT event_id, event_type, ts,
+    CASE WHEN event_id % 7 = 0 THEN NULL ELSE 9007199254740000 + event_id END AS big,
+    CASE WHEN event_id % 7 = 0 THEN NULL ELSE CAST(value AS DECIMAL(19,4)) END AS price FROM events)
+SELECT event_id, last_value(big IGNORE NULLS) OVER w AS big, last_value(price IGNORE NULLS) OVER w AS price
+FROM t WINDOW w AS (PARTITION BY event_type ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""")
+def q_forward_fill_types(spark, d):
+    """Filled columns keep their types: bigint and decimal stay exact."""
+    gap = F.col("event_id") % 7 == 0
+    t = _events(spark, d).select("event_id", "event_type", "ts",
+                                 F.when(~gap, F.lit(9007199254740000) + F.col("event_id")).alias("big"),
+                                 F.when(~gap, F.col("value").cast("decimal(19,4)")).alias("price"))
+    return forward_fill(t, ["event_type"], ["ts", "event_id"], ["big", "price"]).select("event_id", "big", "price")
+
+
+@register("row_sample", "SELECT event_id, ts, event_type, value FROM events ORDER BY ts, event_id LIMIT 20")
+def q_row_sample(spark, d):
+    return row_sample(_events(spark, d).select("event_id", "ts", "event_type", "value"), ["ts", "event_id"], 20)
 
 
 # ---------------------------------------------------------------- bars, time
@@ -417,16 +446,13 @@ def q_quality_metrics(spark, d):
 
 
 _GATE_UNION = " UNION ALL ".join(
-    f"SELECT {i} AS rule_order, '{m}' AS rule, {m} AS violations FROM m" for i, (m, _) in enumerate(RULES))
+    f"SELECT {i} AS rule_order, '{m}' AS rule, {m} AS violations FROM m" for i, m in enumerate(RULES))
 
 
 @register("quality_gate", f"WITH {QI_BAD}, m AS ({_metrics_sql('qi')})\n"
                           f"SELECT * FROM ({_GATE_UNION}) WHERE violations > 0")
 def q_quality_gate(spark, d):
-    m = quality_metrics(_quality_input(spark, d, True))
-    stack = ", ".join(f"{i}, '{name}', {name}" for i, (name, _) in enumerate(RULES))
-    rules = m.select(F.expr(f"stack({len(RULES)}, {stack}) AS (rule_order, rule, violations)"))
-    return rules.filter(F.col("violations") > 0)
+    return violated(quality_metrics(_quality_input(spark, d, True)))
 
 
 @register("quality_report", SILVER_CTES + ", m AS (" + _metrics_sql("silver") + ")\n"
@@ -434,7 +460,7 @@ def q_quality_gate(spark, d):
           f"'{TARGET_DAY}' AS target_date, CAST(NULL AS VARCHAR) AS start_date FROM m")
 def q_quality_report(spark, d):
     out = _silver(spark, d)
-    rep = report_row(quality_metrics(out), f"{LOAD_TS[:10]}T00:00:00Z", "full", TARGET_DAY, None)
+    rep = report_row(quality_metrics(staged(out, "silver")), f"{LOAD_TS[:10]}T00:00:00Z", "full", TARGET_DAY, None)
     path = scratch_path(spark, "quality_report")
     write_report(rep, path)
     from .operators.quality import REPORT_SCHEMA
@@ -544,15 +570,14 @@ FROM orders o JOIN customer c ON c.c_custkey = o.o_custkey
 GROUP BY 1, 2""")
 def q_star_join(spark, d):
     o, c = table(spark, d, "orders"), table(spark, d, "customer")
-    # pre-aggregate the fact per (customer, day) before the join: a hot
-    # customer collapses map-side; exact because decimal sums re-aggregate.
-    per_cust = o.groupBy("o_custkey", F.to_date("o_orderdate").alias("order_date")).agg(
-        F.sum(F.col("o_totalprice").cast("decimal(19,4)")).alias("_rev"), F.count(F.lit(1)).alias("_n"))
-    # customer is a dimension (one row per key); AQE broadcasts it when its
-    # measured size is under the threshold, otherwise both sides shuffle.
-    j = per_cust.join(c.select(F.col("c_custkey").alias("o_custkey"), "c_mktsegment"), "o_custkey")
+    # join first: almost every (customer, day) is unique, so aggregating before
+    # the join would only add a shuffle. customer is a dimension (one row per
+    # key); AQE broadcasts it when its measured size allows.
+    j = o.select("o_custkey", "o_totalprice", F.to_date("o_orderdate").alias("order_date")).join(
+        c.select(F.col("c_custkey").alias("o_custkey"), "c_mktsegment"), "o_custkey")
     return j.groupBy("c_mktsegment", "order_date").agg(
-        F.sum("_rev").cast("decimal(38,4)").alias("revenue"), F.sum("_n").cast("long").alias("n_orders"))
+        F.sum(F.col("o_totalprice").cast("decimal(19,4)")).cast("decimal(38,4)").alias("revenue"),
+        F.count(F.lit(1)).cast("long").alias("n_orders"))
 
 
 @register("silver_full", SILVER_CTES + "\nSELECT * FROM silver")
@@ -621,8 +646,7 @@ def _lag_lead(spark, d) -> DataFrame:
     def build(spec):
         return [F.lag("value").over(spec).alias("prev_value"), F.lead("value").over(spec).alias("next_value")]
 
-    return series_windows(e, ["event_type"], ["ts", "event_id"], build=build, halo_before=1, halo_after=1,
-                          chunk_rows=CHUNK_ROWS)
+    return series_windows(e, ["event_type"], ["ts", "event_id"], build=build, halo_before=1, halo_after=1)
 
 
 LAG_LEAD_CTE = """x AS (SELECT event_type, value,
@@ -757,10 +781,11 @@ def q_scan_partition_window(spark, d):
 def q_scan_recursive(spark, d):
     path = scratch_path(spark, "nested")
     e = _events(spark, d).select("event_id", "ts", "event_type", "value")
-    e.withColumn("y", F.year("ts")).withColumn("m", F.month("ts")).write.partitionBy("y", "m", "event_type").parquet(path)
-    # recursive lookup disables discovery: partition values are not columns
-    back = scan_recursive(spark, path)
-    return back.join(e.select("event_id", "event_type"), "event_id").select("event_id", "ts", "event_type", "value")
+    # recursive lookup disables discovery: partition values are no columns of
+    # the scan, so the type is in the files as well
+    nested = e.withColumn("y", F.year("ts")).withColumn("m", F.month("ts")).withColumn("folder", F.col("event_type"))
+    nested.write.partitionBy("y", "m", "folder").parquet(path)
+    return scan_recursive(spark, path).select("event_id", "ts", "event_type", "value")
 
 
 @register("path_key_recovery", """
@@ -785,11 +810,9 @@ def q_partition_overwrite(spark, d):
     path = scratch_path(spark, "events_days")
     e = _events(spark, d).select("event_id", "ts", "value", F.to_date("ts").alias("trade_date"))
     publish(e, path, ["trade_date"], mode="full")
-    for _ in range(2):  # rerun: idempotent
-        day = spark.read.parquet(path).filter(F.col("trade_date") == F.lit("2024-01-10").cast("date"))
-        fixed = e.filter(F.col("trade_date") == F.lit("2024-01-10").cast("date")).withColumn("value", F.col("value") + 1)
-        staged_overwrite(fixed.select("event_id", "ts", "value", "trade_date"), path, ["trade_date"])
-        del day
+    # read-modify-write of one day of the table that is being written
+    day = spark.read.parquet(path).filter(F.col("trade_date") == F.lit("2024-01-10").cast("date"))
+    staged_overwrite(day.withColumn("value", F.col("value") + 1), path, ["trade_date"])
     return spark.read.parquet(path).select("event_id", "ts", "value", F.col("trade_date").cast("date"))
 
 
@@ -834,9 +857,10 @@ SELECT min(CAST(o_orderdate AS DATE)) AS window_start, DATE '2000-12-31' AS wind
 FROM orders""")
 def q_load_window(spark, d):
     o = table(spark, d, "orders").select(F.to_date("o_orderdate").alias("full_date"))
-    from .plans.windows import load_window_frame
-
-    return load_window_frame(o, "full_date", None, "2000-12-31")
+    lo, hi = load_window(o, "full_date", None, "2000-12-31")  # two dates
+    inside = o.filter(F.col("full_date").between(F.lit(str(lo)).cast("date"), F.lit(str(hi)).cast("date")))
+    return inside.agg(F.lit(str(lo)).cast("date").alias("window_start"), F.lit(str(hi)).cast("date").alias("window_end"),
+                      F.count(F.lit(1)).cast("long").alias("n_rows"))
 
 
 @register("batch_slices", """
@@ -848,9 +872,9 @@ SELECT CAST(floor(datediff('day', lo, d) / 93) AS INTEGER) AS slice_id,
 FROM x, lo GROUP BY 1, 2""")
 def q_batch_slices(spark, d):
     o = table(spark, d, "orders").select(F.to_date("o_orderdate").alias("d"))
-    lo = o.agg(F.min("d")).first()[0]  # one date: the load window start
-    x = o.withColumn("lo", F.lit(lo).cast("date"))
-    sid = F.floor(F.datediff("d", "lo") / 93).cast("int")
+    lo, _ = load_window(o, "d")  # two dates
+    x = o.withColumn("lo", F.lit(str(lo)).cast("date"))
+    sid = slice_column("d", lo, 93)
     return x.groupBy(sid.alias("slice_id"), F.date_add("lo", sid * 93).alias("slice_start")).agg(
         F.count(F.lit(1)).cast("long").alias("n_rows"), F.countDistinct("d").cast("long").alias("n_days"))
 
@@ -959,3 +983,92 @@ def q_pipeline_gold_features(spark, d):
     dim_d = spark.read.parquet(f"{root}/gold/dim_date")
     fact = scan_partitioned(spark, f"{root}/gold/fact_prices").withColumn("date_key", F.col("date_key").cast("int"))
     return gold.feature_view(fact, dim_t, dim_d)
+
+
+START_DAY = "2024-01-10"
+
+
+@register("silver_start_bound", PIPE_SILVER_CTES.replace("FROM events GROUP BY 1, 2))", f"FROM events WHERE ts >= TIMESTAMP '{START_DAY}' GROUP BY 1, 2))") + """
+SELECT * REPLACE (event_time - INTERVAL 7 HOUR AS event_time) FROM silver""")
+def q_silver_start_bound(spark, d):
+    """A full rebuild from a start date: the bound is a local trade date, so the
+    first day is whole although its first hours are the day before in UTC."""
+    root = scratch_path(spark, "pipeline_start")
+    _land_events_bronze(spark, d, f"{root}/bronze")
+    silver.run_silver(spark, f"{root}/bronze", f"{root}/silver", f"{root}/report", "full", "2024-01-30", RUN_TS,
+                      start_date=START_DAY, zone="Asia/Ho_Chi_Minh")
+    return _published_silver(spark, f"{root}/silver")
+
+
+LEADING_CTE = GAP_BARS_CTE.replace("THEN NULL ELSE high END", "THEN NULL ELSE 1e6 END").replace("THEN NULL ELSE low END", "THEN NULL ELSE CAST(0 AS DOUBLE) END").replace("THEN NULL ELSE open END AS open", "OR (ticker <> 'click' AND event_time < TIMESTAMP '2024-01-24') THEN NULL ELSE open END AS open").replace(
+    "THEN NULL ELSE close END AS close", "OR event_time >= TIMESTAMP '2024-01-25' THEN NULL ELSE close END AS close")
+
+
+@register("silver_incremental_leading_nulls", "WITH " + LEADING_CTE + "," + _fill_ma_ctes("bars")
+          + f"\nSELECT * FROM silver WHERE trade_date = DATE '{TARGET_DAY}'")
+def q_silver_incremental_leading_nulls(spark, d):
+    """Prices that begin at different times: open is missing until the day
+    before the target, close from the target on. Silver left those early rows
+    out, yet an incremental run equals a full rebuild."""
+    root = scratch_path(spark, "pipeline_leading")
+
+    def land(**bounds) -> None:
+        _land_events_bronze(spark, d, f"{root}/raw", **bounds)
+        raw = scan_partitioned(spark, f"{root}/raw")
+        local = F.to_date("Trade_date")
+        early = (F.col("Ticker") != "click") & (local < F.lit("2024-01-24").cast("date"))
+        late = local >= F.lit(TARGET_DAY).cast("date")
+        keep = raw.where(local >= F.lit(bounds["since"]).cast("date")) if "since" in bounds else raw
+        wide = [F.when(F.col(c).isNotNull(), F.lit(v)).alias(c) for c, v in (("High", 1e6), ("Low", 0.0))]  # always bracket
+        land_bronze(keep.select("Ticker", "Time", F.when(~early, F.col("Open")).alias("Open"), *wide,
+                                F.when(~late, F.col("Close")).alias("Close"), "Volume", local.alias("Trade_date")), f"{root}/bronze")
+
+    args = (f"{root}/bronze", f"{root}/silver", f"{root}/report")
+    land(before=TARGET_DAY)
+    silver.run_silver(spark, *args, "full", TARGET_DAY, RUN_TS, zone="UTC")
+    land(since=TARGET_DAY)
+    silver.run_silver(spark, *args, "incremental", TARGET_DAY, RUN_TS, zone="UTC", lookback_days=3)
+    out = _published_silver(spark, f"{root}/silver")
+    return out.filter(F.col("trade_date") == F.lit(TARGET_DAY).cast("date"))
+
+
+@register("bronze_reference_layout", """
+SELECT printf('%03d', CAST(user_id % 20 AS INTEGER)) AS ticker, ts AS event_time, CAST(ts AS DATE) AS trade_date,
+       value AS close, user_id AS volume FROM events""")
+def q_bronze_reference_layout(spark, d):
+    """Lower-case day and key folders, keys with leading zeros, integer
+    nanosecond times."""
+    root = scratch_path(spark, "bronze_layout")
+    e = _events(spark, d)
+    micros = F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts)")
+    rows = e.select(F.to_date("ts").alias("trade_date"), F.format_string("%03d", (F.col("user_id") % 20).cast("int")).alias("ticker"),
+                    (micros * 1000).alias("Time"), *[F.col("value").alias(c) for c in ("Open", "High", "Low", "Close")],
+                    F.col("user_id").alias("Volume"))
+    rows.repartition("trade_date").write.partitionBy("trade_date", "ticker").parquet(root)
+    out = silver.normalize_bronze(silver.read_bronze(spark, root), zone="UTC")
+    return out.select("ticker", "event_time", "trade_date", "close", "volume")
+
+
+@register("fact_cross_day_upsert", """
+WITH s AS (SELECT event_type AS ticker, CAST(ts AS DATE) AS day, max(value) AS v FROM events GROUP BY 1, 2),
+     t AS (SELECT ticker, CAST(row_number() OVER (ORDER BY ticker) AS BIGINT) AS ticker_key FROM (SELECT DISTINCT ticker FROM s))
+SELECT ticker_key, CAST(strftime(day + INTERVAL 1 DAY, '%Y%m%d') AS INTEGER) AS date_key,
+       CAST(day + INTERVAL 1 DAY AS TIMESTAMP) AS event_time, CAST(v AS DECIMAL(19,4)) AS close_price
+FROM s JOIN t USING (ticker)""")
+def q_fact_cross_day_upsert(spark, d):
+    """A bar just before midnight, then one at midnight in a second load: they
+    round to the same second and day, so the second replaces the first."""
+    root = scratch_path(spark, "gold_midnight")
+    days = _events(spark, d).groupBy(F.col("event_type").alias("ticker"), F.to_date("ts").alias("day")).agg(F.max("value").alias("v"))
+
+    def load(at, bump: float, name: str) -> None:
+        price = F.col("v") + bump
+        rows = days.select("ticker", at.alias("event_time"), *[price.alias(c) for c in ("open", "high", "low", "close")],
+                           F.lit(1).cast("long").alias("volume"), *[price.alias(f"ma{n}") for n in MAS], F.to_date(at).alias("trade_date"))
+        publish(rows, f"{root}/{name}", ["trade_date"])
+        gold.run_gold(spark, f"{root}/{name}", f"{root}/gold", LOAD_TS, zone="UTC")
+
+    midnight = F.date_add("day", 1).cast("timestamp_ntz")
+    load(midnight - F.expr("INTERVAL '0.3' SECOND"), 1.0, "before")
+    load(midnight, 0.0, "at")
+    return gold.read_table(spark, f"{root}/gold", "fact_prices").select("ticker_key", "date_key", "event_time", "close_price")

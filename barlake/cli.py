@@ -18,7 +18,7 @@ from pyspark.sql import SparkSession
 
 from .functions.time import utc_now_second
 from .plans import gold, silver
-from .plans.windows import batch_slices, load_window
+from .plans.windows import EmptyWindow, batch_slices, load_window
 
 
 def _date(s: str | None) -> dt.date | None:
@@ -66,29 +66,29 @@ def main(argv=None) -> dict:
                                 lookback_days=args.lookback_days, zone=args.zone)
     elif args.cmd == "gold":
         start, end = _date(args.start_date), _date(args.end_date)
-        if start and end and start > end:
-            raise SystemExit("--start-date must be <= --end-date")
-        if args.batch_days is not None and args.batch_days <= 0:
-            raise SystemExit("--batch-days must be > 0")
-        if not args.batch_days:
-            out = gold.run_gold(spark, args.silver, args.gold, run_ts, start, end, args.zone, args.layout)
-        else:
-            # optional: bound each load to N days (each slice is one distributed job)
-            from .sources.scan import scan_partitioned
-
-            lo, hi = load_window(scan_partitioned(spark, args.silver), "trade_date", start, end)
-            out = {}
-            for a, b in batch_slices(lo, hi, args.batch_days):
-                try:
-                    out = gold.run_gold(spark, args.silver, args.gold, run_ts, a, b, args.zone, args.layout)
-                except RuntimeError:  # empty slice: skipped
-                    continue
-            if not out:
-                raise SystemExit("no gold batch was loaded; check the window and the silver data")
+        if start and end and end < start:
+            raise SystemExit(f"the window ends ({end}) before it starts ({start})")
+        if args.batch_days is not None and args.batch_days < 1:
+            raise SystemExit(f"a batch needs at least one day, got {args.batch_days}")
+        slices = [(start, end)]
+        try:
+            if args.batch_days:  # bound each load to N days; each slice is one distributed job
+                days = gold.gold_dates(gold.load_silver(spark, args.silver, args.layout), args.zone)
+                slices = batch_slices(*load_window(days, "full_date", start, end), args.batch_days)
+        except EmptyWindow as nothing:
+            raise SystemExit(f"no gold batch was loaded: {nothing}") from nothing
+        out = {}
+        for first, last in slices:
+            try:
+                out = gold.run_gold(spark, args.silver, args.gold, run_ts, first, last, args.zone, args.layout)
+            except EmptyWindow:  # a slice without rows; any other error ends the run
+                continue
+        if not out:
+            raise SystemExit("no gold batch was loaded; check the window and the silver data")
     else:
         from .streaming import start_silver_stream
 
-        q = start_silver_stream(spark, args.bronze, args.silver, args.report, run_ts.replace(" ", "T") + "Z",
+        q = start_silver_stream(spark, args.bronze, args.silver, args.report,
                                 checkpoint=args.checkpoint, available_now=not args.continuous)
         q.awaitTermination()
         out = {"stream": "stopped"}

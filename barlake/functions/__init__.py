@@ -1,6 +1,6 @@
 """Column-expression helpers (pure pyspark.sql.functions, JVM side)."""
 
-from .exprs import blank_to_null, is_blank, nan_to_null, null_or_nan
+from .exprs import is_blank, nan_to_null, null_or_nan
 from .time import (
     date_attributes,
     date_key,
@@ -8,12 +8,10 @@ from .time import (
     local_to_utc,
     parse_time_lenient,
     round_to_second,
-    timestamp_to_ntz,
     to_price,
 )
 
 __all__ = [
-    "blank_to_null",
     "is_blank",
     "nan_to_null",
     "null_or_nan",
@@ -23,6 +21,5 @@ __all__ = [
     "local_to_utc",
     "parse_time_lenient",
     "round_to_second",
-    "timestamp_to_ntz",
     "to_price",
 ]

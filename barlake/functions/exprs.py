@@ -9,9 +9,10 @@ def _c(c) -> Column:
 
 
 def nan_to_null(c) -> Column:
-    """NaN -> NULL so that NULL-skipping fills and averages also skip NaN."""
+    """NaN -> NULL so that NULL-skipping fills and averages also skip NaN. For
+    float and double columns; the type stays."""
     col = _c(c)
-    return F.when(F.isnan(col), F.lit(None).cast("double")).otherwise(col)
+    return F.when(~F.isnan(col), col)
 
 
 def null_or_nan(c) -> Column:
@@ -25,11 +26,6 @@ def is_blank(c) -> Column:
     return col.isNull() | (F.length(F.trim(col)) == 0)
 
 
-def blank_to_null(c) -> Column:
-    col = _c(c)
-    return F.when(is_blank(col), F.lit(None).cast("string")).otherwise(col)
-
-
 def combine_one_row(*frames):
     """Several one-row aggregates with distinct column names -> one row
     (union of the rows, then a global max per column; no join)."""

@@ -40,10 +40,6 @@ def local_to_utc(c, zone: str) -> Column:
     return F.convert_timezone(F.lit(zone), F.lit("UTC"), _c(c))
 
 
-def timestamp_to_ntz(c) -> Column:
-    return _c(c).cast("timestamp_ntz")
-
-
 def round_to_second(c) -> Column:
     """DATETIME2(0)-style rounding (half up) of an NTZ timestamp."""
     shifted = _c(c) + F.expr("INTERVAL '0.5' SECOND")

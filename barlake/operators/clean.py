@@ -12,8 +12,10 @@ from ..functions.exprs import is_blank
 
 
 def require_columns(df: DataFrame, names) -> None:
-    """Raise if any of ``names`` is missing (run before the normalising select)."""
-    missing = sorted(set(names) - set(df.columns))
+    """Raise if any of ``names`` is missing (run before the normalising select).
+    Case does not matter, as in Spark's own name resolution."""
+    there = {c.lower() for c in df.columns}
+    missing = sorted(n for n in set(names) if n.lower() not in there)
     if missing:
         raise ValueError(f"Missing required columns: {missing}")
 
@@ -95,3 +97,9 @@ def universe_filter(listing: DataFrame, symbol: str, conditions: Mapping[str, ob
     for c, v in conditions.items():
         cond = cond & (F.col(c) == F.lit(v))
     return listing.filter(cond).select(symbol).na.drop().distinct()
+
+
+def row_sample(df: DataFrame, order: Sequence[str], n: int = 20) -> DataFrame:
+    """The first ``n`` rows by ``order`` for a look at a table; planned as a
+    top-n, so each task forwards at most ``n`` rows."""
+    return df.orderBy(*order).limit(n)

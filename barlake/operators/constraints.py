@@ -8,8 +8,6 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .quality import duplicate_keys
-
 
 def check_constraints(
     df: DataFrame,
@@ -22,17 +20,21 @@ def check_constraints(
     (value, row count) with a partial aggregation — a hot foreign-key value
     leaves each task as one row — then left-anti join the referenced key set
     (distinct) and sum the counts of the orphans."""
-    spark = df.sparkSession
     parts = []
-    if pk:
-        parts.append(duplicate_keys(df, list(pk)).select(
-            F.lit(name).alias("table_name"), F.lit("pk:" + ",".join(pk)).alias("check_name"),
-            F.col("duplicate_key_count").alias("violations")))
-    if not_null:
-        agg = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in not_null])
-        stack = ", ".join(f"'not_null:{c}', `{c}`" for c in not_null)
-        parts.append(agg.select(F.lit(name).alias("table_name"),
-                                F.expr(f"stack({len(not_null)}, {stack}) as (check_name, violations)")))
+    checks = [("not_null:" + c, c) for c in not_null]
+    if pk or not_null:
+        # one scan: rows and NULLs per key, then the sums
+        nulls = [F.count_if(F.col(c).isNull()).alias(f"_null_{i}") for i, c in enumerate(not_null)]
+        if pk:
+            per_key = df.groupBy(*pk).agg(F.count(F.lit(1)).alias("_n"), *nulls)
+            sums = [F.count_if(F.col("_n") > 1).alias("_pk"),
+                    *[F.coalesce(F.sum(f"_null_{i}"), F.lit(0)).alias(f"_null_{i}") for i in range(len(checks))]]
+            totals = per_key.agg(*sums)
+        else:
+            totals = df.agg(*nulls)
+        found = [F.struct(F.lit("pk:" + ",".join(pk)).alias("check_name"), F.col("_pk").alias("violations"))] if pk else []
+        found += [F.struct(F.lit(label).alias("check_name"), F.col(f"_null_{i}").alias("violations")) for i, (label, _) in enumerate(checks)]
+        parts.append(totals.select(F.lit(name).alias("table_name"), F.inline(F.array(*found))))
     for col, (ref, ref_col) in (fks or {}).items():
         keys = ref.select(F.col(ref_col).alias(col)).distinct()
         values = df.filter(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("_n"))
@@ -43,3 +45,14 @@ def check_constraints(
     for p in parts[1:]:
         out = out.unionByName(p)
     return out.select("table_name", "check_name", F.col("violations").cast("long"))
+
+
+class ConstraintError(ValueError):
+    """A table that would break its declared constraints."""
+
+
+def enforce_constraints(checks: DataFrame) -> None:
+    """Raise once, naming every violated check (a bounded list: one row each)."""
+    broken = checks.where("violations > 0").orderBy("table_name", "check_name").collect()
+    if broken:
+        raise ConstraintError("; ".join(f"{r.table_name} {r.check_name}: {r.violations}" for r in broken))

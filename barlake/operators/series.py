@@ -12,17 +12,18 @@ measured bound, see ``pick_strategy``):
              rows so no task ever holds more than ``chunk_rows`` (+ halo) rows:
 
   1. range-partition + sort on (keys, order); the partition id and the row's
-     offset inside the partition are recorded, then the sorted table is
-     checkpointed so every later branch sees the same partitioning;
-  2. the global position ``pos`` = rows in earlier partitions + offset
-     (P numbers, P = partition count: a literal array, or a broadcast table
-     beyond ``MAX_LITERAL_OFFSETS``);
+     offset inside the partition are recorded, then the sorted table is staged
+     as Parquet so every later branch sees the same positions and reads only
+     the columns it needs;
+  2. the global position ``pos`` = rows in earlier partitions + offset (a
+     broadcast table of P rows, P = partition count);
   3. ``chunk = pos div chunk_rows``. The last ``halo_before`` rows of each
      chunk are copied into the next chunk (frames reaching back) and the first
      ``halo_after`` rows into the previous one (``lead``);
   4. forward fill across chunks: a small summary (one row per key x chunk
-     half) gives the last non-null value before each chunk's halo, joined on
-     (keys, chunk) and coalesced with the in-chunk fill;
+     half), itself cut into blocks, gives the last non-null value before each
+     chunk's halo, joined null-safely on (keys, chunk) and coalesced with the
+     in-chunk fill;
   5. windows run over ``partitionBy(keys, chunk).orderBy(pos)``; copies are dropped.
 
   Rows of one key are contiguous in ``pos``, so a chunk's halo either belongs to
@@ -33,11 +34,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.exprs import nan_to_null
+from ..session import staged
 
 POS = "_bl_pos"
 PART = "_bl_part"
@@ -46,7 +47,8 @@ _PID = "_bl_pid"
 _OFF = "_bl_off"
 
 DEFAULT_CHUNK_ROWS = 1 << 20
-MAX_LITERAL_OFFSETS = 20_000
+#: Summary rows of one key that a task of the carry's first level orders.
+CARRY_BLOCK = 4096
 
 
 def _names(cols) -> list[str]:
@@ -83,26 +85,7 @@ def chunk_rows_conf(df: DataFrame) -> int:
     return int(value) if value else DEFAULT_CHUNK_ROWS
 
 
-def materialize(df: DataFrame, how: str = "checkpoint") -> DataFrame:
-    """Pin a DataFrame whose partitioning must be identical for several
-    consumers. ``checkpoint`` writes to the shared ``spark.checkpoint.dir``
-    (survives executor loss); ``persist`` keeps blocks on executors."""
-    if how == "persist":
-        out = df.persist(StorageLevel.MEMORY_AND_DISK)
-        out.count()
-        return out
-    from ..session import work_dir
-
-    work_dir(df.sparkSession)
-    # cache first: writing the checkpoint would otherwise recompute the input
-    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
-    out = cached.checkpoint(eager=True)
-    cached.unpersist()
-    return out
-
-
-def with_position(df: DataFrame, keys, order, num_partitions: int | None = None,
-                  how: str = "checkpoint") -> DataFrame:
+def with_position(df: DataFrame, keys, order, num_partitions: int | None = None) -> DataFrame:
     """Add ``_bl_pos``: 0-based global rank over (keys, order).
 
     Range partitioning spreads a hot key over many tasks; no single-task window.
@@ -119,28 +102,26 @@ def with_position(df: DataFrame, keys, order, num_partitions: int | None = None,
         # documented layout: partition id in the upper 31 bits, row index below.
         .withColumn(_OFF, F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), 33))
     )
-    ranged = materialize(ranged, how)
+    ranged = staged(ranged, "positions")
     sizes = ranged.groupBy(_PID).agg(F.count(F.lit(1)).alias("_bl_n"))
-    if n <= MAX_LITERAL_OFFSETS:
-        # n numbers (one per range partition) -> a literal array lookup
-        counts = dict(sizes.collect())
-        starts, acc = [], 0
-        for p in range(max(counts, default=-1) + 1):
-            starts.append(acc)
-            acc += counts.get(p, 0)
-        start = F.element_at(F.array(*[F.lit(x).cast("long") for x in starts] or [F.lit(0).cast("long")]),
-                             F.col(_PID) + 1)
-        return ranged.withColumn(POS, start + F.col(_OFF)).drop(_PID, _OFF)
-    # one row per partition (bounded by n): a global window here is tiny.
+    # one row per range partition, so the global window and the broadcast are tiny
     before = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
-    starts_df = sizes.select(_PID, F.coalesce(F.sum("_bl_n").over(before), F.lit(0)).alias("_bl_start"))
+    starts = sizes.select(_PID, F.coalesce(F.sum("_bl_n").over(before), F.lit(0)).alias("_bl_start"))
     return (
-        ranged.join(F.broadcast(starts_df), _PID)
+        ranged.join(F.broadcast(starts), _PID)
         .withColumn(POS, F.col("_bl_start") + F.col(_OFF))
         .drop(_PID, _OFF, "_bl_start")
     )
 
 
+def _same(left: DataFrame, right: DataFrame, cols: Sequence[str]) -> Column:
+    """Null-safe equality of the columns: a NULL key is a series of its own."""
+    cond = F.lit(True)
+    for c in cols:
+        cond = cond & left[c].eqNullSafe(right[c])
+    return cond
+
+
 def _fill_carry(pos_df: DataFrame, keys: list[str], fill_cols: list[str],
                 chunk_rows: int, halo_before: int) -> DataFrame:
     """Per (keys, chunk p): last non-null value of each fill column among the
@@ -150,11 +131,21 @@ def _fill_carry(pos_df: DataFrame, keys: list[str], fill_cols: list[str],
     region = (chunk * 2 + tail.cast("long")).alias("_bl_region")
     aggs = [F.max_by(F.col(c), F.when(F.col(c).isNotNull(), F.col(POS))).alias(c) for c in fill_cols]
     summary = pos_df.groupBy(*keys, region).agg(*aggs)
-    upto = Window.partitionBy(*keys).orderBy("_bl_region").rowsBetween(Window.unboundedPreceding, 0)
+    block = F.expr(f"_bl_region div {CARRY_BLOCK}").alias("_bl_block")
+    summary = staged(summary.select("*", block), "carry")
+    upto = Window.partitionBy(*keys, "_bl_block").orderBy("_bl_region").rowsBetween(Window.unboundedPreceding, 0)
     cum = summary.select(
-        *keys, "_bl_region",
+        *keys, "_bl_region", "_bl_block",
         *[F.last(c, ignorenulls=True).over(upto).alias(f"_bl_carry_{c}") for c in fill_cols],
     )
+    # second level: what the key's earlier blocks leave behind, one row a block
+    blocks = summary.groupBy(*keys, "_bl_block").agg(
+        *[F.max_by(F.col(c), F.when(F.col(c).isNotNull(), F.col("_bl_region"))).alias(c) for c in fill_cols])
+    earlier = Window.partitionBy(*keys).orderBy("_bl_block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.select(*keys, "_bl_block", *[F.last(c, ignorenulls=True).over(earlier).alias(f"_bl_before_{c}") for c in fill_cols])
+    cum = cum.join(blocks, _same(cum, blocks, [*keys, "_bl_block"]), "left").select(
+        *[cum[k] for k in keys], "_bl_region",
+        *[F.coalesce(f"_bl_carry_{c}", f"_bl_before_{c}").alias(f"_bl_carry_{c}") for c in fill_cols])
     # region 2(p-1) (head of chunk p-1) ends right before chunk p's halo.
     return cum.filter(F.col("_bl_region") % 2 == 0).select(
         *keys, (F.expr("_bl_region div 2") + 1).alias(PART),
@@ -211,7 +202,8 @@ def series_windows(
     if strategy == "auto":
         strategy = pick_strategy(df, keys, chunk_rows)
     if nan_as_null and fill_cols:
-        df = df.select(*[nan_to_null(c).alias(c) if c in fill_cols else F.col(c) for c in df.columns])
+        floats = {c for c, kind in df.dtypes if c in fill_cols and kind in ("float", "double")}
+        df = df.select(*[nan_to_null(c).alias(c) if c in floats else F.col(c) for c in df.columns])
     cols = df.columns
 
     def apply(frame: DataFrame, spec: Window, carry: list[Column] | None) -> DataFrame:
@@ -243,7 +235,8 @@ def series_windows(
     carry_cols = None
     if fill_cols:
         carry = _fill_carry(pos_df, keys, fill_cols, b, halo_before)
-        exploded = exploded.join(carry, [*keys, PART], "left")
+        exploded = exploded.join(carry, _same(exploded, carry, [*keys, PART]), "left").select(
+            *[exploded[c] for c in exploded.columns], *[f"_bl_carry_{c}" for c in fill_cols])
         carry_cols = [F.col(f"_bl_carry_{c}") for c in fill_cols]
     spec = Window.partitionBy(*keys, PART).orderBy(POS)
     out = apply(exploded, spec, carry_cols).filter(~F.col(HALO))
@@ -275,9 +268,3 @@ def lead_target(df: DataFrame, keys, order, col: str, name: str = "target_next",
     def build(spec: Window) -> list[Column]:
         return [F.lead(col).over(spec).alias(name)]
     return series_windows(df, keys, order, build=build, halo_after=1, **kw)
-
-
-def lag_column(df: DataFrame, keys, order, col: str, name: str, **kw) -> DataFrame:
-    def build(spec: Window) -> list[Column]:
-        return [F.lag(col).over(spec).alias(name)]
-    return series_windows(df, keys, order, build=build, halo_before=1, **kw)

@@ -60,7 +60,7 @@ def upsert(
 
 
 def assign_keys(existing: DataFrame | None, members: DataFrame, natural: Sequence[str] | str,
-                key: str, how: str = "checkpoint") -> DataFrame:
+                key: str) -> DataFrame:
     """Surrogate keys: existing members keep theirs; new members (left anti
     join) get max(existing) + 1, + 2, ... in natural-key order.
 
@@ -81,6 +81,6 @@ def assign_keys(existing: DataFrame | None, members: DataFrame, natural: Sequenc
         kept = existing.select(*natural, F.col(key).cast("long").alias(key))
     if kept is not None and new.isEmpty():  # steady state: no new member, no ranking job
         return kept
-    ranked = with_position(new, [], natural, how=how)
+    ranked = with_position(new, [], natural)
     fresh = ranked.select(*natural, (base + F.col(POS) + 1).cast("long").alias(key))
     return fresh if kept is None else kept.unionByName(fresh)

@@ -10,13 +10,18 @@ from pyspark.sql import types as T
 from ..functions.exprs import combine_one_row
 from ..functions.time import date_attributes, round_to_second, to_price
 from ..operators.clean import dedupe_keep_last
+from ..operators.constraints import check_constraints, enforce_constraints
 from ..operators.series import lead_target, pick_strategy
 from ..operators.upsert import assign_keys, upsert
+from ..session import delete_path, staged, staging_scope
 from ..sources.scan import dataset_exists, read_with_path_key, scan_partitioned
-from ..sources.sinks import publish, staged_overwrite
+from ..sources.sinks import publish
+from .windows import EmptyWindow
 
-PRICE = "decimal(19,4)"
-MAX_TOUCHED_DAYS = 20_000
+#: Length of a ticker in the serving layer's schema.
+TICKER_CHARS = 16
+#: When a silver file was written, where a scan knows it (newer rows win).
+WRITTEN = "_bl_written"
 
 # Fixed gold table schemas (the serving layer's DDL, as Spark types).
 DIM_TICKER_SCHEMA = T.StructType([
@@ -50,6 +55,10 @@ FACT_PRICES_SCHEMA = T.StructType([
 SCHEMAS = {"dim_ticker": DIM_TICKER_SCHEMA, "dim_date": DIM_DATE_SCHEMA, "fact_prices": FACT_PRICES_SCHEMA}
 
 
+PARTITIONS = {"dim_ticker": [], "dim_date": [], "fact_prices": ["date_key"]}
+SORTS = {"dim_ticker": [], "dim_date": [], "fact_prices": ["ticker_key", "event_time"]}
+
+
 def ensure_tables(spark: SparkSession, gold_root: str) -> dict[str, bool]:
     """Create each gold table as an empty Parquet dataset if it is absent
     (metadata-only existence check). Returns which ones were created."""
@@ -58,30 +67,60 @@ def ensure_tables(spark: SparkSession, gold_root: str) -> dict[str, bool]:
         path = f"{gold_root}/{name}"
         created[name] = not dataset_exists(spark, path)
         if created[name]:
-            spark.createDataFrame([], schema).write.mode("overwrite").parquet(path)
+            publish(spark.createDataFrame([], schema), path, PARTITIONS[name])
     return created
+
+
+def read_table(spark: SparkSession, gold_root: str, name: str) -> DataFrame:
+    """A gold table with its declared schema, also when it is empty."""
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{gold_root}/{name}").select(*SCHEMAS[name].names)
+
+
 MEASURES = ["open_price", "high_price", "low_price", "close_price", "volume", "ma10", "ma20", "ma50", "ma200"]
 FACT_COLUMNS = ["ticker_key", "date_key", "event_time", *MEASURES, "load_ts_utc"]
 DIM_TICKER_COLUMNS = ["ticker_key", "ticker", "sector", "exchange", "is_active", "created_at", "updated_at"]
 DIM_DATE_COLUMNS = ["date_key", "full_date", "year", "quarter", "month", "day", "day_of_week", "is_weekend"]
 
 
+def load_silver(spark: SparkSession, path: str, layout: str = "canonical") -> DataFrame:
+    """Silver rows, with the time their file was written.
+
+    ``canonical``: silver partitioned by trade_date, so a filter on it becomes
+    PartitionFilters. ``mixed``: historical mixed layouts, read recursively with
+    the key recovered from the path; without a trade_date of their own the rows
+    get none (no pruning possible)."""
+    if not dataset_exists(spark, path):
+        raise EmptyWindow(f"no silver data at {path}")
+    written = F.col("_metadata.file_modification_time").alias(WRITTEN)
+    if layout == "canonical":
+        return scan_partitioned(spark, path, types={"ticker": "string"}).select("*", written)
+    if layout == "mixed":
+        return read_with_path_key(spark, path, extra=[written])
+    raise ValueError(f"unknown layout {layout!r}")
+
+
+def gold_dates(silver: DataFrame, zone: str = "Asia/Ho_Chi_Minh") -> DataFrame:
+    """The gold date (full_date) of every silver row: of its event time in
+    ``zone``, rounded to the second."""
+    local = F.convert_timezone(F.lit("UTC"), F.lit(zone), F.col("event_time").cast("timestamp_ntz"))
+    return silver.select(F.to_date(round_to_second(local)).alias("full_date"))
+
+
 def gold_base(silver: DataFrame, zone: str = "Asia/Ho_Chi_Minh") -> DataFrame:
-    """Typed silver rows, one per (ticker, event_time): the event time is
-    shown as wall clock in ``zone`` (what the serving layer stores), and
-    duplicates keep a deterministic survivor (largest measures)."""
-    base = silver.select(
-        F.col("ticker").cast("string").alias("ticker"),
-        F.convert_timezone(F.lit("UTC"), F.lit(zone), F.col("event_time").cast("timestamp_ntz")).alias("event_time"),
-        F.col("open").cast("double").alias("open_price"),
-        F.col("high").cast("double").alias("high_price"),
-        F.col("low").cast("double").alias("low_price"),
-        F.col("close").cast("double").alias("close_price"),
-        F.col("volume").cast("long").alias("volume"),
-        *[F.col(c).cast("double").alias(c) for c in ("ma10", "ma20", "ma50", "ma200")],
-    ).withColumn("full_date", F.to_date("event_time"))
+    """Typed silver rows, one per (ticker, event_time): the event time is shown
+    as wall clock in ``zone``, rounded to the second (what the serving layer
+    stores); its date is taken after rounding, so a row next to midnight has one
+    key whichever load it came with. Of duplicates the most recently written
+    survives, then the one with the largest measures."""
+    source = {"open_price": "open", "high_price": "high", "low_price": "low", "close_price": "close"}
+    local = F.convert_timezone(F.lit("UTC"), F.lit(zone), F.col("event_time").cast("timestamp_ntz"))
+    typed = {"ticker": F.col("ticker").cast("string"), "event_time": round_to_second(local)}
+    for name in MEASURES:
+        typed[name] = F.col(source.get(name, name)).cast("long" if name == "volume" else "double")
+    written = [WRITTEN] if WRITTEN in silver.columns else []
+    base = silver.select(*[c.alias(n) for n, c in typed.items()], *written).withColumn("full_date", F.to_date("event_time"))
     base = base.na.drop(subset=["ticker", "event_time", "full_date"])
-    return dedupe_keep_last(base, ["ticker", "event_time"], MEASURES)
+    return dedupe_keep_last(base, ["ticker", "event_time"], [*written, *MEASURES]).drop(*written)
 
 
 def date_dim(df: DataFrame, date_col: str = "full_date") -> DataFrame:
@@ -118,12 +157,11 @@ def ticker_dim(existing: DataFrame | None, tickers: DataFrame, now: str, exchang
 
 def fact_rows(base: DataFrame, dim_ticker: DataFrame, dim_date: DataFrame, load_ts: str) -> DataFrame:
     """Staged fact: inner joins to both dimensions (enforcing the foreign keys),
-    decimal(19,4) measures, event time rounded to the second. Dimension sides
+    decimal(19,4) measures; times are rounded already. Dimension sides
     are small relative to the fact (one row per ticker / per day); AQE turns the
     joins into broadcast hash joins when their measured size allows."""
-    rounded = base.withColumn("event_time", round_to_second("event_time"))
     j = (
-        rounded.join(dim_ticker.select("ticker", "ticker_key"), "ticker")
+        base.join(dim_ticker.select("ticker", "ticker_key"), "ticker")
         .join(dim_date.select(F.col("full_date"), "date_key"), "full_date")
     )
     return j.select(
@@ -136,8 +174,8 @@ def fact_rows(base: DataFrame, dim_ticker: DataFrame, dim_date: DataFrame, load_
 
 
 def dedupe_fact(fact: DataFrame) -> DataFrame:
-    """Two bars that round to the same second collide on the fact key; keep the
-    one with the largest measures (deterministic)."""
+    """Rows that share the fact key: the one with the largest measures stays
+    (:func:`gold_base` has chosen by recency before)."""
     return dedupe_keep_last(fact, ["ticker_key", "event_time"], [*MEASURES, "date_key"])
 
 
@@ -182,71 +220,99 @@ def validation_snapshot(dim_ticker: DataFrame, dim_date: DataFrame, fact: DataFr
     return out.select(*[F.col(c).cast("long") for c in out.columns])
 
 
+def check_staged(tables: dict[str, DataFrame]) -> DataFrame:
+    """The serving layer's constraints on tables about to be published: unique
+    keys, NOT NULL columns, foreign keys and the ticker's length."""
+    required = {n: [f.name for f in schema.fields if not f.nullable] for n, schema in SCHEMAS.items()}
+    ticker, date, fact = (tables[n] for n in ("dim_ticker", "dim_date", "fact_prices"))
+    parts = [
+        check_constraints(ticker, "dim_ticker", pk=["ticker_key"], not_null=required["dim_ticker"]),
+        check_constraints(ticker, "dim_ticker", pk=["ticker"]),
+        check_constraints(date, "dim_date", pk=["date_key"], not_null=required["dim_date"]),
+        check_constraints(date, "dim_date", pk=["full_date"]),
+        check_constraints(fact, "fact_prices", pk=["ticker_key", "event_time"], not_null=required["fact_prices"],
+                          fks={"ticker_key": (ticker, "ticker_key"), "date_key": (date, "date_key")}),
+        ticker.agg(F.count_if(F.length("ticker") > TICKER_CHARS).alias("violations")).select(
+            F.lit("dim_ticker").alias("table_name"), F.lit("length:ticker").alias("check_name"), "violations"),
+    ]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
+def _pending(gold_root: str) -> str:
+    return f"{gold_root.rstrip('/')}/_pending"
+
+
+def apply_pending(spark: SparkSession, gold_root: str) -> bool:
+    """Publish a load that was staged completely, dimensions first so that a fact
+    row never references a missing key. Every step overwrites from the staged
+    copy, so it can be repeated after a crash at any point; the copy goes last.
+    A load that was not staged completely is discarded. Returns whether a load
+    was published."""
+    pending = _pending(gold_root)
+    ready = dataset_exists(spark, f"{pending}/_READY")
+    if ready:
+        for name in ("dim_ticker", "dim_date", "fact_prices"):
+            table = spark.read.schema(SCHEMAS[name]).parquet(f"{pending}/{name}")
+            publish(table, f"{gold_root}/{name}", PARTITIONS[name], "incremental" if PARTITIONS[name] else "full", SORTS[name])
+        delete_path(spark, f"{pending}/_READY")
+    if dataset_exists(spark, pending):
+        delete_path(spark, pending)
+    return ready
+
+
 def run_gold(spark: SparkSession, silver_path: str, gold_root: str, load_ts: str,
              start=None, end=None, zone: str = "Asia/Ho_Chi_Minh", layout: str = "canonical") -> dict:
     """Load silver rows in [start, end] (default: all) into the gold tables.
     One set-based pass; only the date partitions that receive rows are
-    rewritten in the fact table, so reruns are idempotent.
+    rewritten in the fact table, so reruns are idempotent. EmptyWindow if no
+    silver row falls into the window.
 
-    ``canonical``: silver partitioned by trade_date, so the window becomes
-    PartitionFilters (one day of slack on each side: the gold date is the
-    local date of the event, silver's trade_date the bronze date).
-    ``mixed``: historical mixed layouts, read recursively with the key
-    recovered from the path (no pruning possible)."""
-    if layout == "canonical":
-        silver = scan_partitioned(spark, silver_path)
-        if start:
+    The three tables are staged below ``gold_root/_pending``, checked there, and
+    marked ready; only then are they published. A load that was interrupted
+    while publishing is completed by the next one before it starts its own.
+
+    ``canonical`` silver is pruned by trade_date, with one day of slack on each
+    side: the gold date is the local date of the event, silver's trade_date the
+    bronze date."""
+    apply_pending(spark, gold_root)
+    with staging_scope():
+        silver = load_silver(spark, silver_path, layout)
+        if layout == "canonical" and start:
             silver = silver.filter(F.col("trade_date") >= F.date_sub(F.lit(str(start)).cast("date"), 1))
-        if end:
+        if layout == "canonical" and end:
             silver = silver.filter(F.col("trade_date") <= F.date_add(F.lit(str(end)).cast("date"), 1))
-    elif layout == "mixed":
-        silver = read_with_path_key(spark, silver_path)
-    else:
-        raise ValueError(f"unknown layout {layout!r}")
-    base = gold_base(silver, zone)
-    if start:
-        base = base.filter(F.col("full_date") >= F.lit(str(start)).cast("date"))
-    if end:
-        base = base.filter(F.col("full_date") <= F.lit(str(end)).cast("date"))
-    from ..operators.series import materialize
-
-    base = materialize(base)
-    if base.isEmpty():
-        raise RuntimeError("no silver rows in the selected window")
-    paths = {n: f"{gold_root}/{n}" for n in ("dim_ticker", "dim_date", "fact_prices")}
-    exists = {n: dataset_exists(spark, p) for n, p in paths.items()}
-    old_ticker = spark.read.parquet(paths["dim_ticker"]) if exists["dim_ticker"] else None
-    new_ticker = materialize(ticker_dim(old_ticker, base.select("ticker"), load_ts))
-    staged_dates = date_dim(base)
-    old_date = spark.read.parquet(paths["dim_date"]) if exists["dim_date"] else None
-    new_date = staged_dates if old_date is None else upsert(old_date, staged_dates, ["date_key"])
-    new_date = materialize(new_date.select(*DIM_DATE_COLUMNS))
-    # dims are published before the fact (their new versions are already
-    # materialised), so a fact row never references a missing key.
-    publish(new_ticker, paths["dim_ticker"])
-    publish(new_date, paths["dim_date"])
-    staged_fact = fact_rows(base, new_ticker, new_date, load_ts)
-    if exists["fact_prices"]:
-        # only the date partitions that receive rows are read and rewritten
-        # (through a staging copy). Touched days are bounded by the calendar
-        # (<= 366 per loaded year), so they become a literal IN list: static
-        # PartitionFilters on date_key, no scan of untouched days.
-        touched = staged_fact.select("date_key").distinct()
-        fact_all = spark.read.parquet(paths["fact_prices"])
-        # one job: at most MAX_TOUCHED_DAYS + 1 day keys reach the driver
-        keys = [r[0] for r in touched.limit(MAX_TOUCHED_DAYS + 1).collect()]
-        if len(keys) <= MAX_TOUCHED_DAYS:
-            old_fact = fact_all.filter(F.col("date_key").isin(keys))
-        else:
-            old_fact = fact_all.join(touched, "date_key", "left_semi")
-        merged = upsert_fact(old_fact, staged_fact)
-        staged_overwrite(merged, paths["fact_prices"], ["date_key"], sort_by=["ticker_key", "event_time"])
-    else:
-        publish(upsert_fact(None, staged_fact), paths["fact_prices"], ["date_key"], mode="incremental",
-                sort_by=["ticker_key", "event_time"])
-    dt_ = spark.read.parquet(paths["dim_ticker"])
-    dd = spark.read.parquet(paths["dim_date"])
-    fp = scan_partitioned(spark, paths["fact_prices"])
+        base = gold_base(silver, zone)
+        if start:
+            base = base.filter(F.col("full_date") >= F.lit(str(start)).cast("date"))
+        if end:
+            base = base.filter(F.col("full_date") <= F.lit(str(end)).cast("date"))
+        base = staged(base, "gold_base")
+        if base.isEmpty():
+            raise EmptyWindow("no silver rows in the selected window")
+        ensure_tables(spark, gold_root)
+        pending = _pending(gold_root)
+
+        def stage(df: DataFrame, name: str) -> DataFrame:
+            publish(df.select(*[F.col(f.name).cast(f.dataType) for f in SCHEMAS[name].fields]), f"{pending}/{name}",
+                    PARTITIONS[name], sort_by=[])
+            return read_table(spark, pending, name)
+
+        tickers = stage(ticker_dim(read_table(spark, gold_root, "dim_ticker"), base.select("ticker"), load_ts), "dim_ticker")
+        dates = stage(upsert(read_table(spark, gold_root, "dim_date"), date_dim(base), ["date_key"]), "dim_date")
+        rows = staged(fact_rows(base, tickers, dates, load_ts), "fact_rows")
+        # The touched days are bounded by the calendar, so they become a literal
+        # list: static PartitionFilters on date_key, no scan of other days.
+        touched = [r[0] for r in rows.select("date_key").distinct().collect()]
+        old = read_table(spark, gold_root, "fact_prices").where(F.col("date_key").isin(touched))
+        facts = stage(upsert_fact(old, rows), "fact_prices")
+        checked = {"dim_ticker": tickers, "dim_date": dates, "fact_prices": facts}
+        enforce_constraints(check_staged(checked))
+        spark.range(0).write.parquet(f"{pending}/_READY")
+        apply_pending(spark, gold_root)
+    tickers, dates, facts = (read_table(spark, gold_root, n) for n in ("dim_ticker", "dim_date", "fact_prices"))
     # the view's row count needs no target window: count its joined rows
-    snap = validation_snapshot(dt_, dd, fp, feature_rows(fp, dt_, dd))
+    snap = validation_snapshot(tickers, dates, facts, feature_rows(facts, tickers, dates))
     return snap.first().asDict()

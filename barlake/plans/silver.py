@@ -10,11 +10,13 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.time import epoch_nanos_to_timestamp, local_to_utc
-from ..operators.clean import clean_keys, filter_time_window, require_columns
+from ..operators.clean import capitalize_columns, clean_keys, require_columns
 from ..operators.quality import enforce, quality_metrics, report_row, write_report
 from ..operators.series import moving_average_columns, pick_strategy, series_windows
+from ..session import staged, staging_scope
 from ..sources.scan import dataset_exists, read_window, scan_partitioned
 from ..sources.sinks import publish
+from .windows import EmptyWindow
 
 OHLC = ("open", "high", "low", "close")
 MA_WINDOWS = (10, 20, 50, 200)
@@ -24,6 +26,7 @@ BRONZE_COLUMNS = ("Ticker", "Time", "Open", "High", "Low", "Close", "Volume")
 def normalize_bronze(df: DataFrame, zone: str = "Asia/Ho_Chi_Minh") -> DataFrame:
     """Bronze (vendor columns, naive local time as ns INT64 or µs timestamp)
     -> canonical columns; event_time in UTC (NTZ), trade_date = local date."""
+    df = capitalize_columns(df)
     require_columns(df, BRONZE_COLUMNS)
     local = epoch_nanos_to_timestamp("Time", dict((f.name, f.dataType) for f in df.schema.fields)["Time"])
     return df.select(
@@ -35,11 +38,26 @@ def normalize_bronze(df: DataFrame, zone: str = "Asia/Ho_Chi_Minh") -> DataFrame
     )
 
 
-def enrich(df: DataFrame, key: str = "ticker", time: str = "event_time", windows=MA_WINDOWS,
-           strategy: str = "auto", chunk_rows: int | None = None, nan_as_null: bool = True,
-           tie_break: Sequence[str] = ()) -> DataFrame:
-    """Clean keys, default volume, forward-fill OHLC, moving averages of the
-    filled close, then drop rows still lacking OHLC. One ordered pass.
+def read_bronze(spark: SparkSession, root: str, lo=None, hi=None) -> DataFrame:
+    """Landed bars, all of them or those of a window of days; EmptyWindow if
+    there are none. Keys are strings whatever their folder names look like, and
+    nanosecond times are read as their integer (a session setting, as Spark has
+    no per-read option for it)."""
+    spark.conf.set("spark.sql.legacy.parquet.nanosAsLong", "true")
+    keys = {"ticker": "string"}
+    if lo is not None or hi is not None:
+        return read_window(spark, root, "trade_date", lo, hi, types=keys)
+    if not dataset_exists(spark, root):
+        raise EmptyWindow(f"no bronze data at {root}")
+    return scan_partitioned(spark, root, types=keys)
+
+
+def enrich_all(df: DataFrame, key: str = "ticker", time: str = "event_time", windows=MA_WINDOWS,
+               strategy: str = "auto", chunk_rows: int | None = None, nan_as_null: bool = True,
+               tie_break: Sequence[str] = ()) -> DataFrame:
+    """Clean keys, default volume, forward-fill OHLC and moving averages of the
+    filled close, in one ordered pass. Rows before a series has had all of its
+    prices are still there (see :func:`complete`).
 
     Silver rows are bars: a key has at most one per interval, so a series is
     usually bounded by its time span (<= 8,784 hourly bars per key and year)
@@ -49,15 +67,24 @@ def enrich(df: DataFrame, key: str = "ticker", time: str = "event_time", windows
     chunk (``barlake.series.chunkRows``); otherwise the skew-safe ``chunked``
     strategy splits every long series over many tasks."""
     cleaned = clean_keys(df, key, time, defaults={"volume": 0})
-    out = series_windows(
+    return series_windows(
         cleaned, [key], [time, *tie_break], fill_cols=OHLC,
         build=moving_average_columns("close", windows), halo_before=max(windows) - 1,
         strategy=strategy, chunk_rows=chunk_rows, nan_as_null=nan_as_null,
     )
-    return out.na.drop(subset=list(OHLC))
 
 
-SHORT_KEYS_IN_LIST = 10_000
+def complete():
+    """Every price is there."""
+    cond = F.lit(True)
+    for c in OHLC:
+        cond = cond & F.col(c).isNotNull() & ~F.isnan(c)
+    return cond
+
+
+def enrich(df: DataFrame, *args, **kw) -> DataFrame:
+    """:func:`enrich_all` without the rows that still lack a price."""
+    return enrich_all(df, *args, **kw).where(complete())
 
 
 def carry_context(silver: DataFrame, before: dt.date, key: str = "ticker", time: str = "event_time",
@@ -69,9 +96,8 @@ def carry_context(silver: DataFrame, before: dt.date, key: str = "ticker", time:
     Bounded read: only the ``lookback_days`` partitions before ``before`` are
     scanned (partition pruning). Keys of the new batch (``keys``) that have
     fewer than ``rows`` rows there (new or sparse series) take their context
-    from the whole history, read with an IN-list on the key so Parquet skips
-    row groups by min/max (files are sorted by key); beyond
-    ``SHORT_KEYS_IN_LIST`` such keys a semi join is used instead.
+    from the whole history by a semi join. The list of such keys is staged
+    first; when it is empty, the history is not scanned.
     ``row_number() <= rows`` is planned with a partial WindowGroupLimit: each
     task keeps only its top rows per key before the shuffle.
     ``lookback_days=None`` reads the whole history."""
@@ -81,18 +107,9 @@ def carry_context(silver: DataFrame, before: dt.date, key: str = "ticker", time:
         ranged = history.filter(F.col("trade_date") >= lo)
         wanted = (keys if keys is not None else ranged).select(key).distinct()
         counts = ranged.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-        short = (wanted.join(counts, key, "left").filter(F.coalesce(F.col("_n"), F.lit(0)) < rows)
-                 .select(key))
-        # one job: at most SHORT_KEYS_IN_LIST + 1 keys reach the driver
-        listed = [r[0] for r in short.limit(SHORT_KEYS_IN_LIST + 1).collect()]
-        if not listed:
-            history = ranged
-        else:
-            if len(listed) <= SHORT_KEYS_IN_LIST:
-                deep = history.filter(F.col(key).isin(listed))
-            else:
-                deep = history.join(short, key, "left_semi")
-            history = ranged.join(short, key, "left_anti").unionByName(deep)
+        short = staged(wanted.join(counts, key, "left").filter(F.coalesce(F.col("_n"), F.lit(0)) < rows).select(key), "short_keys")
+        deep = history.join(short, key, "left_semi")
+        history = ranged if short.isEmpty() else ranged.join(short, key, "left_anti").unionByName(deep)
     spec = Window.partitionBy(key).orderBy(F.col(time).desc())
     return (
         history.withColumn("_bl_rn", F.row_number().over(spec))
@@ -101,23 +118,68 @@ def carry_context(silver: DataFrame, before: dt.date, key: str = "ticker", time:
     )
 
 
-def incremental(new_rows: DataFrame, history: DataFrame, from_date: dt.date, key: str = "ticker",
-                time: str = "event_time", windows=MA_WINDOWS, lookback_days: int | None = 45,
-                **kw) -> DataFrame:
-    """Silver rows with trade_date >= ``from_date`` from the new bars of those
-    days plus the carried published history before ``from_date``."""
-    ctx = carry_context(history, from_date, key, time, max(windows) - 1, lookback_days,
+def incremental_all(new_rows: DataFrame, history: DataFrame, from_date: dt.date, key: str = "ticker",
+                    time: str = "event_time", windows=MA_WINDOWS, lookback_days: int | None = 45,
+                    leading: DataFrame | None = None, **kw) -> DataFrame:
+    """Rows with trade_date >= ``from_date``, complete or not, from the new bars
+    of those days plus the carried history before them: published silver and
+    ``leading``, the rows that silver left out because a price had never been
+    seen. Those count in frames and carry the prices that were there, so the
+    result equals a full rebuild."""
+    cols = [key, time, "trade_date", *OHLC, "volume"]
+    past = history.select(*cols)
+    if leading is not None:
+        past = past.unionByName(leading.select(*cols))
+    ctx = carry_context(past, from_date, key, time, max(windows) - 1, lookback_days,
                         keys=new_rows.select(key))
     if kw.get("strategy", "auto") == "auto":
         # bound without evaluating the context twice: a key's series here is
         # its new bars plus at most max(windows) - 1 carried rows.
         kw["strategy"] = pick_strategy(new_rows, [key], kw.get("chunk_rows"), extra_rows=max(windows) - 1)
-    cols = [key, time, "trade_date", *OHLC, "volume"]
-    base = ctx.select(*cols).unionByName(new_rows.select(*cols))
-    out = enrich(base, key, time, windows, **kw)
+    out = enrich_all(ctx.unionByName(new_rows.select(*cols)), key, time, windows, **kw)
     return out.filter(F.col("trade_date") >= F.lit(str(from_date)).cast("date"))
 
 
+def incremental(*args, **kw) -> DataFrame:
+    """:func:`incremental_all` without the rows that still lack a price."""
+    return incremental_all(*args, **kw).where(complete())
+
+
+def leading_path(silver_path: str) -> str:
+    """Rows that silver leaves out: those before a series has had all prices."""
+    return f"{silver_path.rstrip('/')}_leading"
+
+
+def _read_leading(spark: SparkSession, silver_path: str, schema) -> DataFrame | None:
+    path = leading_path(silver_path)
+    return spark.read.schema(schema).parquet(path) if dataset_exists(spark, path) else None
+
+
+_COLUMNS = ["ticker", "event_time", *OHLC, "volume", *[f"ma{n}" for n in MA_WINDOWS], "trade_date"]
+
+
+def _finish(rows: DataFrame, silver_path: str, report_path: str, mode: str, run_ts_utc: str, target, start,
+            first: dt.date | None = None, last: dt.date | None = None) -> dict:
+    """Report, gate and publish. ``first``/``last``: the days that an incremental
+    run replaces; rows left out on other days are kept as they are."""
+    spark = rows.sparkSession
+    rows = staged(rows.select(*_COLUMNS), "silver")  # metrics, report and writes share one computation
+    out = rows.where(complete())
+    metrics_df = staged(quality_metrics(out), "metrics")
+    write_report(report_row(metrics_df, run_ts_utc, mode, str(target), str(start) if start else None), report_path)
+    metrics = enforce(metrics_df, mode)
+    left = rows.where(~complete())
+    old = _read_leading(spark, silver_path, rows.schema) if mode == "incremental" else None
+    if old is not None:
+        day = F.col("trade_date")
+        replaced = (day >= F.lit(str(first)).cast("date")) & (F.lit(last is None) | (day <= F.lit(str(last or first)).cast("date")))
+        left = staged(old.where(~replaced).select(*_COLUMNS).unionByName(left), "leading")
+    publish(left, leading_path(silver_path), ["trade_date"], mode="full", sort_by=["ticker", "event_time"])
+    if metrics["total_rows"] or mode == "full":
+        publish(out, silver_path, ["trade_date"], mode=mode, sort_by=["ticker", "event_time"])
+    return metrics
+
+
 def run_silver_from(spark: SparkSession, bronze_root: str, silver_path: str, report_path: str,
                     from_date, run_ts_utc: str, zone: str = "Asia/Ho_Chi_Minh",
                     lookback_days: int | None = 45, **kw) -> dict:
@@ -126,23 +188,15 @@ def run_silver_from(spark: SparkSession, bronze_root: str, silver_path: str, rep
     overwrite exactly those days. Idempotent; used for late or re-delivered
     bronze days and by the streaming driver."""
     start = dt.date.fromisoformat(str(from_date))
-    raw = normalize_bronze(read_window(spark, bronze_root, "trade_date", start, None), zone)
-    if dataset_exists(spark, silver_path):
-        out = incremental(raw, scan_partitioned(spark, silver_path), start, lookback_days=lookback_days, **kw)
-    else:
-        out = enrich(raw, **kw).filter(F.col("trade_date") >= F.lit(str(start)).cast("date"))
-    out = out.select("ticker", "event_time", *OHLC, "volume", *[f"ma{n}" for n in MA_WINDOWS], "trade_date")
-    from ..operators.series import materialize
-
-    out = materialize(out)
-    metrics_df = quality_metrics(out)
-    metrics = metrics_df.first().asDict()
-    write_report(report_row(metrics_df, run_ts_utc, "incremental", str(start), str(start)), report_path)
-    if metrics["total_rows"] == 0:
-        return metrics
-    enforce(metrics, "incremental")
-    publish(out, silver_path, ["trade_date"], mode="incremental", sort_by=["ticker", "event_time"])
-    return metrics
+    with staging_scope():
+        raw = normalize_bronze(read_bronze(spark, bronze_root, start, None), zone)
+        if dataset_exists(spark, silver_path):
+            history = scan_partitioned(spark, silver_path, types={"ticker": "string"})
+            out = incremental_all(raw, history, start, lookback_days=lookback_days,
+                                  leading=_read_leading(spark, silver_path, history.schema), **kw)
+        else:
+            out = enrich_all(raw, **kw).filter(F.col("trade_date") >= F.lit(str(start)).cast("date"))
+        return _finish(out, silver_path, report_path, "incremental", run_ts_utc, start, start, start)
 
 
 def run_silver(spark: SparkSession, bronze_root: str, silver_path: str, report_path: str,
@@ -150,39 +204,35 @@ def run_silver(spark: SparkSession, bronze_root: str, silver_path: str, report_p
                zone: str = "Asia/Ho_Chi_Minh", carry_rows: bool = True, **kw) -> dict:
     """One silver run. Report appended before the gate; empty incremental runs
     skip the write; full rebuilds statically overwrite, incremental runs
-    dynamically overwrite the target date."""
+    dynamically overwrite the target date. Without any raw data in the window
+    the run is skipped and an empty dict returned.
+
+    ``start_date`` bounds local trade dates and only matters to a full rebuild:
+    an incremental run replaces the whole target day."""
     target = dt.date.fromisoformat(str(target_date))
     start = dt.date.fromisoformat(str(start_date)) if start_date else None
     if start and start > target:
         raise ValueError("start date must be <= target date")
-    if mode == "full":
-        raw = normalize_bronze(scan_partitioned(spark, bronze_root), zone)
-        if start:
-            raw = filter_time_window(raw, "event_time", lo=start)
-        out = enrich(raw, **kw)
-    elif mode == "incremental":
-        lo = target - dt.timedelta(days=0 if carry_rows else lookback_days)
-        raw = normalize_bronze(read_window(spark, bronze_root, "trade_date", lo, target), zone)
+    if mode not in ("full", "incremental"):
+        raise ValueError(f"unknown mode {mode!r}")
+    with staging_scope():
+        try:
+            if mode == "full":
+                raw = normalize_bronze(read_bronze(spark, bronze_root), zone)
+            else:
+                lo = target - dt.timedelta(days=0 if carry_rows else lookback_days)
+                raw = normalize_bronze(read_bronze(spark, bronze_root, lo, target), zone)
+        except EmptyWindow:
+            return {}
+        if mode == "full":
+            if start:
+                raw = raw.where(F.col("trade_date") >= F.lit(str(start)).cast("date"))
+            return _finish(enrich_all(raw, **kw), silver_path, report_path, mode, run_ts_utc, target, start)
         if carry_rows and dataset_exists(spark, silver_path):
-            history = scan_partitioned(spark, silver_path)
-            out = incremental(raw, history, target, **kw)
-            out = out.filter(F.col("trade_date") == F.lit(str(target)).cast("date"))
+            history = scan_partitioned(spark, silver_path, types={"ticker": "string"})
+            out = incremental_all(raw, history, target, lookback_days=lookback_days,
+                                  leading=_read_leading(spark, silver_path, history.schema), **kw)
         else:
-            out = enrich(raw, **kw).filter(F.col("trade_date") == F.lit(str(target)).cast("date"))
-        if start:
-            out = filter_time_window(out, "event_time", lo=start)
-    else:
-        raise ValueError(f"unknown mode {mode!r}")
-    out = out.select("ticker", "event_time", *OHLC, "volume", *[f"ma{n}" for n in MA_WINDOWS], "trade_date")
-    from ..operators.series import materialize
-
-    out = materialize(out)  # metrics, report and write share one computation
-    metrics_df = quality_metrics(out)
-    metrics = metrics_df.first().asDict()
-    write_report(report_row(metrics_df, run_ts_utc, mode, str(target), str(start) if start else None), report_path)
-    if metrics["total_rows"] == 0 and mode == "incremental":
-        return metrics
-    enforce(metrics, mode)
-    publish(out, silver_path, ["trade_date"], mode="full" if mode == "full" else "incremental",
-            sort_by=["ticker", "event_time"])
-    return metrics
+            out = enrich_all(raw, **kw)
+        out = out.filter(F.col("trade_date") == F.lit(str(target)).cast("date"))
+        return _finish(out, silver_path, report_path, mode, run_ts_utc, target, start, target, target)

@@ -8,6 +8,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+class EmptyWindow(Exception):
+    """Nothing to load in the selected window: a run may skip it."""
+
+
 def _date(v) -> dt.date:
     if isinstance(v, dt.datetime):
         return v.date()
@@ -47,7 +51,7 @@ def load_window(df: DataFrame, date_col: str, start=None, end=None) -> tuple[dt.
     one-row aggregate)."""
     row = df.agg(F.min(date_col).alias("lo"), F.max(date_col).alias("hi")).first()
     if row["lo"] is None:
-        raise RuntimeError("dataset has no valid dates")
+        raise EmptyWindow("dataset has no valid dates")
     lo = _date(start) if start else _date(row["lo"])
     hi = _date(end) if end else _date(row["hi"])
     if lo > hi:
@@ -71,18 +75,3 @@ def batch_slices(lo, hi, days: int) -> list[tuple[dt.date, dt.date]]:
 def slice_column(date_col: str, lo, days: int):
     """Slice number of each row's date (the set-based form of batch_slices)."""
     return F.floor(F.datediff(F.to_date(F.col(date_col)), F.lit(str(_date(lo))).cast("date")) / days).cast("int")
-
-
-def load_window_frame(df: DataFrame, date_col: str, start=None, end=None) -> DataFrame:
-    """Set-based form of :func:`load_window`: one row (window_start,
-    window_end, n_rows in the window), bounds defaulting to the data."""
-    lo = F.lit(str(_date(start))).cast("date") if start else F.min(date_col)
-    hi = F.lit(str(_date(end))).cast("date") if end else F.max(date_col)
-    d = F.col(date_col)
-    inside = F.lit(True)
-    if start:
-        inside = inside & (d >= F.lit(str(_date(start))).cast("date"))
-    if end:
-        inside = inside & (d <= F.lit(str(_date(end))).cast("date"))
-    return df.agg(lo.alias("window_start"), hi.alias("window_end"),
-                  F.count_if(inside).cast("long").alias("n_rows"))

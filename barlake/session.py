@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents "
@@ -60,5 +63,46 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{work_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+_staged: list[tuple[SparkSession, str]] = []
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once as Parquet in the shared work dir and read back:
+    several consumers share one computation and one row order, with column
+    pruning, and a lost executor costs a re-read. The copy lives until the
+    enclosing :func:`staging_scope` ends, else until the program does."""
+    path = scratch_path(df.sparkSession, name)
+    _staged.append((df.sparkSession, path))
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def staging_scope() -> Iterator[None]:
+    """Deletes the copies staged inside it; for loads that publish their result
+    before they return."""
+    first = len(_staged)
+    try:
+        yield
+    finally:
+        for spark, path in _staged[first:]:
+            delete_path(spark, path)
+        del _staged[first:]
+
+
+@atexit.register
+def _delete_staged() -> None:
+    for spark, path in _staged:
+        try:
+            delete_path(spark, path)
+        except Exception:  # the session has ended first; the folder's owner cleans up
+            return
+
+
 def table(spark: SparkSession, sf_dir: str, name: str):
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

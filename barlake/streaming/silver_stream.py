@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.time import utc_now_second
 from ..plans.silver import run_silver_from
 from ..session import scratch_path
 
@@ -34,9 +35,10 @@ BRONZE_SCHEMA = T.StructType([
 
 
 def start_silver_stream(spark: SparkSession, bronze_root: str, silver_path: str, report_path: str,
-                        run_ts_utc: str, checkpoint: str | None = None, available_now: bool = True,
+                        run_ts_utc: str | None = None, checkpoint: str | None = None, available_now: bool = True,
                         processing_time: str = "1 hour", max_files_per_trigger: int | None = None, **kw):
-    """Start the stream; returns the StreamingQuery."""
+    """Start the stream; returns the StreamingQuery. Reports are stamped with the
+    batch's own time unless ``run_ts_utc`` is given."""
     reader = spark.readStream.schema(BRONZE_SCHEMA)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
@@ -47,7 +49,8 @@ def start_silver_stream(spark: SparkSession, bronze_root: str, silver_path: str,
         first = batch.agg(F.min("Trade_date")).first()[0]  # one value per batch
         if first is not None:
             # the batch's own session (required under Spark Connect, same object in classic mode)
-            run_silver_from(batch.sparkSession, bronze_root, silver_path, report_path, first, run_ts_utc, **kw)
+            stamp = run_ts_utc or utc_now_second().replace(" ", "T") + "Z"
+            run_silver_from(batch.sparkSession, bronze_root, silver_path, report_path, first, stamp, **kw)
 
     writer = (
         earliest.writeStream.foreachBatch(process)

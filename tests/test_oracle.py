@@ -19,6 +19,14 @@ def con():
     return duck(SF001)
 
 
+@pytest.fixture(scope="module", autouse=True)
+def small_chunks(spark):
+    """Small enough that the series windows cross several chunk borders."""
+    spark.conf.set("barlake.series.chunkRows", "211")
+    yield
+    spark.conf.unset("barlake.series.chunkRows")
+
+
 def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.count() > 0

@@ -74,7 +74,7 @@ def test_bronze_silver_gold(spark, tmp_root):
     assert snap1 == {"dim_ticker_count": 5, "dim_date_count": snap1["dim_date_count"],
                      "fact_prices_count": n, "ml_feature_rows": n}
     dt_ = spark.read.parquet(f"{groot}/dim_ticker")
-    assert sorted(r.ticker for r in dt_.collect()) == ["CLICK", "ERROR", "PURCHASE", "SEARCH", "VIEW"] or dt_.count() == 5
+    assert sorted(r.ticker for r in dt_.collect()) == sorted(t.upper() for (t,) in events.select("event_type").distinct().collect())
 
 
 def test_path_layouts(spark, tmp_root):
@@ -135,7 +135,7 @@ def test_gold_layouts_agree_and_start_bound(spark, tmp_root):
     bronze, sv = f"{tmp_root}/bronze", f"{tmp_root}/silver"
     _land(spark, bronze, events)
     silver.run_silver(spark, bronze, sv, f"{tmp_root}/r", "full", "2024-01-30", RUN_TS, start_date="2024-01-10")
-    assert scan_partitioned(spark, sv).agg(F.min("trade_date")).first()[0] >= dt.date(2024, 1, 9)
+    assert scan_partitioned(spark, sv).agg(F.min("trade_date")).first()[0] == dt.date(2024, 1, 10)
     facts = []
     for layout in ("canonical", "mixed"):
         root = f"{tmp_root}/gold_{layout}"

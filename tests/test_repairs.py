@@ -1,0 +1,295 @@
+"""Cases off the benign corpus: NULL keys, start bounds, gaps of single prices,
+vendor layouts, crashes while publishing, midnight, constraints, failed batches."""
+
+import datetime as dt
+import os
+
+import pyarrow as pa
+import pyarrow.parquet as pq
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from barlake import cli
+from barlake.operators.bars import build_bars
+from barlake.operators.constraints import ConstraintError
+from barlake.operators.series import forward_fill, series_windows
+from barlake.plans import gold, silver
+from barlake.plans.windows import EmptyWindow
+from barlake.session import scratch_path, work_dir
+from barlake.sources.scan import day_folders, read_window, scan_partitioned
+from barlake.sources.sinks import land_bronze, publish
+
+RUN_TS, LOAD_TS = "2024-02-01T00:00:00Z", "2024-02-01 00:00:00"
+PRICES = ("Open", "High", "Low", "Close")
+
+
+def rows(df, *cols):
+    return sorted((tuple(r) for r in df.select(*(cols or df.columns)).collect()), key=str)
+
+
+# ---------------------------------------------------------------- series
+
+def test_null_keys_fill_alike_in_every_strategy(spark):
+    data = [(None if k % 3 else "a", k, 1.0 if k in (0, 1, 2) else None) for k in range(60)]
+    df = spark.createDataFrame(data, "k string, t int, v double")
+    want = rows(forward_fill(df, "k", "t", ["v"], strategy="direct"))
+    assert all(v == 1.0 for _, _, v in want)
+    for chunk in (2, 5, 100):
+        assert rows(forward_fill(df, "k", "t", ["v"], chunk_rows=chunk)) == want
+
+
+def test_carry_crosses_blocks_of_chunks(spark, monkeypatch):
+    from barlake.operators import series
+
+    monkeypatch.setattr(series, "CARRY_BLOCK", 3)
+    data = [(None if k < 200 else "b", k, float(k) if k % 97 == 0 else None, k if k % 41 == 0 else None) for k in range(400)]
+    df = spark.createDataFrame(data, "k string, t int, v double, w int")
+    assert rows(forward_fill(df, "k", "t", ["v", "w"], chunk_rows=2)) == rows(forward_fill(df, "k", "t", ["v", "w"], strategy="direct"))
+
+
+def test_fill_keeps_types(spark):
+    df = spark.createDataFrame([("a", 1, 9007199254740993, "x", 1.5), ("a", 2, None, None, float("nan"))], "k string, t int, b long, s string, f float")
+    out = forward_fill(df, "k", "t", ["b", "s", "f"], chunk_rows=4)
+    assert out.dtypes == df.dtypes and rows(out)[1] == ("a", 2, 9007199254740993, "x", 1.5)
+
+
+def test_bars_use_hash_aggregation_and_order_ties(spark):
+    t = dt.datetime(2024, 1, 1, 5, 0)
+    data = [("a", t, 9, 3.0), ("a", t, -5, 1.0), ("a", t + dt.timedelta(microseconds=1), -2**63, 2.0), ("a", t + dt.timedelta(minutes=59), 2**63 - 1, 7.0),
+            ("a", t + dt.timedelta(minutes=59), 5, 8.0), ("a", dt.datetime(1969, 12, 31, 23, 59, 59, 999999), 1, 4.0)]
+    for kind in ("timestamp_ntz", "timestamp"):
+        bars = build_bars(spark.createDataFrame(data, f"k string, t {kind}, i long, v double"), "k", "t", "v", tie_break=["i"])
+        plan = bars._jdf.queryExecution().executedPlan().toString()
+        assert "HashAggregate" in plan and "SortAggregate" not in plan
+        assert rows(bars, "open", "high", "low", "close", "volume") == [(1.0, 8.0, 1.0, 7.0, 5), (4.0, 4.0, 4.0, 4.0, 1)]
+
+
+# ---------------------------------------------------------------- silver
+
+def land(spark, root, data):
+    """(ticker, local time, open, high, low, close) landed as vendor bronze."""
+    nanos = lambda t: int((t - dt.datetime(1970, 1, 1)).total_seconds()) * 10**9
+    df = spark.createDataFrame([(k, nanos(t), *p, 1, t.date()) for k, t, *p in data],
+                               "Ticker string, Time long, Open double, High double, Low double, Close double, Volume long, Trade_date date")
+    land_bronze(df, root)
+
+
+def hours(day, n=24):
+    return [dt.datetime.combine(day, dt.time(h)) for h in range(n)]
+
+
+def test_start_date_is_local_and_never_publishes_a_partial_day(spark, tmp_root):
+    day = dt.date(2024, 1, 10)
+    land(spark, f"{tmp_root}/b", [("007", t, 1.0, 1.0, 1.0, 1.0) for t in hours(day) + hours(day - dt.timedelta(days=1))])
+    args = (f"{tmp_root}/b", f"{tmp_root}/s", f"{tmp_root}/r")
+    assert silver.run_silver(spark, *args, "full", "2024-01-10", RUN_TS, start_date="2024-01-10")["total_rows"] == 24
+    assert silver.run_silver(spark, *args, "incremental", "2024-01-10", RUN_TS, start_date="2024-01-10")["total_rows"] == 24
+    out = scan_partitioned(spark, f"{tmp_root}/s", types={"ticker": "string"})
+    assert out.count() == 24 and {r.ticker for r in out.select("ticker").distinct().collect()} == {"007"}
+
+
+def test_lookback_days_reach_the_context(spark, tmp_root, monkeypatch):
+    land(spark, f"{tmp_root}/b", [("a", t, 1.0, 1.0, 1.0, 1.0) for d in (1, 2) for t in hours(dt.date(2024, 1, d), 2)])
+    seen, real = [], silver.carry_context
+    monkeypatch.setattr(silver, "carry_context", lambda *a, **k: seen.append(a[5]) or real(*a, **k))
+    args = (f"{tmp_root}/b", f"{tmp_root}/s", f"{tmp_root}/r")
+    silver.run_silver(spark, *args, "full", "2024-01-01", RUN_TS)
+    silver.run_silver(spark, *args, "incremental", "2024-01-02", RUN_TS, lookback_days=3)
+    assert seen == [3]
+
+
+def both_ways(spark, root, data, days):
+    """Silver by one rebuild, and day by day."""
+    land(spark, f"{root}/all", data)
+    silver.run_silver(spark, f"{root}/all", f"{root}/full", f"{root}/r", "full", str(days[-1]), RUN_TS)
+    for k, day in enumerate(days):
+        land(spark, f"{root}/b", [r for r in data if r[1].date() == day])
+        silver.run_silver(spark, f"{root}/b", f"{root}/inc", f"{root}/r", "full" if k == 0 else "incremental", str(day), RUN_TS, lookback_days=1)
+    return rows(scan_partitioned(spark, f"{root}/full"), "ticker", "event_time", "close", "open", "ma10", "ma200"), rows(
+        scan_partitioned(spark, f"{root}/inc"), "ticker", "event_time", "close", "open", "ma10", "ma200")
+
+
+def test_incremental_equals_full_when_prices_begin_apart(spark, tmp_root):
+    d1, d2 = dt.date(2024, 1, 1), dt.date(2024, 1, 2)
+    at = lambda d, h: dt.datetime.combine(d, dt.time(h))
+    data = [("a", at(d1, 3), None, 99.0, 1.0, 10.0), ("a", at(d2, 3), 20.0, 99.0, 1.0, None),
+            ("b", at(d1, 3), None, 99.0, 1.0, 10.0), ("b", at(d1, 4), 5.0, 99.0, 1.0, 30.0), ("b", at(d2, 3), 5.0, 99.0, 1.0, 20.0)]
+    data += [("c", at(d, 5), 2.0, 99.0, 1.0, 2.0) for d in (d1, d2)]  # a full rebuild must not be empty
+    full, inc = both_ways(spark, tmp_root, data, [d1, d2])
+    assert full == inc and ("a", dt.datetime(2024, 1, 1, 20), 10.0, 20.0, 10.0, 10.0) in full
+    assert [r[4] for r in full if r[0] == "b"][-1] == 20.0
+
+
+@settings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(*[st.one_of(st.none(), st.floats(1, 9).map(lambda x: round(x, 2)))] * 4), min_size=6, max_size=12))
+def test_incremental_equals_full_for_independent_gaps(spark, prices):
+    days = [dt.date(2024, 1, 1) + dt.timedelta(days=k) for k in range(3)]
+    data = [("ab"[k % 2], dt.datetime.combine(days[3 * k // len(prices)], dt.time(k)), *p) for k, p in enumerate(prices)]
+    root = scratch_path(spark, "gaps")
+    # prices that always bracket, each with gaps of its own
+    data = [(k, t, o, h and 10.0, low and 0.5, c) for k, t, o, h, low, c in data]
+    data += [("c", dt.datetime.combine(d, dt.time(23)), 2.0, 10.0, 0.5, 2.0) for d in days]  # a full rebuild must not be empty
+    full, inc = both_ways(spark, root, data, days)
+    assert full == inc
+
+
+def test_no_raw_data_is_skipped(spark, tmp_root):
+    args = (f"{tmp_root}/none", f"{tmp_root}/s", f"{tmp_root}/r")
+    assert silver.run_silver(spark, *args, "full", "2024-01-01", RUN_TS) == {}
+    land(spark, f"{tmp_root}/none", [("a", dt.datetime(2024, 1, 1), 1.0, 1.0, 1.0, 1.0)])
+    assert silver.run_silver(spark, *args, "incremental", "2024-03-01", RUN_TS) == {}
+    assert not os.path.exists(f"{tmp_root}/r")
+
+
+def test_an_empty_target_day_reports_and_publishes_nothing(spark, tmp_root):
+    land(spark, f"{tmp_root}/b", [("a", dt.datetime(2024, 1, 1, 9), 1.0, 1.0, 1.0, 1.0), ("c", dt.datetime(2024, 1, 2, 9), None, None, None, None)])
+    args = (f"{tmp_root}/b", f"{tmp_root}/s", f"{tmp_root}/r")
+    silver.run_silver(spark, *args, "full", "2024-01-01", RUN_TS)
+    before = rows(scan_partitioned(spark, f"{tmp_root}/s"))
+    assert silver.run_silver(spark, *args, "incremental", "2024-01-02", RUN_TS)["total_rows"] == 0
+    assert rows(scan_partitioned(spark, f"{tmp_root}/s")) == before
+
+
+def test_vendor_files_with_nanoseconds_and_columns_that_repeat_the_folders(spark, tmp_root):
+    for day, key in (("2024-01-02", "007"), ("2024-01-03", "B B")):
+        folder = f"{tmp_root}/b/trade_date={day}/ticker={key}"
+        os.makedirs(folder)
+        t = dt.datetime.fromisoformat(day) + dt.timedelta(hours=9)
+        pq.write_table(pa.table({
+            "Time": pa.array([t], pa.timestamp("ns")), **{c.capitalize(): [1.0] for c in PRICES}, "Volume": [5],
+            "Ticker": [key], "Trade_date": pa.array([t.date()])}), f"{folder}/x.parquet")
+    m = silver.run_silver(spark, f"{tmp_root}/b", f"{tmp_root}/s", f"{tmp_root}/r", "full", "2024-01-03", RUN_TS)
+    assert m["total_rows"] == 2
+    out = scan_partitioned(spark, f"{tmp_root}/s", types={"ticker": "string"})
+    assert rows(out, "ticker", "event_time", "volume") == [("007", dt.datetime(2024, 1, 2, 2), 5), ("B B", dt.datetime(2024, 1, 3, 2), 5)]
+
+
+def test_only_days_of_the_window_are_listed(spark, tmp_root):
+    df = spark.createDataFrame([(k, dt.date(2024, 1, 1 + k)) for k in range(6)], "x int, trade_date date")
+    publish(df, f"{tmp_root}/d", ["trade_date"])
+    os.makedirs(f"{tmp_root}/d/trade_date=2024-01-05/odd/layout=1")
+    found = day_folders(spark, f"{tmp_root}/d", "trade_date", "2024-01-02", dt.date(2024, 1, 3))
+    assert [os.path.basename(f) for f in found] == ["trade_date=2024-01-02", "trade_date=2024-01-03"]
+    out = read_window(spark, f"{tmp_root}/d", "trade_date", "2024-01-02", "2024-01-03")
+    assert rows(out, "x") == [(1,), (2,)] and len(out.inputFiles()) == 2
+    with pytest.raises(EmptyWindow):
+        read_window(spark, f"{tmp_root}/d", "trade_date", "2025-01-01", None)
+
+
+def test_runs_leave_no_staged_copies(spark, tmp_root):
+    folder = work_dir(spark).removeprefix("file:")
+    before = set(os.listdir(folder)) if os.path.isdir(folder) else set()
+    land(spark, f"{tmp_root}/b", [("a", t, 1.0, 1.0, 1.0, 1.0) for t in hours(dt.date(2024, 1, 1))])
+    silver.run_silver(spark, f"{tmp_root}/b", f"{tmp_root}/s", f"{tmp_root}/r", "full", "2024-01-01", RUN_TS, strategy="chunked", chunk_rows=300)
+    gold.run_gold(spark, f"{tmp_root}/s", f"{tmp_root}/g", LOAD_TS)
+    assert set(os.listdir(folder)) <= before and not os.path.exists(f"{tmp_root}/g/_pending")
+
+
+# ---------------------------------------------------------------- gold
+
+def silver_rows(spark, path, data):
+    df = spark.createDataFrame([(k, t, *[v] * 4, 1, *[v] * 4, t.date()) for k, t, v in data],
+                               "ticker string, event_time timestamp_ntz, open double, high double, low double, close double, volume long, "
+                               "ma10 double, ma20 double, ma50 double, ma200 double, trade_date date")
+    publish(df, path, ["trade_date"], mode="incremental")
+
+
+def gold_rows(spark, root):
+    return {n: rows(gold.read_table(spark, root, n)) for n in gold.SCHEMAS}
+
+
+def test_rows_around_midnight_share_one_key(spark, tmp_root):
+    late, next_day = dt.datetime(2024, 1, 1, 23, 59, 59, 700_000), dt.datetime(2024, 1, 2)
+    silver_rows(spark, f"{tmp_root}/s1", [("a", late, 1.0)])
+    silver_rows(spark, f"{tmp_root}/s2", [("a", next_day, 2.0)])
+    for k in (1, 2):
+        gold.run_gold(spark, f"{tmp_root}/s{k}", f"{tmp_root}/g", LOAD_TS, zone="UTC")
+    fact = gold.read_table(spark, f"{tmp_root}/g", "fact_prices").collect()
+    assert [(f.date_key, f.event_time, float(f.close_price)) for f in fact] == [(20240102, next_day, 2.0)]
+
+
+def test_the_most_recent_duplicate_survives(spark, tmp_root):
+    t = dt.datetime(2024, 1, 1, 9)
+    silver_rows(spark, f"{tmp_root}/s", [("a", t, 99.0)])
+    first = [os.path.join(d, f) for d, _, names in os.walk(f"{tmp_root}/s") for f in names if f.endswith(".parquet")]
+    for f in first:
+        os.utime(f, (1_000_000_000, 1_000_000_000))
+    df = spark.createDataFrame([("a", t, *[5.0] * 4, 1, *[5.0] * 4)], "ticker string, event_time timestamp_ntz, open double, high double, "
+                               "low double, close double, volume long, ma10 double, ma20 double, ma50 double, ma200 double")
+    df.write.mode("append").parquet(f"{tmp_root}/s/trade_date=2024-01-01")
+    gold.run_gold(spark, f"{tmp_root}/s", f"{tmp_root}/g", LOAD_TS, zone="UTC")
+    assert [float(r.close_price) for r in gold.read_table(spark, f"{tmp_root}/g", "fact_prices").collect()] == [5.0]
+
+
+@pytest.mark.parametrize("crash_at", [1, 2, 3, 4, 5, 6])
+def test_a_crash_while_loading_loses_nothing(spark, tmp_root, monkeypatch, crash_at):
+    """Publishing fails at each of its six writes in turn (three staged tables,
+    three published); the next run ends as if nothing had happened."""
+    day = dt.datetime(2024, 1, 1, 9)
+    silver_rows(spark, f"{tmp_root}/s", [("b", day, 1.0), ("c", day, 1.0)])
+    for root in ("g", "clean"):
+        gold.run_gold(spark, f"{tmp_root}/s", f"{tmp_root}/{root}", LOAD_TS, zone="UTC")
+    silver_rows(spark, f"{tmp_root}/s2", [("a", day, 2.0), ("c", day, 3.0), ("d", day + dt.timedelta(days=1), 4.0)])
+    gold.run_gold(spark, f"{tmp_root}/s2", f"{tmp_root}/clean", LOAD_TS, zone="UTC")
+    real, calls = gold.publish, []
+
+    def failing(*args, **kw):
+        calls.append(args[1])
+        if len(calls) == crash_at:
+            if crash_at > 3:  # leave the target half written
+                os.system(f"mv {args[1]} {args[1]}.gone")
+            raise OSError("executor and driver are gone")
+        return real(*args, **kw)
+
+    monkeypatch.setattr(gold, "publish", failing)
+    with pytest.raises(OSError):
+        gold.run_gold(spark, f"{tmp_root}/s2", f"{tmp_root}/g", LOAD_TS, zone="UTC")
+    monkeypatch.setattr(gold, "publish", real)
+    if crash_at == 6:  # a fact table cannot vanish whole: its partitions are replaced one by one
+        os.system(f"mv {tmp_root}/g/fact_prices.gone {tmp_root}/g/fact_prices; rm {tmp_root}/g/fact_prices/date_key=20240101/*")
+    gold.run_gold(spark, f"{tmp_root}/s2", f"{tmp_root}/g", LOAD_TS, zone="UTC")
+    assert gold_rows(spark, f"{tmp_root}/g") == gold_rows(spark, f"{tmp_root}/clean")
+    assert [(r.ticker_key, r.ticker) for r in gold.read_table(spark, f"{tmp_root}/g", "dim_ticker").orderBy("ticker_key").collect()] == [
+        (1, "b"), (2, "c"), (3, "a"), (4, "d")]
+
+
+def test_constraints_are_checked_before_publishing(spark, tmp_root):
+    day = dt.datetime(2024, 1, 1, 9)
+    silver_rows(spark, f"{tmp_root}/s", [("a", day, 1.0)])
+    gold.run_gold(spark, f"{tmp_root}/s", f"{tmp_root}/g", LOAD_TS, zone="UTC")
+    before = gold_rows(spark, f"{tmp_root}/g")
+    silver_rows(spark, f"{tmp_root}/long", [("x" * 17, day, 1.0)])
+    silver_rows(spark, f"{tmp_root}/null", [("b", day, None)])
+    for bad, why in (("long", "dim_ticker length:ticker: 1"), ("null", "not_null:open_price: 1")):
+        with pytest.raises(ConstraintError, match=why):
+            gold.run_gold(spark, f"{tmp_root}/{bad}", f"{tmp_root}/g", LOAD_TS, zone="UTC")
+        assert gold_rows(spark, f"{tmp_root}/g") == before
+
+
+def test_batches_skip_empty_windows_only(spark, tmp_root, monkeypatch):
+    silver_rows(spark, f"{tmp_root}/s", [("a", dt.datetime(2024, 1, d, 9), 1.0) for d in (1, 2, 9)])
+    args = ["gold", "--silver", f"{tmp_root}/s", "--gold", f"{tmp_root}/g", "--zone", "UTC", "--batch-days", "3"]
+    assert cli.main(args)["fact_prices_count"] == 3
+    real, calls = gold.fact_rows, []
+
+    def failing(*a):
+        calls.append(1)
+        if len(calls) == 2:
+            raise RuntimeError("a real error in the middle batch")
+        return real(*a)
+
+    monkeypatch.setattr(gold, "fact_rows", failing)
+    with pytest.raises(RuntimeError, match="middle batch"):
+        cli.main(args)
+    with pytest.raises(SystemExit, match="no gold batch"):
+        cli.main([*args[:2], f"{tmp_root}/nothing", *args[3:]])
+
+
+def test_batches_over_mixed_layouts(spark, tmp_root):
+    silver_rows(spark, f"{tmp_root}/s", [("a", dt.datetime(2024, 1, 1, 9), 1.0)])
+    df = spark.read.parquet(f"{tmp_root}/s").withColumn("event_time", F.col("event_time") + F.expr("INTERVAL 9 DAYS"))
+    df.drop("trade_date").write.partitionBy("ticker").parquet(f"{tmp_root}/s/legacy")
+    out = cli.main(["gold", "--silver", f"{tmp_root}/s", "--gold", f"{tmp_root}/g", "--layout", "mixed", "--batch-days", "5"])
+    assert out["fact_prices_count"] == 2
