@@ -34,17 +34,16 @@ SEED_WORDS, BLOCK, MIN_SCORE = 3, 2, 0.5
 #: The bitmap has 16 bits for each n-gram of the items, within these bounds.
 LEAST_BITS, MOST_BITS = 1 << 18, 1 << 27
 
-#: Everything ASCII but letters and digits becomes a space.
-_BARE = bytes(c if c > 127 or chr(c).isalnum() else 32 for c in range(256))
-
-
 class Words(WordHashes):
-    """Hashes of lower-cased words without punctuation."""
+    """Hashes of lower-cased words without punctuation: everything ASCII but
+    letters and digits is a space."""
+
+    table = bytes(c if c > 127 else ord(chr(c).lower()) if chr(c).isalnum() else 32 for c in range(256))
 
     def of(self, text: bytes | None) -> np.ndarray:
-        if not text:
-            return super().of(text)
-        return super().of(text.decode("utf-8", "replace").lower().encode().translate(_BARE))
+        if text and not text.isascii():
+            text = text.decode("utf-8", "replace").lower().encode()
+        return super().of(text)
 
 
 def passing(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:

@@ -39,6 +39,9 @@ def pieces(text: bytes, size: int = PIECE_BYTES) -> Iterator[bytes]:
 class WordHashes(dict):
     """word -> 64-bit hash, filled as words are met."""
 
+    #: Applied to the bytes of a text before it is split.
+    table = _LOWER
+
     def __missing__(self, word: bytes) -> int:
         if len(self) >= CACHE_WORDS:
             self.clear()
@@ -51,7 +54,7 @@ class WordHashes(dict):
             return np.empty(0, np.uint64)
         parts = []
         for piece in pieces(text):
-            found = piece.translate(_LOWER).split()
+            found = piece.translate(self.table).split()
             parts.append(np.fromiter(map(self.__getitem__, found), np.uint64, len(found)))
         return parts[0] if len(parts) == 1 else np.concatenate(parts)
 
@@ -70,10 +73,10 @@ def shingles(words: np.ndarray, n: int) -> np.ndarray:
         return words
     n = min(n, len(words))
     last = len(words) - n + 1
-    h = mix(words[:last] + np.uint64(n))
-    for k in range(1, n):
-        h = mix(h * np.uint64(0x9E3779B97F4A7C15) + words[k:k + last])
-    return h
+    h = words[:last] + np.uint64(n)
+    for k in range(1, n):  # words are random already: a polynomial of them, mixed once
+        h = h * np.uint64(0x9E3779B97F4A7C15) + words[k:k + last]
+    return mix(h)
 
 
 def signed(x: np.ndarray) -> np.ndarray:
