@@ -22,8 +22,8 @@ measured bound, see ``pick_strategy``):
      ``halo_after`` rows into the previous one (``lead``);
   4. forward fill across chunks: a small summary (one row per key x chunk
      half), itself cut into blocks, gives the last non-null value before each
-     chunk's halo, joined null-safely on (keys, chunk) and coalesced with the
-     in-chunk fill;
+     chunk's halo for the one key that crosses it, joined on the chunk, applied
+     where the (null-safe) key is that one and coalesced with the in-chunk fill;
   5. windows run over ``partitionBy(keys, chunk).orderBy(pos)``; copies are dropped.
 
   Rows of one key are contiguous in ``pos``, so a chunk's halo either belongs to
@@ -124,18 +124,20 @@ def _same(left: DataFrame, right: DataFrame, cols: Sequence[str]) -> Column:
 
 def _fill_carry(pos_df: DataFrame, keys: list[str], fill_cols: list[str],
                 chunk_rows: int, halo_before: int) -> DataFrame:
-    """Per (keys, chunk p): last non-null value of each fill column among the
-    key's rows that precede chunk p's halo, i.e. positions < p*chunk_rows - halo."""
+    """Per chunk p: the key whose rows cross the start of chunk p's halo (keys
+    are contiguous in position, so there is one at most), and the last non-null
+    value of each fill column among its rows before, i.e. at positions
+    < p*chunk_rows - halo."""
     chunk = F.expr(f"{POS} div {int(chunk_rows)}")
     tail = (F.col(POS) % chunk_rows) >= (chunk_rows - halo_before)
     region = (chunk * 2 + tail.cast("long")).alias("_bl_region")
     aggs = [F.max_by(F.col(c), F.when(F.col(c).isNotNull(), F.col(POS))).alias(c) for c in fill_cols]
-    summary = pos_df.groupBy(*keys, region).agg(*aggs)
+    summary = pos_df.groupBy(*keys, region).agg(F.max(POS).alias("_bl_last"), *aggs)
     block = F.expr(f"_bl_region div {CARRY_BLOCK}").alias("_bl_block")
     summary = staged(summary.select("*", block), "carry")
     upto = Window.partitionBy(*keys, "_bl_block").orderBy("_bl_region").rowsBetween(Window.unboundedPreceding, 0)
     cum = summary.select(
-        *keys, "_bl_region", "_bl_block",
+        *keys, "_bl_region", "_bl_block", "_bl_last",
         *[F.last(c, ignorenulls=True).over(upto).alias(f"_bl_carry_{c}") for c in fill_cols],
     )
     # second level: what the key's earlier blocks leave behind, one row a block
@@ -144,13 +146,14 @@ def _fill_carry(pos_df: DataFrame, keys: list[str], fill_cols: list[str],
     earlier = Window.partitionBy(*keys).orderBy("_bl_block").rowsBetween(Window.unboundedPreceding, -1)
     blocks = blocks.select(*keys, "_bl_block", *[F.last(c, ignorenulls=True).over(earlier).alias(f"_bl_before_{c}") for c in fill_cols])
     cum = cum.join(blocks, _same(cum, blocks, [*keys, "_bl_block"]), "left").select(
-        *[cum[k] for k in keys], "_bl_region",
+        *[cum[k] for k in keys], "_bl_region", "_bl_last",
         *[F.coalesce(f"_bl_carry_{c}", f"_bl_before_{c}").alias(f"_bl_carry_{c}") for c in fill_cols])
-    # region 2(p-1) (head of chunk p-1) ends right before chunk p's halo.
-    return cum.filter(F.col("_bl_region") % 2 == 0).select(
-        *keys, (F.expr("_bl_region div 2") + 1).alias(PART),
-        *[f"_bl_carry_{c}" for c in fill_cols],
-    )
+    # region 2(p-1) (head of chunk p-1) ends right before chunk p's halo; its
+    # last row belongs to the crossing key.
+    row = F.struct(*[F.col(k).alias(f"_bl_key_{k}") for k in keys], *[f"_bl_carry_{c}" for c in fill_cols])
+    heads = cum.filter(F.col("_bl_region") % 2 == 0)
+    return heads.groupBy((F.expr("_bl_region div 2") + 1).alias(PART)).agg(
+        F.max_by(row, "_bl_last").alias("row")).select(PART, "row.*")
 
 
 def _with_copies(pos_df: DataFrame, b: int, halo_before: int, halo_after: int) -> DataFrame:
@@ -234,10 +237,12 @@ def series_windows(
     exploded = _with_copies(pos_df, b, halo_before, halo_after)
     carry_cols = None
     if fill_cols:
-        carry = _fill_carry(pos_df, keys, fill_cols, b, halo_before)
-        exploded = exploded.join(carry, _same(exploded, carry, [*keys, PART]), "left").select(
-            *[exploded[c] for c in exploded.columns], *[f"_bl_carry_{c}" for c in fill_cols])
-        carry_cols = [F.col(f"_bl_carry_{c}") for c in fill_cols]
+        # joined on the chunk alone: the windows below reuse that partitioning
+        exploded = exploded.join(_fill_carry(pos_df, keys, fill_cols, b, halo_before), PART, "left")
+        crossing = F.lit(True)
+        for k in keys:
+            crossing = crossing & F.col(k).eqNullSafe(F.col(f"_bl_key_{k}"))
+        carry_cols = [F.when(crossing, F.col(f"_bl_carry_{c}")) for c in fill_cols]
     spec = Window.partitionBy(*keys, PART).orderBy(POS)
     out = apply(exploded, spec, carry_cols).filter(~F.col(HALO))
     extra_names = [c for c in out.columns if c not in cols and not c.startswith("_bl_")]
