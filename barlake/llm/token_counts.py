@@ -72,7 +72,8 @@ class WordTransducer:
             return token
 
         self.ranks = {(marked(a), marked(b)): r for r, (a, b) in enumerate(merges)}
-        self.tokens = {a + b for a, b in self.ranks}
+        self.made = {a + b: (r, a, b) for (a, b), r in self.ranks.items()}
+        self.tokens = self.made.keys()
         self.prefixes = {t[:k] for t in self.tokens for k in range(1, len(t) + 1)}
         self.apart: dict[tuple[str, str], bool] = {}
         self.whole: dict[str, bool] = {}
@@ -84,7 +85,7 @@ class WordTransducer:
         self.steps: list[dict[str, tuple[int, int]]] = [{}]
 
     def merged(self, letters: str) -> list[str]:
-        """Reference merging, used to compile: lowest rank first, leftmost first."""
+        """Plain merging: lowest rank first, leftmost first. For tests."""
         parts = list(letters)
         while len(parts) > 1:
             rank, at = min((self.ranks.get(pair, len(self.ranks)), k) for k, pair in enumerate(zip(parts, parts[1:])))
@@ -93,47 +94,77 @@ class WordTransducer:
             parts[at:at + 2] = [parts[at] + parts[at + 1]]
         return parts
 
+    def stay_apart(self, a: str, b: str, limit: int) -> bool:
+        """Whether no merge of a rank below ``limit`` crosses the border of a and
+        b while their letters are merged. Their merges are undone, latest first:
+        just before each of them the two tokens at the border could have merged,
+        which needs a lower rank than the merge that did happen (or the same, if
+        the border is to its left, as then leftmost decides)."""
+        while True:
+            if self.ranks.get((a, b), limit) < limit:
+                return False
+            rank_a, rank_b = (self.made[t][0] if t in self.made else -1 for t in (a, b))
+            if rank_a > rank_b:
+                limit, _, a = self.made[a]
+            elif rank_b >= 0:
+                limit, b = rank_b + 1, self.made[b][1]
+            else:
+                return True
+
     def _fits(self, before: str, token: str) -> bool:
-        if token not in self.whole:
-            self.whole[token] = len(self.merged(token)) == 1
-        if not self.whole[token] or not before:
-            return self.whole[token]
-        key = (before, token)
-        if key not in self.apart:
+        """Whether ``token`` is what its own letters merge to, and stays apart
+        from the token before it."""
+        whole = self.whole.get(token)
+        if whole is None:
+            whole = True
+            if token in self.made:
+                rank, a, b = self.made[token]
+                whole = self._fits("", a) and self._fits("", b) and self.stay_apart(a, b, rank)
+            self.whole[token] = whole
+        if not whole or not before:
+            return whole
+        found = self.apart.get((before, token))
+        if found is None:
             if len(self.apart) >= CACHE_STATES:
                 self.apart.clear()
-            self.apart[key] = self.merged(before + token) == [before, token]
-        return self.apart[key]
+            found = self.apart[before, token] = self.stay_apart(before, token, len(self.ranks))
+        return found
 
     def step(self, state: int, letter: str) -> tuple[int, int]:
-        """Next state and tokens emitted."""
-        found = self.steps[state].get(letter)
-        if found is None:
-            tail, last, since = self.states[state]
-            text = tail + letter
-            for k in range(len(text)):  # longest suffix first; a single letter is always a token
-                token = text[k:]
-                if (len(token) == 1 or token in self.tokens) and self._fits(last[k], token):
-                    emitted = 1 - since[k]
-                    break
-            keep = next((k for k in range(len(text)) if text[k:] in self.prefixes), len(text))
-            new = (text[keep:], (*last[keep:], token), (*(s + emitted for s in since[keep:]), 0))
-            if new not in self.ids:
-                self.ids[new] = len(self.states)
-                self.states.append(new)
-                self.steps.append({})
-            found = self.steps[state][letter] = (self.ids[new], emitted)
+        """Next state and tokens emitted, for a transition that is new."""
+        tail, last, since = self.states[state]
+        text = tail + letter
+        keep = len(text)  # what can still become a longer token begins here
+        for k in range(len(text)):  # longest suffix first; a single letter is always a token
+            token = text[k:]
+            if keep > k and token in self.prefixes:
+                keep = k
+            if (k == len(tail) or token in self.made) and self._fits(last[k], token):
+                break
+        while keep > k and k + 1 < len(text):
+            k += 1
+            if text[k:] in self.prefixes:
+                keep = k
+        emitted = 1 - since[len(text) - len(token)]
+        new = (text[keep:], (*last[keep:], token), (*[s + emitted for s in since[keep:]], 0))
+        number = self.ids.get(new)
+        if number is None:
+            number = self.ids[new] = len(self.states)
+            self.states.append(new)
+            self.steps.append({})
+        found = self.steps[state][letter] = (number, emitted)
         return found
 
     def count(self, letters: str) -> int:
         """Tokens of a whole word; its last letter is read as a word end."""
         if len(self.states) >= CACHE_STATES:
             self._restart()
-        state = total = 0
+        state, total, steps = 0, 0, self.steps
         for letter in letters[:-1]:
-            state, emitted = self.step(state, letter)
+            state, emitted = steps[state].get(letter) or self.step(state, letter)
             total += emitted
-        return total + self.step(state, chr(ord(letters[-1]) + _END))[1]
+        last = chr(ord(letters[-1]) + _END)
+        return total + (steps[state].get(last) or self.step(state, last))[1]
 
 
 class Splitter:
@@ -158,6 +189,10 @@ class Splitter:
     def pieces(self, raw: bytes) -> list[str]:
         """Pieces as letters; a special string is a piece of its own, after a NUL
         (which is no letter)."""
+        if raw.isalpha():  # ASCII letters only
+            return [raw.lower().decode()]
+        if raw[-1:] in (b".", b",") and raw[:-1].isalpha():
+            return [raw[:-1].lower().decode(), raw[-1:].decode()]
         text = raw.decode("utf-8", "replace")
         if self.special is None or "<" not in text:
             return self._cut(text)
@@ -270,10 +305,10 @@ def token_counts(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", t
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = Counter(spec.value)
         for batch in batches:
-            texts = utf8(batch.column("t"))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), pa.array([len(t or b"") for t in texts], pa.int64()),
-                 pa.array([count(counter, t) for t in texts], pa.int64())], names=["id", "n_bytes", "n_tokens"])
+            found = [(len(t or b""), count(counter, t)) for t in utf8(batch.column("t"))]
+            sizes, tokens = zip(*found) if found else ((), ())
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(sizes, pa.int64()), pa.array(tokens, pa.int64())],
+                                             names=["id", "n_bytes", "n_tokens"])
 
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("t"))
     kind = rows.schema["id"].dataType.simpleString()

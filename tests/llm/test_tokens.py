@@ -59,6 +59,17 @@ def test_counts_of_any_text(text, size):
     assert count(counter, text.encode(), size) == len(library.encode(text, add_special_tokens=False).ids)
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.integers(0, 48_000), st.integers(0, 48_000))
+def test_tokens_stay_apart_as_plain_merging_says(i, j):
+    words = both()[1].words
+    names = list(words.made)
+    a, b = names[i], names[j]
+    assert words.merged(a) == [a] or not words._fits("", a)
+    if words.merged(a) == [a] and words.merged(b) == [b]:
+        assert words.stay_apart(a, b, len(words.ranks)) == (words.merged(a + b) == [a, b])
+
+
 def test_caches_may_be_emptied(library, monkeypatch):
     monkeypatch.setattr(module, "CACHE_WORDS", 10)
     monkeypatch.setattr(module, "CACHE_STATES", 50)
