@@ -220,13 +220,24 @@ def _rest(links: _Links, members: DataFrame) -> DataFrame:
     nodes = at.join(mixed, "bucket", "left_semi").select(F.col("b").alias("node"), F.col("nb").alias("n"), "c").distinct()
     nodes, words = staged(nodes, "open"), links.words
 
+    def rows(held: list[tuple[int, np.ndarray]]) -> pa.RecordBatch:
+        nodes_ = np.repeat(np.array([n for n, _ in held], np.int64), [len(f) for _, f in held])
+        return pa.RecordBatch.from_arrays([pa.array(nodes_), pa.array(signed(np.concatenate([f for _, f in held])))],
+                                          names=["node", "shingle"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in batches:
+            held, size = [], 0
             for node, text in zip(batch.column("node").to_pylist(), utf8(batch.column("t"))):
                 found = np.unique(shingles(hashes.of(text), words))
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(found), node)), pa.array(signed(found))],
-                                                 names=["node", "shingle"])
+                held.append((node, found))
+                size += len(found)
+                if size >= 1 << 18:
+                    yield rows(held)
+                    held, size = [], 0
+            if held:
+                yield rows(held)
 
     held = staged(links.texts.join(nodes, "node", "left_semi").mapInArrow(run, "node long, shingle long"), "shingles")
     shared = held.groupBy("shingle").agg(F.count("*").alias("df")).where("df > 1")

@@ -19,9 +19,11 @@ CACHE_WORDS = 500_000
 PIECE_BYTES = 1 << 20
 
 
-def utf8(column: pa.Array) -> list[bytes | None]:
-    """The values of an Arrow string column as UTF-8 bytes."""
-    return column.cast(pa.binary()).to_pylist()
+def utf8(column: pa.Array) -> Iterator[bytes | None]:
+    """The values of an Arrow string column as UTF-8 bytes, a few at a time."""
+    column = column.cast(pa.binary())
+    for k in range(0, len(column), 128):
+        yield from column.slice(k, 128).to_pylist()
 
 
 def pieces(text: bytes, size: int = PIECE_BYTES) -> Iterator[bytes]:

@@ -91,6 +91,25 @@ def test_large_group_of_copies_and_near_copies(spark):
     assert len(got) == 700 and {r.component_id for r in got.values()} == {0} and [r.doc_id for r in got.values() if r.kept] == [0]
 
 
+def test_one_large_loose_group_is_joined_without_pairing_its_members(spark, monkeypatch):
+    """Copies of one text whose similarities lie around the threshold: stars alone
+    do not settle it, yet few of the 3,160 pairs are compared."""
+    from barlake.llm import near_duplicates as module
+
+    rnd, base, compared = random.Random(9), [f"b{i}" for i in range(200)], []
+    rows = []
+    for i in range(80):
+        w = list(base)
+        for _ in range(rnd.choice([1, 3, 6, 9, 14])):
+            w[rnd.randrange(200)] = f"x{i}_{rnd.randrange(99)}"
+        rows.append((i, " ".join(w)))
+    real = module._compared
+    monkeypatch.setattr(module, "_compared", lambda pairs, *a: compared.append(pairs.count()) or real(pairs, *a))
+    got = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), words=3, percent=85)
+    assert sorted(map(tuple, got.drop("text_hash").collect())) == brute(rows, 3, 85)
+    assert len(compared) > 1 and sum(compared) < 1000
+
+
 def test_sketch_estimates_similarity_for_any_set_size():
     rnd, bands = np.random.default_rng(5), 40
     sketch = Sketch(bands, ROWS)
