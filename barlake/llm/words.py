@@ -10,13 +10,13 @@ from hashlib import blake2b
 import numpy as np
 import pyarrow as pa
 
-_LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
+_LOWER = bytes(32 if c in b"\t\n\v\f\r" else c + 32 if 65 <= c <= 90 else c for c in range(256))
 _SPACE = re.compile(rb"[\x20\x09-\x0D]")
-#: Entries of a worker's word cache before it is emptied; a cache only.
-CACHE_WORDS = 500_000
-#: Bytes of a text that are split at a time, so that a very long text never
-#: becomes one list of words.
-PIECE_BYTES = 1 << 20
+#: Bytes of a text that are hashed at a time.
+PIECE_BYTES = 1 << 18
+#: Words up to this many bytes are hashed as polynomials, all at once.
+SHORT_WORD = 64
+_FACTOR = 0xD6E8FEB86659FD93
 
 
 def utf8(column: pa.Array) -> Iterator[bytes | None]:
@@ -38,28 +38,48 @@ def pieces(text: bytes, size: int = PIECE_BYTES) -> Iterator[bytes]:
     yield text[at:] if at else text
 
 
-class WordHashes(dict):
-    """word -> 64-bit hash, filled as words are met."""
+class WordHashes:
+    """64-bit hashes of the words of a text, in order. A word's hash is a
+    polynomial of its bytes modulo 2^64, mixed with its length; prefix sums over
+    a whole piece give all of them without a loop. Longer words, for which such
+    polynomials are weak, take a cryptographic hash."""
 
-    #: Applied to the bytes of a text before it is split.
+    #: Applied to the bytes of a text first; maps all white space to a space.
     table = _LOWER
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= CACHE_WORDS:
-            self.clear()
-        value = self[word] = int.from_bytes(blake2b(word, digest_size=8).digest(), "little")
-        return value
+    def __init__(self) -> None:
+        self.up, self.down = (np.full(PIECE_BYTES + 1, f, np.uint64) for f in (_FACTOR, pow(_FACTOR, -1, 1 << 64)))
+        for powers in (self.up, self.down):
+            powers[0] = 1
+            np.multiply.accumulate(powers, out=powers)
 
     def of(self, text: bytes | None) -> np.ndarray:
-        """Hashes of the words of ``text``, in order."""
-        if not text:
-            return np.empty(0, np.uint64)
-        parts = []
-        for piece in pieces(text):
-            found = piece.translate(self.table).split()
-            parts.append(np.fromiter(map(self.__getitem__, found), np.uint64, len(found)))
+        parts = [self._piece(piece.translate(self.table)) for piece in pieces(text or b"")]
         return parts[0] if len(parts) == 1 else np.concatenate(parts)
 
+    def _piece(self, piece: bytes) -> np.ndarray:
+        if len(piece) > PIECE_BYTES:  # it holds a very long word
+            return np.array([self.word(w) for w in piece.split(b" ") if w], np.uint64)
+        codes = np.frombuffer(piece, np.uint8)
+        solid = np.zeros(len(codes) + 2, np.int8)
+        solid[1:-1] = codes != 32
+        edges = np.flatnonzero(solid[1:] != solid[:-1])
+        starts, ends = edges[::2], edges[1::2]
+        sums = np.zeros(len(codes) + 1, np.uint64)
+        np.cumsum((codes.astype(np.uint64) + np.uint64(1)) * self.up[:len(codes)], out=sums[1:])
+        lengths = ends - starts
+        out = mix((sums[ends] - sums[starts]) * self.down[starts] + lengths.astype(np.uint64))
+        for k in np.flatnonzero(lengths > SHORT_WORD):
+            out[k] = self.word(piece[starts[k]:ends[k]])
+        return out
+
+    def word(self, word: bytes) -> np.uint64:
+        """The hash of one word, to which the table has been applied."""
+        if len(word) > SHORT_WORD:
+            return np.uint64(int.from_bytes(blake2b(word, digest_size=8).digest(), "little"))
+        value = sum((c + 1) * pow(_FACTOR, k, 1 << 64) for k, c in enumerate(word)) + len(word)
+        return mix(np.array([value % (1 << 64)], np.uint64))[0]
+
 
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijective 64-bit finaliser (xor-shift and multiply)."""

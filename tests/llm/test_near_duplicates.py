@@ -132,9 +132,15 @@ def test_words_are_cut_at_ascii_white_space_only():
     hashes = WordHashes()
     assert len(hashes.of("a\x0bB c\x1fd e".encode())) == 3
     assert hashes.of(b"ABC")[0] == hashes.of(b"abc")[0] != hashes.of("É".encode())[0]
-    text = ("word " * 1000 + "x" * 5000 + " end").encode()
+    text = ("word " * 1000 + "x" * 5000 + " end " + "y" * 600_000 + " z\0 z").encode()
     assert b"".join(pieces(text, 64)) == text
     assert np.array_equal(hashes.of(text), np.concatenate([hashes.of(p) for p in pieces(text, 100)]))
+    assert len(hashes.of(b"")) == len(hashes.of(None)) == len(hashes.of(b" \n")) == 0
+    rnd = random.Random(4)
+    words = ["".join(rnd.choices("aAbé\0_", k=rnd.choice([1, 2, 3, 63, 64, 65, 200]))) for _ in range(3000)]
+    got = hashes.of(" \t".join(words).encode())
+    low = [w.encode().translate(WordHashes.table) for w in words]
+    assert got.tolist() == [int(hashes.word(w)) for w in low] and len(set(got.tolist())) == len(set(low))
     assert len(shingles(hashes.of(b"a b"), 3)) == 1 and len(shingles(hashes.of(b"a b c d"), 3)) == 2
 
 
