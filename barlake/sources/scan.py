@@ -8,7 +8,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField, StructType, _parse_datatype_string
+from pyspark.sql.types import StructType
 
 from ..plans.windows import EmptyWindow
 
@@ -35,8 +35,9 @@ def scan_partitioned(spark: SparkSession, *roots: str, schema: StructType | None
         wanted = {c.lower(): t for c, t in (types or {}).items()}
         if all(wanted.get(c.lower(), kind) == kind for c, kind in df.dtypes):
             return df
-        schema = StructType([StructField(f.name, _parse_datatype_string(wanted[f.name.lower()]) if f.name.lower() in wanted else f.dataType)
-                             for f in df.schema.fields])
+        fields = [StructType.fromDDL(f"`{f.name}` {wanted[f.name.lower()]}").fields[0] if f.name.lower() in wanted else f
+                  for f in df.schema.fields]
+        schema = StructType(fields)
     return spark.read.schema(schema).options(**options).parquet(*roots)
 
 
