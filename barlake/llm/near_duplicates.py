@@ -207,7 +207,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def _rest(links: _Links, members: DataFrame) -> DataFrame:
     """Pairs that the stars left open: nodes of buckets that hold several
-    components, where the pair passes the prefix filter, which is exact.
+    components beside the centre, where the pair passes the prefix filter, which
+    is exact.
 
     With a node's shingles in one order for all, rarest first, two linked sets
     share one among their first n - ceil(threshold * n) + 1, and early enough
@@ -215,7 +216,8 @@ def _rest(links: _Links, members: DataFrame) -> DataFrame:
     has fill the prefixes of nodes with many edits, so a large group of loosely
     similar texts gives few pairs. Each such shingle is joined from the nodes
     outside its first component."""
-    at = links.labelled(members, "b", "c")
+    # pairs with the centre have all been compared, or their sizes exclude a link
+    at = links.labelled(members.where("a <> b"), "b", "c")
     mixed = at.groupBy("bucket").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low <> high")
     nodes = at.join(mixed, "bucket", "left_semi").select(F.col("b").alias("node"), F.col("nb").alias("n"), "c").distinct()
     nodes, words = staged(nodes, "open"), links.words
