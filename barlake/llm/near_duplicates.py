@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
+from .decontamination import bitmap, passing
 from .staging import staged
 from .words import WordHashes, mix, shingles, signed, utf8
 
@@ -231,6 +232,8 @@ def _rest(links: _Links, members: DataFrame) -> DataFrame:
         hashes = WordHashes()
         for batch in batches:
             held, size = [], 0
+            wanted = passing(known.value, batch.column("h").to_numpy().view(np.uint64))
+            batch = batch.filter(pa.array(wanted))
             for node, text in zip(batch.column("node").to_pylist(), utf8(batch.column("t"))):
                 found = np.unique(shingles(hashes.of(text), words))
                 held.append((node, found))
@@ -241,7 +244,11 @@ def _rest(links: _Links, members: DataFrame) -> DataFrame:
             if held:
                 yield rows(held)
 
-    held = staged(links.texts.join(nodes, "node", "left_semi").mapInArrow(run, "node long, shingle long"), "shingles")
+    # a bitmap of bounded size picks the texts; the few others it lets pass only
+    # count in the order, and leave with the join below
+    known = bitmap(nodes.select(F.xxhash64("node").alias("h")))
+    texts = links.texts.select("node", F.xxhash64("node").alias("h"), "t")
+    held = staged(texts.mapInArrow(run, "node long, shingle long"), "shingles")
     shared = held.groupBy("shingle").agg(F.count("*").alias("df")).where("df > 1")
     ordered = held.join(shared, "shingle", "left").groupBy("node").agg(
         F.sort_array(F.collect_list(F.struct(F.coalesce("df", F.lit(1)).alias("df"), "shingle"))).alias("order"))
