@@ -1,4 +1,4 @@
-"""Execute every registered query and summarise the physical plans of all its
+"""Execute every query of the main library and summarise the physical plans of all its
 jobs, staged inputs included, from Spark's event log: the last plan that adaptive
 execution reports for each SQL execution. Writes PLANS.md.
 Usage: python tools/plan_audit.py [sf_dir] [name ...]
@@ -17,7 +17,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from pyspark.sql import SparkSession  # noqa: E402
 
-import __spark_entry__ as entry  # noqa: E402
+from barlake import bindings  # noqa: E402
 from barlake.session import get_session  # noqa: E402
 
 # column -> (node name pattern, pattern in the node's text)
@@ -63,17 +63,17 @@ def main():
     lines = [
         "# PLANS — physical plan audit",
         "",
-        f"Generated by `python tools/plan_audit.py {sf_dir}`: every registered query is executed and the final",
+        f"Generated by `python tools/plan_audit.py {sf_dir}`: every query of the main library is executed and the final",
         "adaptive plans of all its SQL executions are counted, also those that staged, published or counted",
         "something before the last one. `single_partition` nodes carry one-row aggregates or one row per",
-        "partition; `nested_loop_or_cartesian` must stay 0; `python` is 0 outside the training-data operators.",
+        "partition; `nested_loop_or_cartesian` and `python` must stay 0.",
         "",
         "| query | " + " | ".join(CHECKS) + " |",
         "|---|" + "---|" * len(CHECKS),
     ]
     at = 0
-    for name in sys.argv[2:] or entry.queries():
-        entry.queries()[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+    for name in sys.argv[2:] or bindings.queries():
+        bindings.queries()[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(60_000)
         (log,) = os.listdir(folder)
         with open(os.path.join(folder, log), encoding="utf-8") as fh:
