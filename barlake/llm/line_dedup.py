@@ -43,14 +43,14 @@ def _text_hash(text: Column) -> Column:
     return F.xxhash64(F.coalesce(text, F.lit("")))
 
 
-def keep_bitmaps(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_docs: int = 2,
-                 min_chars: int = 1, keep_first: bool = True) -> DataFrame:
-    """(id, text_hash, n_dropped, keep_runs) for every document that loses lines.
+def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_docs: int = 2,
+                  min_chars: int = 1, keep_first: bool = True) -> DataFrame:
+    """(h1, h2, id, text_hash, pos, first): the lines to drop, as key hash and
+    position, with the key's first occurrence (id, text_hash, pos).
 
     A key of at least ``min_chars`` code points found in at least ``min_docs``
     documents loses its lines: all but the first by (id, text hash, position) if
-    ``keep_first``, else all. keep_runs alternates lengths of kept and dropped
-    runs, beginning with a kept run (perhaps 0 long); the rest is kept."""
+    ``keep_first``, else all."""
     text = F.col(text_col).cast("string")
     exploded = docs.select(F.col(id_col).alias("id"), _text_hash(text).alias("text_hash"),
                            F.posexplode(lines_of(text)).alias("pos", "line"))
@@ -63,30 +63,91 @@ def keep_bitmaps(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     top = index.agg(F.expr(f"approx_top_k(h1, {HOT}, {TRACKED})").alias("top"))
     hot = staged(top.select(F.explode("top.item").alias("h1")), "hot")
     order = ["id", "text_hash", "pos"]
+    later = ~F.struct(*order).eqNullSafe(F.col("first"))
 
     often = index.join(F.broadcast(hot), "h1", "left_semi")
     in_doc = often.groupBy("h1", "h2", "id", "text_hash").agg(F.min("pos").alias("pos"))
     counted = in_doc.groupBy("h1", "h2").agg(F.count("*").alias("docs"), F.min(F.struct(*order)).alias("first"))
     counted = counted.where(F.col("docs") >= min_docs)
     often = often.join(F.broadcast(counted), ["h1", "h2"])
-    drop_often = often.where(~F.struct(*order).eqNullSafe(F.col("first"))) if keep_first else often
+    drop_often = often.where(later) if keep_first else often
 
     rest = index.join(F.broadcast(hot), "h1", "left_anti")
     run = Window.partitionBy("h1", "h2").orderBy(*order)
     rest = rest.repartitionByRange("h1", "h2").sortWithinPartitions("h1", "h2", *order)
     same = F.lag("id").over(run).eqNullSafe(F.col("id")) & (F.lag("text_hash").over(run) == F.col("text_hash"))
-    rest = rest.withColumn("nth", F.row_number().over(run)).withColumn(
+    rest = rest.withColumn("nth", F.row_number().over(run)).withColumn("first", F.first(F.struct(*order)).over(run)).withColumn(
         "new", F.when((F.col("nth") > 1) & same, 0).otherwise(1))
     rest = rest.withColumn("docs", F.sum("new").over(run.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
     drop_rest = rest.where(F.col("docs") >= min_docs)
     if keep_first:
-        drop_rest = drop_rest.where("nth > 1")
+        drop_rest = drop_rest.where(later)
+
+    columns = ["h1", "h2", *order, "first"]
+    return drop_often.select(*columns).unionByName(drop_rest.select(*columns))
+
 
-    dropped = drop_often.select(*order).unionByName(drop_rest.select(*order))
+def bitmaps_of(dropped: DataFrame) -> DataFrame:
+    """(id, text_hash, n_dropped, keep_runs) of (id, text_hash, pos). keep_runs
+    alternates lengths of kept and dropped runs, beginning with a kept run
+    (perhaps 0 long); the rest is kept."""
     marked = dropped.groupBy("id", "text_hash").agg(F.array_sort(F.collect_set("pos")).alias("at"))
     return marked.select("id", "text_hash", F.size("at").cast("long").alias("n_dropped"), _runs(F.col("at")).alias("keep_runs"))
 
 
+def keep_bitmaps(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_docs: int = 2,
+                 min_chars: int = 1, keep_first: bool = True) -> DataFrame:
+    """:func:`bitmaps_of` the :func:`dropped_lines`, for every document that
+    loses lines."""
+    return bitmaps_of(dropped_lines(docs, id_col, text_col, min_docs, min_chars, keep_first))
+
+
+def shingles_of(text: Column, words: int) -> Column:
+    """Hashes of the distinct runs of ``words`` words, the near-duplicate
+    operator's: white space apart, A-Z lower-cased; a shorter text is one run."""
+    parts = F.filter(F.split(line_key(text), f"[{SPACE}]+"), lambda w: w != "")
+
+    def runs(p: Column) -> Column:
+        last = F.greatest(F.size(p) - words, F.lit(0))
+        return F.array_distinct(F.transform(F.sequence(F.lit(1), last + 1), lambda k: F.xxhash64(F.slice(p, k, words))))
+
+    # a lambda's argument is evaluated once, not once a run
+    return F.transform(F.array(parts), lambda p: F.when(F.size(p) > 0, runs(p)))[0]
+
+
+def lines_of_copies(docs: DataFrame, dropped: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5,
+                    percent: int = 80) -> DataFrame:
+    """(id, text_hash, pos): of the ``dropped`` lines those that a near copy of
+    the document with their first occurrence holds; of several in it, its first.
+
+    Only a document that would lose more than a quarter of its lines (blank ones
+    do not count) is compared, with each document that is first for one of them:
+    on full shingle sets, by the near-duplicate operator's rule. Rows with null
+    ids, which that operator links with nothing, have no copies."""
+    text = F.col(text_col).cast("string")
+    rows = docs.select(F.col(id_col).alias("id"), _text_hash(text).alias("text_hash"), text.alias("t"))
+    solid = F.size(F.filter(lines_of(F.col("t")), lambda x: F.btrim(x, F.lit(SPACE)) != ""))
+    lost = dropped.where("id IS NOT NULL").groupBy("id", "text_hash").agg(F.countDistinct("pos").alias("lost"))
+    many = rows.select("id", "text_hash", solid.alias("lines")).distinct().join(lost, ["id", "text_hash"]).where("4 * lost > lines")
+    held = dropped.join(many.select("id", "text_hash"), ["id", "text_hash"], "left_semi").withColumns(
+        {"f_id": F.col("first.id"), "f_hash": F.col("first.text_hash")})
+    held = held.where("f_id IS NOT NULL AND (f_id <> id OR f_hash <> text_hash)")
+    held = staged(held.groupBy("h1", "h2", "id", "text_hash", "f_id", "f_hash").agg(F.min("pos").alias("pos")), "held")
+
+    pairs = held.select("id", "text_hash", "f_id", "f_hash").distinct()
+    ends = pairs.select("id", "text_hash").union(pairs.select("f_id", "f_hash")).distinct()
+    sets = rows.join(ends, ["id", "text_hash"], "left_semi").dropDuplicates(["id", "text_hash"])
+    sets = staged(sets.select("id", "text_hash", shingles_of(F.col("t"), words).alias("set")).where("set IS NOT NULL"), "sets")
+    sizes = sets.select("id", "text_hash", F.size("set").cast("long").alias("n"))
+    first = {"id": "f_id", "text_hash": "f_hash", "n": "f_n", "set": "f_set"}
+    close = percent * F.greatest("n", "f_n") <= 100 * F.least("n", "f_n")
+    pairs = pairs.join(sizes, ["id", "text_hash"]).join(sizes.withColumnsRenamed(first), ["f_id", "f_hash"]).where(close)
+    pairs = pairs.join(sets, ["id", "text_hash"]).join(sets.withColumnsRenamed(first), ["f_id", "f_hash"])
+    both = F.size(F.array_intersect("set", "f_set"))
+    near = pairs.where(100 * both >= percent * (F.col("n") + F.col("f_n") - both)).select("id", "text_hash", "f_id", "f_hash")
+    return held.join(near, ["id", "text_hash", "f_id", "f_hash"], "left_semi").select("id", "text_hash", "pos")
+
+
 def _runs(at: Column) -> Column:
     """Sorted distinct positions to alternating kept and dropped run lengths."""
     starts = F.array_compact(F.zip_with(at, F.concat(F.array(F.lit(-2)), at), lambda x, p: F.when(x != p + 1, x)))

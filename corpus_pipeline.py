@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from barlake.llm.decontamination import leaks
 from barlake.llm.language_id import language_id, train
-from barlake.llm.line_dedup import dedup_lines
+from barlake.llm.line_dedup import apply_bitmaps, bitmaps_of, dropped_lines, lines_of_copies
 from barlake.llm.near_duplicates import near_duplicates
 from barlake.llm.packing import pack
 from barlake.llm.staging import staged
@@ -25,6 +25,8 @@ from barlake.session import table
 
 #: Documents that a line must occur in to be dropped after its first occurrence.
 LINE_DOCS = 10
+#: Near copies: words of a shingle, least similarity.
+WORDS, PERCENT = 5, 80
 TOKENIZER, CAPACITY, END_ID = "word_bpe_49k.json", 4096, 2
 
 #: The stages train, sketch and align; SQL cannot express them.
@@ -47,18 +49,19 @@ def by_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def by_line(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops lines that many documents share, but for their first occurrence. A
-    document that would lose more than a quarter of its lines is rather a copy
-    than a carrier of boilerplate; it is left whole, for the next stage to judge."""
-    out = dedup_lines(docs, min_docs=LINE_DOCS, keep_first=True)
-    change = (F.col("n_dropped") > 0) & (4 * F.col("n_dropped") <= F.col("n_lines"))
+    near copy of the document that holds the first one keeps the line: the next
+    stage takes the copy as a whole."""
+    dropped = staged(dropped_lines(docs, min_docs=LINE_DOCS, keep_first=True), "dropped")
+    gone = dropped.join(lines_of_copies(docs, dropped, words=WORDS, percent=PERCENT), ["id", "text_hash", "pos"], "left_anti")
+    out = apply_bitmaps(docs, bitmaps_of(gone))
     new = {"text": F.col("kept"), "n_chars": F.length("kept").cast("long")}
-    return out.select(*[F.when(change, new[c]).otherwise(F.col("row")[c]).alias(c) if c in new else F.col("row")[c].alias(c)
-                        for c in docs.columns])
+    return out.select(*[F.when(F.col("n_dropped") > 0, new[c]).otherwise(F.col("row")[c]).alias(c) if c in new
+                        else F.col("row")[c].alias(c) for c in docs.columns])
 
 
 def by_near_duplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each group of near duplicates, the smallest id."""
-    found = staged(near_duplicates(docs, words=5, percent=80), "near")
+    found = staged(near_duplicates(docs, words=WORDS, percent=PERCENT), "near")
     left = _without(docs, found.where(~F.col("kept")), "copies")
     again = found.where("kept").groupBy("doc_id", "text_hash").count().where("count > 1").drop("count")
     return _once(left, staged(again, "repeated"))

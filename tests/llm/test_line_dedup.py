@@ -87,3 +87,10 @@ def test_hash_of_kept_text(spark):
     docs = spark.createDataFrame([(1, "ä\nb")], "doc_id long, text string")
     got = dedup_lines(docs).select(F.sha2("kept", 256)).first()[0]
     assert got == hashlib.sha256("ä\nb".encode()).hexdigest()
+
+
+def test_repeated_rows_of_the_first_document_keep_their_line_on_both_routes(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, "a\nb"), (1, "a\nb"), (2, "a"), (3, "z\nz\nz")], "doc_id long, text string")
+    for room in (256, 1):
+        monkeypatch.setattr(line_dedup, "HOT", room)
+        assert sorted(r.kept for r in dedup_lines(docs).collect()) == ["", "a\nb", "a\nb", "z\nz\nz"]

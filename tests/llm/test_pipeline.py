@@ -65,3 +65,17 @@ def test_runs_on_the_small_tables(spark):
     before = spark.read.parquet(f"{SF}/documents.parquet").count()
     kept = cp.run(spark, SF).select("doc_id").distinct().count()
     assert 0.5 * before < kept < before
+
+
+def test_line_stage_exempts_near_copies_only(spark):
+    shared, other = "a footer line that all of these have", "and one more line of that kind here"
+    rows = [(i, f"{words(f'd{i}x', 30)}\n{shared}\n\n{other}", None, None, 0) for i in range(12)]
+    rows += [(20, f"{words('short', 3)}\n{shared}", None, None, 0), (21, f"{shared}\n{other}", None, None, 0), (22, shared, None, None, 0)]
+    rows += [(30, f"{words('x', 40)}\n{shared}", None, None, 0), (31, f"{words('x', 40)}\n{shared}", None, None, 0)]
+    rows += [(40 + i, f"{words('c', 40)}\n{words('e', 40)}\n{words('f', 9)} v{i}", None, None, 0) for i in range(11)]
+    docs = spark.createDataFrame([(*r[:4], len(r[1])) for r in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = {r.doc_id: r for r in cp.by_line(spark, docs, "").collect()}
+    assert got[0].text == rows[0][1] and all(got[i].text == f"{words(f'd{i}x', 30)}\n" for i in range(1, 12))
+    assert got[20].text == words("short", 3) and got[21].text == got[22].text == ""
+    assert got[30].text == got[31].text == words("x", 40)     # copies of each other, not of the line's first holder
+    assert all(got[40 + i].text == rows[17 + i][1] for i in range(11)) and all(r.n_chars == len(r.text) for r in got.values())
