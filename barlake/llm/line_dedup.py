@@ -44,20 +44,24 @@ def _text_hash(text: Column) -> Column:
 
 
 def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_docs: int = 2,
-                  min_chars: int = 1, keep_first: bool = True) -> DataFrame:
+                  min_chars: int = 1, keep_first: bool = True, long_words: int | None = None, long_docs: int = 2) -> DataFrame:
     """(h1, h2, id, text_hash, pos, first): the lines to drop, as key hash and
     position, with the key's first occurrence (id, text_hash, pos).
 
     A key of at least ``min_chars`` code points found in at least ``min_docs``
-    documents loses its lines: all but the first by (id, text hash, position) if
-    ``keep_first``, else all."""
+    documents, or ``long_docs`` if it has ``long_words`` words, loses its lines:
+    all but the first by (id, text hash, position) if ``keep_first``, else all."""
     text = F.col(text_col).cast("string")
     exploded = docs.select(F.col(id_col).alias("id"), _text_hash(text).alias("text_hash"),
                            F.posexplode(lines_of(text)).alias("pos", "line"))
     keyed = exploded.select("id", "text_hash", "pos", line_key(F.col("line")).alias("key")).where(
         F.length("key") >= max(min_chars, 0))
+    need, kind = F.lit(min_docs), []
+    if long_words is not None:  # a key of n words has 2 * n - 1 code points at least, so few are split
+        is_long = F.when(F.length("key") >= 2 * long_words - 1, F.size(F.split("key", f"[{SPACE}]+")) >= long_words).otherwise(False)
+        need, kind = F.when(F.col("long"), long_docs).otherwise(min_docs), [is_long.alias("long")]
     index = staged(keyed.select("id", "text_hash", "pos", F.xxhash64("key").alias("h1"),
-                                F.xxhash64(F.lit(1), "key").alias("h2")), "lines")
+                                F.xxhash64(F.lit(1), "key").alias("h2"), *kind), "lines")
 
     # At most HOT rows, so both lists below may be broadcast.
     top = index.agg(F.expr(f"approx_top_k(h1, {HOT}, {TRACKED})").alias("top"))
@@ -66,10 +70,11 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     later = ~F.struct(*order).eqNullSafe(F.col("first"))
 
     often = index.join(F.broadcast(hot), "h1", "left_semi")
-    in_doc = often.groupBy("h1", "h2", "id", "text_hash").agg(F.min("pos").alias("pos"))
-    counted = in_doc.groupBy("h1", "h2").agg(F.count("*").alias("docs"), F.min(F.struct(*order)).alias("first"))
-    counted = counted.where(F.col("docs") >= min_docs)
-    often = often.join(F.broadcast(counted), ["h1", "h2"])
+    key = ["h1", "h2"] + ["long"] * len(kind)
+    in_doc = often.groupBy(*key, "id", "text_hash").agg(F.min("pos").alias("pos"))
+    counted = in_doc.groupBy(*key).agg(F.count("*").alias("docs"), F.min(F.struct(*order)).alias("first"))
+    counted = counted.where(F.col("docs") >= need)
+    often = often.join(F.broadcast(counted), key)
     drop_often = often.where(later) if keep_first else often
 
     rest = index.join(F.broadcast(hot), "h1", "left_anti")
@@ -79,7 +84,7 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     rest = rest.withColumn("nth", F.row_number().over(run)).withColumn("first", F.first(F.struct(*order)).over(run)).withColumn(
         "new", F.when((F.col("nth") > 1) & same, 0).otherwise(1))
     rest = rest.withColumn("docs", F.sum("new").over(run.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
-    drop_rest = rest.where(F.col("docs") >= min_docs)
+    drop_rest = rest.where(F.col("docs") >= need)
     if keep_first:
         drop_rest = drop_rest.where(later)
 

@@ -25,6 +25,9 @@ from barlake.session import table
 
 #: Documents that a line must occur in to be dropped after its first occurrence.
 LINE_DOCS = 10
+#: The same of lines with so many words: passages, which no later stage sees if
+#: the documents are otherwise different.
+LONG_WORDS, LONG_DOCS = 50, 2
 #: Near copies: words of a shingle, least similarity.
 WORDS, PERCENT = 5, 80
 TOKENIZER, CAPACITY, END_ID = "word_bpe_49k.json", 4096, 2
@@ -48,10 +51,11 @@ def by_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def by_line(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops lines that many documents share, but for their first occurrence. A
+    """Drops lines that many documents share, and long ones that two share, but
+    for their first occurrence. A
     near copy of the document that holds the first one keeps the line: the next
     stage takes the copy as a whole."""
-    dropped = staged(dropped_lines(docs, min_docs=LINE_DOCS, keep_first=True), "dropped")
+    dropped = staged(dropped_lines(docs, min_docs=LINE_DOCS, keep_first=True, long_words=LONG_WORDS, long_docs=LONG_DOCS), "dropped")
     gone = dropped.join(lines_of_copies(docs, dropped, words=WORDS, percent=PERCENT), ["id", "text_hash", "pos"], "left_anti")
     out = apply_bitmaps(docs, bitmaps_of(gone))
     new = {"text": F.col("kept"), "n_chars": F.length("kept").cast("long")}

@@ -79,3 +79,11 @@ def test_line_stage_exempts_near_copies_only(spark):
     assert got[20].text == words("short", 3) and got[21].text == got[22].text == ""
     assert got[30].text == got[31].text == words("x", 40)     # copies of each other, not of the line's first holder
     assert all(got[40 + i].text == rows[17 + i][1] for i in range(11)) and all(r.n_chars == len(r.text) for r in got.values())
+
+
+def test_line_stage_drops_long_passages_that_two_documents_share(spark):
+    passage, shorter = words("p", 50), words("q", 49)
+    rows = [(i, f"{words(f'd{i}x', 90)}\n{passage.upper() if i else passage}\n{shorter}", None, None, 0) for i in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    got = {r.doc_id: r.text for r in cp.by_line(spark, docs, "").collect()}
+    assert got == {i: rows[i][1] if not i else f"{words(f'd{i}x', 90)}\n{shorter}" for i in range(3)}
