@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table
-from .decontamination import leaks
+from .decontamination import MIN_RUN, leaks
 from .exact_top_k import exact_top_k
 from .language_id import language_id, train
 from .licenses import license_scan
@@ -61,7 +61,7 @@ FROM marked GROUP BY doc_id
 
 def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The documents that benchmark items leak into, with the items."""
-    out = leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    out = leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), min_run=MIN_RUN)
     return out.select(F.col("id").alias("doc_id"), F.col("item").alias("item_id"), "score", F.col("start").alias("start_word"),
                       F.col("stop").alias("stop_word"))
 

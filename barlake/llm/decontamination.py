@@ -8,7 +8,8 @@
 3. A second pass cuts out the passages around seeds (as word hashes) and joins
    them to the items on the seed.
 4. Each (passage, item) pair is aligned locally. An item leaks into a document if
-   the best alignment scores at least ``min_score`` of the item's own score;
+   the best alignment scores at least ``min_score`` of the item's own score, or
+   ``min_run`` by itself: a part of an item, or an edited copy of a long one;
    replaced, inserted and dropped words cost one each.
 
 Seeds only propose pairs; nothing is dropped for being frequent.
@@ -31,6 +32,9 @@ from .words import WordHashes, shingles, signed, utf8
 #: Words of a seed, consecutive n-grams of which one is chosen, least share of an
 #: item's score.
 SEED_WORDS, BLOCK, MIN_SCORE = 3, 2, 0.5
+#: Score of an aligned region that is a leak whatever the item's length: equal
+#: words less edits. Chance pairs of sf0.1 that share three words in a row reach 6.
+MIN_RUN = 10
 #: The bitmap has 16 bits for each n-gram of the items, within these bounds.
 LEAST_BITS, MOST_BITS = 1 << 18, 1 << 27
 
@@ -155,10 +159,12 @@ def align(item: np.ndarray, passage: np.ndarray) -> tuple[int, int, int]:
 
 
 def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
-          item_text_col: str = "text", min_score: float = MIN_SCORE) -> DataFrame:
+          item_text_col: str = "text", min_score: float = MIN_SCORE,
+          min_run: int | None = None) -> DataFrame:
     """(id, text_hash, item, score, start, stop): one row for every document and
     benchmark item that leaks into it, with the alignment's share of the item's
-    score and its place in words.
+    score and its place in words. ``min_run``: also alignments of that score (see
+    MIN_RUN), though a smaller share of the item's.
 
     Words are lower-cased and stripped of ASCII punctuation. Defined cases: null
     and empty texts, texts and items with fewer than SEED_WORDS words, and items
@@ -191,14 +197,17 @@ def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
             for k, start in enumerate(batch.column("start").to_pylist()):
                 item = item_flat[item_at[k]:item_at[k + 1]]
                 score, first, stop = align(item, flat[at[k]:at[k + 1]])
-                got.append((score / len(item), start + first, start + stop))
+                got.append((score / len(item), start + first, start + stop, score))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), batch.column("text_hash"), batch.column("item"),
-                 *(pa.array(c, t) for c, t in zip(zip(*got) if got else [[]] * 3, (pa.float64(), pa.int64(), pa.int64())))],
-                names=["id", "text_hash", "item", "score", "start", "stop"])
-
-    scored = pairs.mapInArrow(run, "id long, text_hash long, item long, score double, start long, stop long")
-    best = scored.where(F.col("score") >= min_score).groupBy("id", "text_hash", "item").agg(
+                 *(pa.array(c, t) for c, t in zip(zip(*got) if got else [[]] * 4, (pa.float64(), *[pa.int64()] * 3)))],
+                names=["id", "text_hash", "item", "score", "start", "stop", "run"])
+
+    scored = pairs.mapInArrow(run, "id long, text_hash long, item long, score double, start long, stop long, run long")
+    enough = F.col("score") >= min_score
+    if min_run is not None:
+        enough |= F.col("run") >= min_run
+    best = scored.where(enough).groupBy("id", "text_hash", "item").agg(
         F.max(F.struct("score", -F.col("start"), "stop")).alias("best"))
     return best.select("id", "text_hash", "item", F.col("best.score").alias("score"), (-F.col("best.col2")).alias("start"),
                        F.col("best.stop").alias("stop"))

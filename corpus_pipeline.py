@@ -15,7 +15,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barlake.llm.decontamination import leaks
+from barlake.llm.decontamination import MIN_RUN, leaks
 from barlake.llm.language_id import language_id, train
 from barlake.llm.line_dedup import apply_bitmaps, bitmaps_of, dropped_lines, lines_of_copies
 from barlake.llm.near_duplicates import near_duplicates
@@ -80,7 +80,7 @@ def _once(docs: DataFrame, repeated: DataFrame) -> DataFrame:
 
 def by_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that a benchmark item leaks into."""
-    found = leaks(docs, table(spark, sf_dir, "benchmark"))
+    found = leaks(docs, table(spark, sf_dir, "benchmark"), min_run=MIN_RUN)
     return _without(docs, found.select(F.col("id").alias("doc_id"), "text_hash"), "leaks")
 
 

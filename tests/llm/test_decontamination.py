@@ -99,3 +99,20 @@ def test_bitmap_has_every_hash(spark):
 def test_words_ignore_case_and_ascii_punctuation():
     w = Words()
     assert w.of("Éa, (B-c)".encode()).tolist() == w.of("éA b\nC".encode()).tolist()
+
+
+def test_query_and_stage_find_parts_and_edited_copies_of_long_items(spark, tmp_root):
+    import corpus_pipeline as cp
+    from barlake.llm.bindings import op4_benchmark_decontamination
+
+    item = [f"q{k}" for k in range(59)]
+    replaced = [f"new{k}" if k % 10 in (5, 7, 9) else w for k, w in enumerate(item)]
+    texts = [item, item[:29], item[20:30], replaced, item[:9], ["x"] * 30]
+    around = " ".join(f"z{k}" for k in range(50))
+    rows = [(d, f"{around} {' '.join(t)} {around}") for d, t in enumerate(texts)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_root}/documents.parquet")
+    spark.createDataFrame([(1, " ".join(item))], "item_id long, text string").write.parquet(f"{tmp_root}/benchmark.parquet")
+    got = {r.doc_id: r.score for r in op4_benchmark_decontamination(spark, tmp_root).collect()}
+    assert set(got) == {0, 1, 2, 3} and got[1] == pytest.approx(29 / 59) and got[3] < 0.5
+    left = cp.by_benchmark(spark, spark.read.parquet(f"{tmp_root}/documents.parquet"), tmp_root)
+    assert sorted(r.doc_id for r in left.collect()) == [4, 5]
