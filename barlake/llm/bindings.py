@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..session import table
 from .decontamination import MIN_RUN, leaks
 from .exact_top_k import exact_top_k
-from .language_id import language_id, train
+from .language_id import language_id, page_evidence, train
 from .licenses import license_scan
 from .line_dedup import dedup_lines
 from .near_duplicates import near_duplicates
@@ -117,8 +117,14 @@ def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    return language_id(docs, train(docs)).select("doc_id", "lang", "confidence", "kept")
+    """One row for every document and, with a null doc_id, one for every page.
+    Pages have declared languages, suffixes and parent domains as evidence; the
+    model is the documents'."""
+    docs, pages = table(spark, sf_dir, "documents"), page_evidence(table(spark, sf_dir, "pages"))
+    model = train(docs)
+    found = language_id(docs, model).withColumn("page_id", F.lit(None).cast(pages.schema["page_id"].dataType))
+    of_pages = language_id(pages, model, id_col="page_id").withColumn("doc_id", F.lit(None).cast(docs.schema["doc_id"].dataType))
+    return found.unionByName(of_pages).select("doc_id", "lang", "confidence", "kept", "page_id")
 
 
 def op10_minhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:

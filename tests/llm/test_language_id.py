@@ -66,3 +66,16 @@ def test_markup_and_address(spark):
                                   "page_id long, url string, html string")
     got = [tuple(r) for r in page_evidence(pages).orderBy("page_id").collect()]
     assert (got[0][1].split(), got[0][2:]) == (["a", "c"], ("fr", "u.example.fr")) and got[1] == (2, "", None, None)
+
+
+def test_query_judges_documents_and_pages(spark):
+    from barlake.llm.bindings import op9_language_id
+
+    sf = "/root/testdata/sf0.001"
+    docs, pages = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/pages.parquet")
+    got = op9_language_id(spark, sf).collect()
+    assert sorted(r.doc_id for r in got if r.page_id is None) == sorted(r.doc_id for r in docs.collect())
+    found = {r.page_id: r.lang for r in got if r.doc_id is None}
+    said = {r.page_id: r.lang for r in page_evidence(pages).collect()}
+    assert set(found) == set(said) and len(got) == docs.count() + pages.count()
+    assert np.mean([found[p] == lang for p, lang in said.items() if lang]) > 0.95
