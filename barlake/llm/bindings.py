@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..session import table
 from .decontamination import MIN_RUN, leaks
 from .exact_top_k import exact_top_k
+from .importance import resample
 from .language_id import language_id, page_evidence, train
 from .licenses import license_scan
 from .line_dedup import dedup_lines
@@ -131,8 +132,14 @@ def op10_minhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=85).drop("text_hash")
 
 
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), percent=5)
+    return out.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 _QUERIES = (op1_warc_salvage, op2_token_counts, op3_line_dedup, op4_benchmark_decontamination, op5_exact_top_k,
-            op6_url_filters, op7_harmonic_packing, op8_license_scan, op9_language_id, op10_minhash_near_duplicates)
+            op6_url_filters, op7_harmonic_packing, op8_license_scan, op9_language_id, op10_minhash_near_duplicates,
+            op13_importance_resampling)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
