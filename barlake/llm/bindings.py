@@ -12,12 +12,15 @@ from pyspark.sql import functions as F
 from ..session import table
 from .decontamination import MIN_RUN, leaks
 from .exact_top_k import exact_top_k
+from .hard_negatives import hard_negatives
 from .importance import resample
 from .language_id import language_id, page_evidence, train
 from .licenses import license_scan
 from .line_dedup import dedup_lines
 from .near_duplicates import near_duplicates
 from .packing import pack
+from .personal_data import KINDS, personal_data, spelled
+from .personal_data import train as train_detector
 from .staging import fresh
 from .token_counts import token_counts
 from .url_filters import judge_urls
@@ -132,6 +135,44 @@ def op10_minhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=85).drop("text_hash")
 
 
+def op11_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and digest of the base spans, and all spans."""
+    docs = table(spark, sf_dir, "documents")
+    found = personal_data(docs, train_detector(docs))
+    counts = [F.size(F.filter("base", lambda x, k=k: x["name"] == k)).cast("long").alias(f"n_{k}") for k in KINDS]
+    return found.select("doc_id", *counts, F.sha2(spelled("base"), 256).alias("base_sha256"),
+                        spelled(F.array_sort(F.concat("base", "added"))).alias("spans"), F.size("added").cast("long").alias("n_added"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    label = F.when(F.pmod("vec_id", F.lit(7)) == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(rows.select("vec_id", label.alias("label"), "embedding"))
+
+
+OP12_SQL = """
+WITH valid AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS codes
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
+scored AS (
+  SELECT a.vec_id AS anchor_id, r.vec_id, a.label = r.label AS same,
+         CAST(list_sum(list_transform(list_zip(a.codes, r.codes), lambda z: z[1] * z[2])) AS BIGINT) AS score
+  FROM valid a JOIN valid r ON a.vec_id % 50 = 0 AND r.vec_id <> a.vec_id),
+positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+ranked AS (
+  SELECT p.anchor_id, positive_id, vec_id AS negative_id, positive_score, score AS negative_score,
+         CAST(row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
+  FROM positives p JOIN scored s ON p.anchor_id = s.anchor_id AND NOT same
+   AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM ranked WHERE rank <= 3
+"""
+
+
 def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), percent=5)
     return out.select("doc_id", "n_features", "weight", "score", "rank")
@@ -139,7 +180,7 @@ def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _QUERIES = (op1_warc_salvage, op2_token_counts, op3_line_dedup, op4_benchmark_decontamination, op5_exact_top_k,
             op6_url_filters, op7_harmonic_packing, op8_license_scan, op9_language_id, op10_minhash_near_duplicates,
-            op13_importance_resampling)
+            op11_personal_data, op12_hard_negatives, op13_importance_resampling)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -147,4 +188,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_line_dedup": OP3_SQL, "op5_exact_top_k": OP5_SQL, "op6_url_filters": OP6_SQL}
+    return {"op3_line_dedup": OP3_SQL, "op5_exact_top_k": OP5_SQL, "op6_url_filters": OP6_SQL,
+            "op12_hard_negatives": OP12_SQL}
