@@ -139,7 +139,7 @@ def op11_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and digest of the base spans, and all spans."""
     docs = table(spark, sf_dir, "documents")
     found = personal_data(docs, train_detector(docs))
-    counts = [F.size(F.filter("base", lambda x, k=k: x["name"] == k)).cast("long").alias(f"n_{k}") for k in KINDS]
+    counts = [F.expr(f"CAST(size(filter(base, x -> x.name = '{k}')) AS BIGINT)").alias(f"n_{k}") for k in KINDS]
     return found.select("doc_id", *counts, F.sha2(spelled("base"), 256).alias("base_sha256"),
                         spelled(F.array_sort(F.concat("base", "added"))).alias("spans"), F.size("added").cast("long").alias("n_added"))
 

@@ -77,10 +77,10 @@ GENERATORS = {
 GATES = {"email": r"@|(?i:\bdot\b)", "ip": "[0-9]", "card": "[0-9]", "phone": "[0-9]"}
 #: What a candidate of the kind looks like when it is well formed.
 FORMS = {
-    "email": "regexp_replace(span, '(?i)[^A-Za-z0-9]*(?:dot|at)?[^A-Za-z0-9]*', '') RLIKE '[A-Za-z]' AND span RLIKE '[^A-Za-z0-9][A-Za-z]{2,12}$'",
+    "email": "span RLIKE '^[^\\\\s]*[A-Za-z]' AND span RLIKE '[^A-Za-z0-9][A-Za-z]{2,12}$'",
     "ip": rf"regexp_replace(lower(span), '[^0-9]+', '.') RLIKE '^{_OCTET}(?:\\.{_OCTET}){{3}}$' OR span RLIKE '^(?:[0-9A-Fa-f]{{1,4}}:){{7}}'",
     "card": "luhn_check(digits)",
-    "phone": r"span RLIKE '^(?:\\(?[2-9][0-9]{2}\\)?[\\x20./-]{1,2}[0-9]{3}[\\x20./-][0-9]{4}|00[1-9].*)$'",
+    "phone": r"span RLIKE '^(?:\\(?[0-9]{3}\\)?[\\x20./-]{1,2}[0-9]{3}[\\x20./-][0-9]{4}|00[1-9].*)$'",
 }
 #: Words that tell the kind, before the span.
 WORDS = {
@@ -89,7 +89,7 @@ WORDS = {
     "card": r"(?i)\b(?:card|visa|mastercard|amex|credit|debit|pan|payment|tarjeta|karte|carte)\b",
     "phone": r"(?i)\b(?:tel|telephone|phone|call|mobile|cell|fax|telefon|móvil|téléphone)\b",
 }
-#: Base spans spelled anew, and broken ones (which are no personal data).
+#: Base spans spelled anew.
 SPELLINGS = {
     "email": ["concat(split_part(span, '@', 1), ' at ', replace(split_part(span, '@', 2), '.', ' dot '))",
               "concat(split_part(span, '@', 1), ' [at] ', replace(split_part(span, '@', 2), '.', ' [dot] '))",
@@ -100,13 +100,14 @@ SPELLINGS = {
     "phone": [r"regexp_replace(span, '^\\+[0-9]{1,3}[\\x20.-]+', '')", "concat('00', digits)",
               r"regexp_replace(right(digits, 10), '^([0-9]{3})([0-9]{3})', '$1.$2.')"],
 }
+#: What makes a base span one that fails its check; spelled anew like the others.
 BROKEN = {
-    "email": ["concat(split_part(span, '@', 1), ' at ', split_part(split_part(span, '@', 2), '.', 1), '. 1')"],
-    "ip": ["concat('3', lpad(split_part(span, '.', 1), 2, '0'), substring(span, locate('.', span)))", "replace(span, '.', ',')"],
-    "card": ["concat(left(span, length(span) - 1), (CAST(right(span, 1) AS INT) + 1) % 10, ' ', left(span, length(span) - 1), (CAST(right(span, 1) AS INT) + 1) % 10)",
-             r"regexp_replace(concat(left(digits, length(digits) - 1), (CAST(right(digits, 1) AS INT) + 1) % 10), '([0-9]{4})(?=[0-9])', '$1.')",
-             r"regexp_replace(concat((CAST(left(digits, 1) AS INT) + 3) % 10, substring(digits, 2)), '([0-9]{4})(?=[0-9])', '$1/')"],
-    "phone": ["concat(left(digits, 3), '-', right(digits, 3), '-', right(digits, 4), '-', right(digits, 2))", "concat('1', left(digits, 1), '-', right(digits, 3), '-', right(digits, 4), right(digits, 1))"],
+    "email": ["regexp_replace(span, '[.][^.]*$', '.1')"],
+    "ip": ["concat('3', lpad(split_part(span, '.', 1), 2, '0'), substring(span, locate('.', span)))", "regexp_replace(span, '[0-9]+$', '999')",
+           "replace(span, '.', ',')"],
+    "card": ["concat(left(span, length(span) - 1), (CAST(right(span, 1) AS INT) + 1) % 10)",
+             "concat((CAST(left(span, 1) AS INT) + 3) % 10, substring(span, 2))"],
+    "phone": ["regexp_replace(span, '[0-9]{2}$', '')", "concat(left(span, length(span) - 4), '-1')"],
 }
 FEATURES = ["digits", "size", "marks", "uniform", "bracket", "form", "word", "before", "after"]
 
@@ -211,11 +212,13 @@ def _examples(sample: DataFrame) -> DataFrame:
         plain = candidates(based.select("held", F.col("rest").alias("u")), kind, "u")
         plain = plain.select("held", F.explode_outer(f"cand_{kind}").alias("c"), F.lit(0.0).alias("yes"), F.lit(1.0).alias("no")).where("c IS NOT NULL")
         spans = based.select("held", F.explode_outer(f"base_{kind}").alias("x")).where("x IS NOT NULL").select("held", "x.span", "x.before", "x.after", "x.digits")
-        made = [F.struct(F.expr(e).alias("u"), F.lit(y).alias("yes"), F.lit(n).alias("no"))
-                for es, y, n in ((SPELLINGS[kind], RESPELLED, 0.0), (BROKEN[kind], 0.0, RESPELLED)) for e in es]
-        made = spans.select("held", "before", "after", F.explode(F.array(*made)).alias("m")).select(
-            "held", F.concat("before", "m.u", "after").alias("u"), F.length("before").alias("lo"),
-            (F.length("before") + F.length("m.u")).alias("hi"), "m.yes", "m.no")
+        whole = [F.struct(F.expr(e).alias("span"), F.lit(y).alias("yes"), F.lit(RESPELLED - y).alias("no"))
+                 for e, y in [("span", RESPELLED), *((e, 0.0) for e in BROKEN[kind])]]
+        made = spans.select("held", "before", "after", F.explode(F.array(*whole)).alias("m")).select(
+            "held", "before", "after", "m.*", F.regexp_replace("m.span", "[^0-9]", "").alias("digits"))
+        made = made.select("held", "before", "after", "yes", "no", F.explode(F.array(*map(F.expr, SPELLINGS[kind]))).alias("m")).select(
+            "held", F.concat("before", "m", "after").alias("u"), F.length("before").alias("lo"),
+            (F.length("before") + F.length("m")).alias("hi"), "yes", "no")
         made = candidates(made, kind, "u").select("held", F.explode_outer(f"cand_{kind}").alias("c"), "yes", "no", "lo", "hi")
         made = made.where("c.start < hi AND c.stop > lo").select("held", "c", "yes", "no")
         rows = plain.unionByName(made).groupBy("held", *[F.col(f"c.{n}").alias(n) for n in FEATURES]).agg(

@@ -126,3 +126,21 @@ def test_column_expression_equals_the_trees(spark):
 def test_threshold_is_the_lowest_with_the_precision():
     assert threshold([3, 2, 1], [50, 50, 0], [0, 0, 60], 0.9, 1) == 2
     assert threshold([3, 2, 1], [1, 0, 0], [0, 9, 9], 0.9, 1) is None
+
+
+def test_query_counts_the_base_and_lists_all_spans(spark):
+    import hashlib
+
+    from barlake.llm.bindings import op11_personal_data
+
+    sf = "/root/testdata/sf0.001"
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    rows = op11_personal_data(spark, sf).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        base = brute(texts[r.doc_id])
+        listed = [f"{kind}:{start}:{stop}" for start, _, stop, kind in base]
+        assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [sum(kind == k for *_, kind in base) for k in KINDS]
+        assert r.base_sha256 == hashlib.sha256(",".join(listed).encode()).hexdigest()
+        spans = r.spans.split(",") if r.spans else []
+        assert set(listed) <= set(spans) and len(spans) == len(listed) + r.n_added
