@@ -64,11 +64,13 @@ CHECKS = {
     "phone": "length(digits) BETWEEN 9 AND 15",
 }
 
-_AT = r"(?:\x20?(?:@|\(at\)|\[at\]|\{at\}|\(@\)|\[@\])\x20?|\x20at\x20)"
-_DOT = r"(?:\x20?(?:\(dot\)|\[dot\]|\{dot\}|\(\.\)|\[\.\])\x20?|\x20dot\x20|\x20?\.\x20?)"
+_AT = r"\x20?(?:@|\(at\)|\[at\]|\{at\}|\(@\)|\[@\])\x20?"
+_DOT = r"(?:\x20?(?:\(dot\)|\[dot\]|\{dot\}|\(\.\)|\[\.\])\x20?|\x20dot\x20|\.)"
+#: The bare words count only together: prose has "at" everywhere.
+_LABEL = r"[A-Za-z0-9-]++"
 _POINT = r"\x20?(?:\.|,|\[\.\]|\(\.\)|\(dot\)|\[dot\])\x20?"
 GENERATORS = {
-    "email": rf"(?i)(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++{_AT}[A-Za-z0-9-]++(?:{_DOT}[A-Za-z0-9-]++){{1,8}}+",
+    "email": rf"(?i)(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++(?:{_AT}{_LABEL}(?:{_DOT}{_LABEL}){{1,8}}+|\x20at\x20{_LABEL}(?:\x20dot\x20{_LABEL}){{1,8}}+)",
     "ip": rf"(?i)(?<![0-9.,])[0-9]{{1,3}}(?:{_POINT}[0-9]{{1,3}}){{3}}(?![0-9])|(?<![0-9A-Fa-f:])(?:[0-9A-Fa-f]{{1,4}}:){{7}}[0-9A-Fa-f]{{1,4}}(?![0-9A-Fa-f:])",
     "card": r"(?<![0-9])[0-9](?:[\x20._/-]{0,2}[0-9]){11,18}(?![0-9])",
     "phone": r"(?<![0-9+(])(?:\(?[0-9]{2,4}\)?[\x20./-]{1,2}[0-9]{3}[\x20./-]{1,2}[0-9]{4}|00[1-9](?:[\x20().-]{0,2}[0-9]){7,12})(?![0-9])",
