@@ -905,6 +905,10 @@ def _land_events_bronze(spark, d, root: str, before: str | None = None, since: s
         e = e.filter(F.col("ts") < F.lit(before).cast("timestamp_ntz"))
     if since:
         e = e.filter(F.col("ts") >= F.lit(since).cast("timestamp_ntz"))
+    _land_bars(e, root)
+
+
+def _land_bars(e: DataFrame, root: str) -> None:
     bars = build_bars(e, ["event_type"], "ts", "value", None, "1 hour", tie_break=["event_id"], bar_time="t")
     gap = F.hour("t") % 5 == 0
     micros = F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', t)")
@@ -916,7 +920,7 @@ def _land_events_bronze(spark, d, root: str, before: str | None = None, since: s
 
 
 def _published_silver(spark, path: str) -> DataFrame:
-    out = scan_partitioned(spark, path)
+    out = scan_partitioned(spark, path, types={"ticker": "string"})
     return out.select("ticker", "event_time", "open", "high", "low", "close", "volume",
                       *[F.round(f"ma{n}", 9).alias(f"ma{n}") for n in MAS], F.col("trade_date").cast("date"))
 
@@ -985,6 +989,50 @@ def q_pipeline_gold_features(spark, d):
     return gold.feature_view(fact, dim_t, dim_d)
 
 
+LATE_KEY, LATE_DAY = "click", "2024-01-12"
+
+
+@register("pipeline_silver_late_key", PIPE_SILVER_CTES + "\nSELECT * FROM silver")
+def q_pipeline_silver_late_key(spark, d):
+    """One key's bars of one day land after silver was built: the key alone is
+    computed anew, from that day until its averages meet the old ones. The
+    published table equals a full rebuild."""
+    root = scratch_path(spark, "pipeline_late")
+    _land_events_bronze(spark, d, f"{root}/all")
+    late = (F.col("Ticker") == LATE_KEY) & (F.to_date("Trade_date") == F.lit(LATE_DAY).cast("date"))
+    args = (f"{root}/bronze", f"{root}/silver", f"{root}/report")
+    for k, cond in enumerate((~late, late)):
+        landed = scan_partitioned(spark, f"{root}/all").where(cond).withColumn("Trade_date", F.to_date("Trade_date"))
+        land_bronze(landed, f"{root}/bronze")
+        if k == 0:
+            silver.run_silver(spark, *args, "full", "2024-01-30", RUN_TS, zone="UTC")
+        else:
+            changes = landed.select(F.col("Ticker").alias("ticker"), F.col("Trade_date").alias("trade_date")).distinct()
+            silver.run_silver_changes(spark, *args, changes, RUN_TS, zone="UTC")
+    return _published_silver(spark, f"{root}/silver")
+
+
+THIN_KEY = f"concat(CASE WHEN user_id % 20 >= 17 AND ts >= TIMESTAMP '{TARGET_DAY}' THEN 'new-' ELSE '' END, CAST(user_id % 20 AS VARCHAR))"
+
+
+@register("pipeline_silver_thin_keys", PIPE_SILVER_CTES.replace("event_type", THIN_KEY) + f"\nSELECT * FROM silver WHERE trade_date = DATE '{TARGET_DAY}'")
+def q_pipeline_silver_thin_keys(spark, d):
+    """Keys with few bars a day, and keys that begin on the target day: the
+    incremental run takes their context from the series state, never from the
+    history."""
+    root = scratch_path(spark, "pipeline_thin")
+    since = F.lit(TARGET_DAY).cast("timestamp_ntz")
+    n = (F.col("user_id") % 20).cast("string")
+    key = F.when((F.col("user_id") % 20 >= 17) & (F.col("ts") >= since), F.concat(F.lit("new-"), n)).otherwise(n)
+    events = _events(spark, d).withColumn("event_type", key)
+    args = (f"{root}/bronze", f"{root}/silver", f"{root}/report")
+    for mode, part in (("full", F.col("ts") < since), ("incremental", F.col("ts") >= since)):
+        _land_bars(events.where(part), f"{root}/bronze")
+        silver.run_silver(spark, *args, mode, TARGET_DAY, RUN_TS, zone="UTC")
+    out = _published_silver(spark, f"{root}/silver")
+    return out.filter(F.col("trade_date") == F.lit(TARGET_DAY).cast("date"))
+
+
 START_DAY = "2024-01-10"
 
 

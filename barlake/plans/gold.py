@@ -16,6 +16,7 @@ from ..operators.upsert import assign_keys, upsert
 from ..session import delete_path, staged, staging_scope
 from ..sources.scan import dataset_exists, read_with_path_key, scan_partitioned
 from ..sources.sinks import publish
+from ..sources.versions import apply_pending as complete_silver
 from .windows import EmptyWindow
 
 #: Length of a ticker in the serving layer's schema.
@@ -89,6 +90,7 @@ def load_silver(spark: SparkSession, path: str, layout: str = "canonical") -> Da
     PartitionFilters. ``mixed``: historical mixed layouts, read recursively with
     the key recovered from the path; without a trade_date of their own the rows
     get none (no pruning possible)."""
+    complete_silver(spark, path)  # a publish that was interrupted half-way
     if not dataset_exists(spark, path):
         raise EmptyWindow(f"no silver data at {path}")
     written = F.col("_metadata.file_modification_time").alias(WRITTEN)

@@ -5,17 +5,20 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
+from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions.exprs import nan_to_null
 from ..functions.time import epoch_nanos_to_timestamp, local_to_utc
 from ..operators.clean import capitalize_columns, clean_keys, require_columns
 from ..operators.quality import enforce, quality_metrics, report_row, write_report
 from ..operators.series import moving_average_columns, pick_strategy, series_windows
 from ..session import staged, staging_scope
-from ..sources.scan import dataset_exists, read_window, scan_partitioned
-from ..sources.sinks import publish
+from ..sources.scan import dataset_exists, day_folders, read_window, scan_partitioned
+from ..sources.versions import Change, apply_pending, publish_together
+from .series_state import KEEP_DAYS, context, day, horizon_of, last_rows, read_state, state_path, trimmed
 from .windows import EmptyWindow
 
 OHLC = ("open", "high", "low", "close")
@@ -150,71 +153,150 @@ def leading_path(silver_path: str) -> str:
     return f"{silver_path.rstrip('/')}_leading"
 
 
-def _read_leading(spark: SparkSession, silver_path: str, schema) -> DataFrame | None:
-    path = leading_path(silver_path)
-    return spark.read.schema(schema).parquet(path) if dataset_exists(spark, path) else None
+_COLUMNS = ["ticker", "event_time", *OHLC, "volume", *[f"ma{n}" for n in MA_WINDOWS], "trade_date"]
+#: What a later row is computed from.
+_CONTEXT = ["ticker", "event_time", "trade_date", *OHLC, "volume"]
+_BACK = max(MA_WINDOWS) - 1
 
 
-_COLUMNS = ["ticker", "event_time", *OHLC, "volume", *[f"ma{n}" for n in MA_WINDOWS], "trade_date"]
+def _days(df: DataFrame) -> set[dt.date]:
+    """Distinct trade dates, which the calendar bounds."""
+    return {r[0] for r in df.select("trade_date").distinct().collect()}
+
+
+def _folders(spark: SparkSession, path: str, days) -> list[str]:
+    """The existing day folders of ``days``."""
+    wanted = {str(d) for d in days}
+    return [f for f in day_folders(spark, path, "trade_date") if f.rsplit("=", 1)[1] in wanted]
 
 
-def _finish(rows: DataFrame, silver_path: str, report_path: str, mode: str, run_ts_utc: str, target, start,
-            first: dt.date | None = None, last: dt.date | None = None) -> dict:
-    """Report, gate and publish. ``first``/``last``: the days that an incremental
-    run replaces; rows left out on other days are kept as they are."""
-    spark = rows.sparkSession
-    rows = staged(rows.select(*_COLUMNS), "silver")  # metrics, report and writes share one computation
-    out = rows.where(complete())
-    metrics_df = staged(quality_metrics(out), "metrics")
-    write_report(report_row(metrics_df, run_ts_utc, mode, str(target), str(start) if start else None), report_path)
-    metrics = enforce(metrics_df, mode)
-    left = rows.where(~complete())
-    old = _read_leading(spark, silver_path, rows.schema) if mode == "incremental" else None
-    if old is not None:
-        day = F.col("trade_date")
-        replaced = (day >= F.lit(str(first)).cast("date")) & (F.lit(last is None) | (day <= F.lit(str(last or first)).cast("date")))
-        left = staged(old.where(~replaced).select(*_COLUMNS).unionByName(left), "leading")
-    publish(left, leading_path(silver_path), ["trade_date"], mode="full", sort_by=["ticker", "event_time"])
-    if metrics["total_rows"] or mode == "full":
-        publish(out, silver_path, ["trade_date"], mode=mode, sort_by=["ticker", "event_time"])
-    return metrics
+def _published(spark: SparkSession, silver_path: str, columns) -> DataFrame | None:
+    """Silver and the rows it leaves out; None if neither has a day."""
+    parts = [scan_partitioned(spark, path, types={"ticker": "string"}).select(*columns)
+             for path in (silver_path, leading_path(silver_path)) if day_folders(spark, path, "trade_date")]
+    return parts[0].unionByName(parts[1]) if len(parts) == 2 else parts[0] if parts else None
+
+
+def _context(spark: SparkSession, silver_path: str, state: DataFrame | None, before: dt.date, keys: DataFrame,
+             lookback_days: int | None) -> DataFrame | None:
+    """What ``keys`` need to go on at the day ``before``: from the state, or from the
+    history if there is no state or it does not reach back so far; None if nothing
+    is published."""
+    horizon = horizon_of(state)
+    if horizon is not None and before >= horizon:
+        return context(state.join(keys.select("ticker").distinct(), "ticker", "left_semi"), before, "ticker", "event_time", _BACK).select(*_CONTEXT)
+    past = _published(spark, silver_path, _CONTEXT)
+    return None if past is None else carry_context(past, before, lookback_days=lookback_days, keys=keys).select(*_CONTEXT)
+
+
+def _extended(ctx: DataFrame | None, new_rows: DataFrame, kw: dict) -> DataFrame:
+    """Filled rows and averages of ``new_rows`` after their context; the context's
+    own rows are still there."""
+    new_rows = new_rows.select(*_CONTEXT)
+    if kw.get("strategy", "auto") == "auto":
+        # bounded without evaluating the context twice
+        kw = {**kw, "strategy": pick_strategy(new_rows, ["ticker"], kw.get("chunk_rows"), extra_rows=_BACK)}
+    return enrich_all(new_rows if ctx is None else ctx.unionByName(new_rows), **kw)
+
+
+def _checked(rows: DataFrame, report_path: str, mode: str, run_ts_utc: str, target, start, once: bool = False) -> dict:
+    """Report, then gate."""
+    metrics_df = staged(quality_metrics(rows.where(complete())), "metrics")
+    write_report(report_row(metrics_df, run_ts_utc, mode, str(target), str(start) if start else None), report_path, once)
+    return enforce(metrics_df, mode)
+
+
+def _changes(spark: SparkSession, silver_path: str, rows: DataFrame, replaced, overwrite: str, state: DataFrame | None,
+             partition_by, drop_empty: bool = True) -> dict[str, Change]:
+    """What a run publishes: silver, the rows it leaves out, and the series state.
+    ``replaced``: the days that ``rows`` stand for. A day without rows any more
+    loses its folder."""
+    left_path, order = leading_path(silver_path), ["ticker", "event_time"]
+    parts = {"rows": (silver_path, rows.where(complete()), list(partition_by)), "leading": (left_path, rows.where(~complete()), ["trade_date"])}
+    out = {}
+    for name, (path, part, by) in parts.items():
+        gone = []
+        if overwrite == "incremental" and (name == "leading" or drop_empty):
+            gone = _folders(spark, path, set(replaced) - _days(part))
+        out[name] = Change(path, part.select(*_COLUMNS), by, order, overwrite, gone)
+    if state is None:
+        out["state"] = Change(state_path(silver_path), None, dropped=[state_path(silver_path)])
+    else:
+        out["state"] = Change(state_path(silver_path), state, sort_by=order, overwrite="full")
+    return out
+
+
+def _silver_rows(rows: DataFrame) -> DataFrame:
+    """Staged: metrics, report and writes share one computation."""
+    return staged(rows.select(*_COLUMNS), "silver")
 
 
 def run_silver_from(spark: SparkSession, bronze_root: str, silver_path: str, report_path: str,
                     from_date, run_ts_utc: str, zone: str = "Asia/Ho_Chi_Minh",
-                    lookback_days: int | None = 45, **kw) -> dict:
-    """Recompute every silver day >= ``from_date`` (bronze re-read from that
-    day on, context carried from published silver before it) and dynamically
-    overwrite exactly those days. Idempotent; used for late or re-delivered
-    bronze days and by the streaming driver."""
+                    lookback_days: int | None = 45, batch: str | None = None, partition_by=("trade_date",), **kw) -> dict:
+    """Recompute every silver day >= ``from_date`` of all keys (bronze re-read from
+    that day on, context from the series state) and replace exactly those days.
+    Idempotent; :func:`run_silver_changes` recomputes only what changed."""
     start = dt.date.fromisoformat(str(from_date))
+    apply_pending(spark, silver_path)
     with staging_scope():
         raw = normalize_bronze(read_bronze(spark, bronze_root, start, None), zone)
-        if dataset_exists(spark, silver_path):
-            history = scan_partitioned(spark, silver_path, types={"ticker": "string"})
-            out = incremental_all(raw, history, start, lookback_days=lookback_days,
-                                  leading=_read_leading(spark, silver_path, history.schema), **kw)
-        else:
-            out = enrich_all(raw, **kw).filter(F.col("trade_date") >= F.lit(str(start)).cast("date"))
-        return _finish(out, silver_path, report_path, "incremental", run_ts_utc, start, start, start)
+        state = read_state(spark, silver_path)
+        ctx = _context(spark, silver_path, state, start, raw.select("ticker"), lookback_days)
+        on = F.col("trade_date") >= day(start)
+        rows = _silver_rows(_extended(ctx, raw, kw).where(on))
+        metrics = _checked(rows, report_path, "incremental", run_ts_utc, start, start, batch is not None)
+        days = _days(rows)
+        old = _before(spark, silver_path, state, start)
+        later = [dt.date.fromisoformat(f.rsplit("=", 1)[1]) for p in (silver_path, leading_path(silver_path))
+                 for f in day_folders(spark, p, "trade_date", start)]
+        new = _next_state(old, rows, max(days, default=start))
+        changes = _changes(spark, silver_path, rows, days | set(later), "incremental", new, partition_by, bool(metrics["total_rows"]))
+        publish_together(spark, silver_path, changes, run_ts_utc, "incremental", batch)
+        return metrics
+
+
+def _before(spark: SparkSession, silver_path: str, state: DataFrame | None, start: dt.date, after: dt.date | None = None) -> DataFrame | None:
+    """The rows of which a state can be made once the days from ``start`` (to
+    ``after``, if given) are replaced: the old state's, or without one that
+    reaches back, those of the whole history."""
+    horizon = horizon_of(state)
+    if horizon is not None and start >= horizon:
+        past = state.select(*_CONTEXT)
+    else:
+        past = _published(spark, silver_path, _CONTEXT)
+    if past is None:
+        return None
+    kept = F.col("trade_date") < day(start)
+    return past.where(kept if after is None else kept | (F.col("trade_date") > day(after)))
+
+
+def _next_state(old: DataFrame | None, rows: DataFrame, newest: dt.date) -> DataFrame:
+    rows = rows.select(*_CONTEXT)
+    both = rows if old is None else old.select(*_CONTEXT).unionByName(rows)
+    return staged(trimmed(both, newest, _CONTEXT, "ticker", "event_time", _BACK), "state")
 
 
 def run_silver(spark: SparkSession, bronze_root: str, silver_path: str, report_path: str,
                mode: str, target_date, run_ts_utc: str, start_date=None, lookback_days: int = 45,
-               zone: str = "Asia/Ho_Chi_Minh", carry_rows: bool = True, **kw) -> dict:
+               zone: str = "Asia/Ho_Chi_Minh", carry_rows: bool = True, partition_by=("trade_date",), **kw) -> dict:
     """One silver run. Report appended before the gate; empty incremental runs
-    skip the write; full rebuilds statically overwrite, incremental runs
-    dynamically overwrite the target date. Without any raw data in the window
-    the run is skipped and an empty dict returned.
-
-    ``start_date`` bounds local trade dates and only matters to a full rebuild:
-    an incremental run replaces the whole target day."""
+    skip the write of silver rows; full rebuilds replace everything, incremental
+    runs the target date. Without any raw data in the window the run is skipped and
+    an empty dict returned.
+
+    The rows, the rows that silver leaves out and the series state are published
+    together (:mod:`barlake.sources.versions`): a run that fails leaves them as they
+    were, or is completed by the next one. ``start_date`` bounds local trade dates
+    and only matters to a full rebuild. ``partition_by``: silver's layout, by day or
+    by day and ticker; the same for every run."""
     target = dt.date.fromisoformat(str(target_date))
     start = dt.date.fromisoformat(str(start_date)) if start_date else None
     if start and start > target:
         raise ValueError("start date must be <= target date")
     if mode not in ("full", "incremental"):
         raise ValueError(f"unknown mode {mode!r}")
+    apply_pending(spark, silver_path)
     with staging_scope():
         try:
             if mode == "full":
@@ -226,13 +308,149 @@ def run_silver(spark: SparkSession, bronze_root: str, silver_path: str, report_p
             return {}
         if mode == "full":
             if start:
-                raw = raw.where(F.col("trade_date") >= F.lit(str(start)).cast("date"))
-            return _finish(enrich_all(raw, **kw), silver_path, report_path, mode, run_ts_utc, target, start)
-        if carry_rows and dataset_exists(spark, silver_path):
-            history = scan_partitioned(spark, silver_path, types={"ticker": "string"})
-            out = incremental_all(raw, history, target, lookback_days=lookback_days,
-                                  leading=_read_leading(spark, silver_path, history.schema), **kw)
+                raw = raw.where(F.col("trade_date") >= day(start))
+            rows = _silver_rows(enrich_all(raw, **kw))
+            metrics = _checked(rows, report_path, mode, run_ts_utc, target, start)
+            newest = rows.agg(F.max("trade_date")).first()[0]
+            changes = _changes(spark, silver_path, rows, (), "full", _next_state(None, rows, newest), partition_by)
+            publish_together(spark, silver_path, changes, run_ts_utc, mode)
+            return metrics
+        state, on = read_state(spark, silver_path), F.col("trade_date") == day(target)
+        if carry_rows:
+            ctx = _context(spark, silver_path, state, target, raw.select("ticker"), lookback_days)
+            rows = _silver_rows(_extended(ctx, raw, kw).where(on))
+        else:  # calendar days of bronze as context: its averages are its own, no state follows from them
+            rows = _silver_rows(enrich_all(raw, **kw).where(on))
+        metrics = _checked(rows, report_path, mode, run_ts_utc, target, start)
+        new = None
+        if carry_rows:
+            newest = max([target, *([horizon_of(state) + dt.timedelta(days=KEEP_DAYS)] if horizon_of(state) else [])])
+            new = _next_state(_before(spark, silver_path, state, target, target), rows, newest)
+        changes = _changes(spark, silver_path, rows, [target], "incremental", new, partition_by, drop_empty=False)
+        if not metrics["total_rows"]:
+            changes["rows"].rows = None
+        publish_together(spark, silver_path, changes, run_ts_utc, mode)
+        return metrics
+
+
+def landed_since(spark: SparkSession, bronze_root: str, since_utc: str) -> DataFrame:
+    """(ticker, trade_date) of the bronze files written since a UTC time: partition
+    values and file metadata alone, no data pages."""
+    files = capitalize_columns(read_bronze(spark, bronze_root).select("*", "_metadata.file_modification_time"))
+    return files.where(F.col("File_modification_time") >= F.lit(since_utc).cast("timestamp")).select(
+        F.col("Ticker").alias("ticker"), F.col("Trade_date").alias("trade_date")).distinct()
+
+
+def dirty_keys(changes: DataFrame) -> DataFrame:
+    """(ticker, lo, hi): of every key with changed bars the first and the last day."""
+    return changes.where("ticker IS NOT NULL AND trade_date IS NOT NULL").groupBy("ticker").agg(
+        F.min("trade_date").alias("lo"), F.max("trade_date").alias("hi"))
+
+
+def _unsettled(raw: DataFrame, dirty: DataFrame) -> DataFrame:
+    """Keys of ``dirty`` whose raw rows do not reach far enough past their last
+    changed day: once every price has been seen anew, and a widest frame lies after
+    that, all later rows are as they were."""
+    cleaned = clean_keys(raw, "ticker", "event_time", defaults={"volume": 0}).join(dirty, "ticker")
+    after = cleaned.where(F.col("trade_date") > F.col("hi"))
+    seen = after.groupBy("ticker").agg(*[F.min(F.when(nan_to_null(c).isNotNull(), F.col("event_time"))).alias(c) for c in OHLC])
+    settled = seen.select("ticker", F.when(F.expr(" AND ".join(f"{c} IS NOT NULL" for c in OHLC)), F.greatest(*OHLC)).alias("_from"))
+    rows = after.select("ticker", "event_time").join(settled, "ticker").groupBy("ticker").agg(
+        F.count_if(F.col("event_time") >= F.col("_from")).alias("n"))
+    return dirty.select("ticker").join(rows.where(F.col("n") > _BACK), "ticker", "left_anti")
+
+
+def run_silver_changes(spark: SparkSession, bronze_root: str, silver_path: str, report_path: str, changes: DataFrame,
+                       run_ts_utc: str, zone: str = "Asia/Ho_Chi_Minh", lookback_days: int | None = 45,
+                       first_days: int = 32, batch: str | None = None, partition_by=("trade_date",), **kw) -> dict:
+    """Carry late or re-delivered bars into silver. ``changes`` names the landed
+    (ticker, trade_date); silver must have been built before. Only those keys are
+    read and computed, each from its first changed day until frames and fills meet
+    the old rows again (``first_days`` days past the last change at first, then
+    twice as many); only days with a different row are written. Equal to a full
+    rebuild. ``partition_by``: silver's layout; with (trade_date, ticker) the files
+    of other keys stay. An empty dict if nothing landed."""
+    apply_pending(spark, silver_path)
+    with staging_scope():
+        dirty = staged(dirty_keys(changes), "dirty")
+        lo, hi = dirty.agg(F.min("lo"), F.max("hi")).first()
+        if lo is None:
+            return {}
+        last = max(f.rsplit("=", 1)[1] for f in day_folders(spark, bronze_root, "trade_date", lo))
+        reach, end = first_days, hi
+        while True:
+            end = hi + dt.timedelta(days=reach)
+            raw = normalize_bronze(read_bronze(spark, bronze_root, lo, end), zone)
+            raw = raw.join(dirty.select("ticker", F.col("lo").alias("_from")), "ticker").where("trade_date >= _from").drop("_from")
+            if str(end) >= last or _unsettled(raw, dirty).isEmpty():
+                break
+            reach *= 2
+        raw = staged(raw, "late")
+
+        state = read_state(spark, silver_path)
+        ctx = None
+        horizon = horizon_of(state)
+        past = state.select(*_CONTEXT) if horizon is not None and lo >= horizon else _published(spark, silver_path, _CONTEXT)
+        if past is not None:  # each key's rows before its own first changed day
+            before = past.join(dirty.select("ticker", F.col("lo").alias("_from")), "ticker").where("trade_date < _from").drop("_from")
+            if horizon is None or lo < horizon:
+                before = carry_context(before, hi + dt.timedelta(days=1), lookback_days=(hi - lo).days + 1 + lookback_days if lookback_days else None,
+                                       keys=dirty)
+            ctx = staged(last_rows(before, "ticker", "event_time", _BACK), "context")
+        rows = _extended(ctx, raw, kw).join(dirty.select("ticker", "lo"), "ticker").where("trade_date >= lo").drop("lo")
+        rows = _silver_rows(rows)
+
+        window = (F.col("trade_date") >= day(lo)) & (F.col("trade_date") <= day(end))
+        published = _published(spark, silver_path, _COLUMNS)
+        if published is None:
+            published = rows.limit(0)
+        published = published.where(window)
+        old = published.join(dirty, "ticker").where("trade_date >= lo").select(*_COLUMNS)
+        differing = staged(_differing(rows, old), "differing")
+        days = sorted(_days(differing))
+        on = F.col("trade_date").isin(days)
+        others = published.where(on).join(dirty.withColumnRenamed("ticker", "_dirty"), (F.col("ticker") == F.col("_dirty")) & (F.col("trade_date") >= F.col("lo")), "left_anti")
+        new = rows.where(on)
+        by_key = "ticker" in partition_by
+        if by_key:  # only the folders of changed (day, key)
+            pairs = differing.select("trade_date", "ticker").distinct()
+            whole = new.join(pairs, ["trade_date", "ticker"], "left_semi").select(*_COLUMNS)
+            left = staged(others.where(~complete()).unionByName(new.where(~complete()).select(*_COLUMNS)), "changed")
+            vanished = pairs.join(whole.where(complete()).select("trade_date", "ticker"), ["trade_date", "ticker"], "left_anti")
         else:
-            out = enrich_all(raw, **kw)
-        out = out.filter(F.col("trade_date") == F.lit(str(target)).cast("date"))
-        return _finish(out, silver_path, report_path, mode, run_ts_utc, target, start, target, target)
+            whole = staged(others.select(*_COLUMNS).unionByName(new.select(*_COLUMNS)), "changed")
+            left = whole.where(~complete())
+        metrics = _checked(whole, report_path, "incremental", run_ts_utc, hi, lo, batch is not None)
+        kept = _before_changes(past, dirty, end)
+        newest = max([hi, *([horizon + dt.timedelta(days=KEEP_DAYS)] if horizon else []), *_days(rows)])
+        state_rows = [f.select(*_CONTEXT) for f in (kept, ctx) if f is not None]
+        base = None
+        for f in state_rows:
+            base = f if base is None else base.unionByName(f)
+        plan = _changes(spark, silver_path, whole, days, "incremental", _next_state(base, rows, newest), partition_by)
+        if by_key:
+            plan["leading"].rows = left.select(*_COLUMNS)
+            plan["leading"].dropped = _folders(spark, leading_path(silver_path), set(days) - _days(left))
+            plan["rows"].dropped = [f"{silver_path.rstrip('/')}/trade_date={r.trade_date}/ticker={quote(r.ticker, safe=' ')}" for r in vanished.toLocalIterator()]
+        publish_together(spark, silver_path, plan, run_ts_utc, "changes", batch)
+        return metrics
+
+
+def _before_changes(past: DataFrame | None, dirty: DataFrame, end: dt.date) -> DataFrame | None:
+    """Of the old context rows those that still hold: all of other keys, and of the
+    changed ones what lies past the recomputed window."""
+    if past is None:
+        return None
+    same = past.join(dirty.select("ticker"), "ticker", "left_anti").select(*_CONTEXT)
+    later = past.where(F.col("trade_date") > day(end)).join(dirty.select("ticker"), "ticker", "left_semi").select(*_CONTEXT)
+    return same.unionByName(later)
+
+
+def _differing(new: DataFrame, old: DataFrame) -> DataFrame:
+    """(trade_date, ticker, event_time) of rows that only one side has, or that
+    differ in any column. Rows are unique by key and time on both sides, or the gate
+    stops the run."""
+    key = ["trade_date", "ticker", "event_time"]
+    n = new.select(*key, F.xxhash64(*_COLUMNS).alias("_n"))
+    o = old.select(*key, F.xxhash64(*_COLUMNS).alias("_o"))
+    return n.join(o, key, "full_outer").where(~F.col("_n").eqNullSafe(F.col("_o"))).select(*key)
