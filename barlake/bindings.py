@@ -30,6 +30,7 @@ from .operators.clean import (
     row_sample,
     universe_filter,
 )
+from .operators.completeness import landing_gaps
 from .operators.constraints import check_constraints
 from .operators.evaluate import directional_accuracy, error_metrics, supervised_set, time_split, top_k_per_group
 from .operators.quality import RULES, duplicate_keys, quality_metrics, report_row, violated, write_report
@@ -211,7 +212,7 @@ SELECT event_id, event_type, ts, value, {_ma_sql('value', 'event_type', 'ts, eve
 FROM events""")
 def q_moving_averages(spark, d):
     e = _events(spark, d).select("event_id", "event_type", "ts", "value")
-    out = rolling_mean(e, ["event_type"], ["ts", "event_id"], "value", MAS)
+    out = rolling_mean(e, ["event_type"], ["ts", "event_id"], "value", MAS, method="prefix")
     return out.select("event_id", "event_type", "ts", "value", *[F.round(f"ma{n}", 9).alias(f"ma{n}") for n in MAS])
 
 
@@ -610,6 +611,43 @@ def q_feature_view(spark, d):
     return _features(spark, d)
 
 
+@register("landing_gaps", """
+WITH bars AS (SELECT DISTINCT event_type AS ticker, date_trunc('hour', ts) AS event_time FROM events),
+slots AS (SELECT event_time, row_number() OVER (ORDER BY event_time) AS slot FROM (SELECT DISTINCT event_time FROM bars)),
+universe AS (SELECT ticker FROM bars UNION SELECT n_name FROM nation),
+missing AS (SELECT ticker, slot, event_time FROM universe, slots
+            WHERE NOT EXISTS (SELECT 1 FROM bars b WHERE b.ticker = universe.ticker AND b.event_time = slots.event_time)),
+runs AS (SELECT *, slot - row_number() OVER (PARTITION BY ticker ORDER BY slot) AS run FROM missing)
+SELECT ticker, min(event_time) AS first_missing, max(event_time) AS last_missing, CAST(count(*) AS BIGINT) AS n_missing
+FROM runs GROUP BY ticker, run""")
+def q_landing_gaps(spark, d):
+    """The universe: the keys of events, and the nations, none of which has a bar."""
+    bars = build_bars(_events(spark, d), ["event_type"], "ts", "value", None, "1 hour", tie_break=["event_id"], bar_time="event_time")
+    names = _events(spark, d).select("event_type").union(table(spark, d, "nation").select("n_name"))
+    return landing_gaps(bars.withColumnRenamed("event_type", "ticker"), names, strategy="auto")
+
+
+@register("fact_key_assign", """
+SELECT CAST(count(*) AS BIGINT) AS n_rows, CAST(count(*) AS BIGINT) AS n_keys, CAST(1 AS BIGINT) AS lowest, CAST(count(*) AS BIGINT) AS highest,
+       CAST(count(*) FILTER (WHERE l_shipdate < DATE '1995-06-17') AS BIGINT) AS kept
+FROM (SELECT DISTINCT ON (l_orderkey, l_linenumber) l_orderkey, l_linenumber,
+             min(l_shipdate) OVER (PARTITION BY l_orderkey, l_linenumber) AS l_shipdate FROM lineitem)""")
+def q_fact_key_assign(spark, d):
+    """Keys of a fact in two loads, the second holding all rows of the first: dense,
+    unique, and kept through the merge."""
+    rows = table(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("ticker_key"), F.col("l_linenumber").alias("event_time")).agg(
+        F.min("l_shipdate").alias("day"))
+    early = rows.where(F.col("day") < F.lit("1995-06-17").cast("date"))
+    none = early.select("ticker_key", "event_time", F.lit(None).cast("long").alias("fact_price_key")).limit(0)
+    first = staged(gold.with_fact_keys(early, none, 0), "first_load")
+    high = first.agg(F.max("fact_price_key")).first()[0] or 0
+    second = staged(gold.with_fact_keys(rows, first, high), "second_load")
+    same = first.select("ticker_key", "event_time", F.col("fact_price_key").alias("before"))
+    kept = second.join(same, ["ticker_key", "event_time"], "left")
+    return kept.agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct("fact_price_key").alias("n_keys"), F.min("fact_price_key").alias("lowest"),
+                    F.max("fact_price_key").alias("highest"), F.count_if(F.col("fact_price_key") == F.col("before")).alias("kept"))
+
+
 @register("validation_snapshot", GOLD_CTES + """
 SELECT (SELECT CAST(count(*) AS BIGINT) FROM dim_ticker) AS dim_ticker_count,
        (SELECT CAST(count(*) AS BIGINT) FROM dim_date) AS dim_date_count,

@@ -19,6 +19,7 @@ from pyspark.sql import SparkSession
 from .functions.time import utc_now_second
 from .plans import gold, silver
 from .plans.windows import EmptyWindow, batch_slices, load_window
+from .session import scratch_path
 
 
 def _date(s: str | None) -> dt.date | None:
@@ -37,7 +38,8 @@ def main(argv=None) -> dict:
     s.add_argument("--bronze", required=True)
     s.add_argument("--silver", required=True)
     s.add_argument("--report", required=True)
-    s.add_argument("--mode", choices=["incremental", "full"], default="incremental")
+    s.add_argument("--mode", choices=["incremental", "full", "changes"], default="incremental")
+    s.add_argument("--since", default=None, help="changes: carry in the bronze files written since this UTC time")
     s.add_argument("--target-date", default=dt.date.today().isoformat())
     s.add_argument("--lookback-days", type=int, default=45)
     s.add_argument("--start-date", default=None)
@@ -60,7 +62,13 @@ def main(argv=None) -> dict:
 
     spark = SparkSession.builder.appName(f"barlake-{args.cmd}").getOrCreate()
     run_ts = utc_now_second()
-    if args.cmd == "silver":
+    if args.cmd == "silver" and args.mode == "changes":
+        if not args.since:
+            raise SystemExit("--mode changes needs --since")
+        changes = silver.landed_since(spark, args.bronze, args.since)
+        out = silver.run_silver_changes(spark, args.bronze, args.silver, args.report, changes, run_ts.replace(" ", "T") + "Z", zone=args.zone,
+                                        lookback_days=args.lookback_days)
+    elif args.cmd == "silver":
         out = silver.run_silver(spark, args.bronze, args.silver, args.report, args.mode, _date(args.target_date),
                                 run_ts.replace(" ", "T") + "Z", start_date=_date(args.start_date),
                                 lookback_days=args.lookback_days, zone=args.zone)
@@ -73,6 +81,9 @@ def main(argv=None) -> dict:
         slices = [(start, end)]
         try:
             if args.batch_days:  # bound each load to N days; each slice is one distributed job
+                if args.layout == "mixed":  # every file is read once, not once a slice
+                    args.silver = gold.canonical_copy(spark, args.silver, scratch_path(spark, "canonical"))
+                    args.layout = "canonical"
                 days = gold.gold_dates(gold.load_silver(spark, args.silver, args.layout), args.zone)
                 slices = batch_slices(*load_window(days, "full_date", start, end), args.batch_days)
         except EmptyWindow as nothing:

@@ -28,7 +28,9 @@ def order_key(df: DataFrame, time: str, tie_break: Sequence[str]) -> Column:
     if not tie_break:
         return micros
     # twice the range of a bigint, so a tie-break never reaches the next microsecond
-    packed = micros * F.lit("20000000000000000000").cast("decimal(20,0)") + F.col(tie_break[0]).cast("decimal(19,0)")
+    # and a null, which comes first like in a struct, lies below it
+    tie = F.coalesce(F.col(tie_break[0]).cast("decimal(19,0)"), F.lit("-9300000000000000000").cast("decimal(19,0)"))
+    packed = micros * F.lit("20000000000000000000").cast("decimal(20,0)") + tie
     return packed.cast("decimal(38,0)")
 
 

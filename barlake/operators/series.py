@@ -198,7 +198,8 @@ def series_windows(
 ) -> DataFrame:
     """Forward-fill ``fill_cols`` (last non-null, unbounded preceding) and then
     add the columns returned by ``build(window_spec) -> list[Column]`` which may
-    reference the filled columns; frames may reach ``halo_before`` rows back and
+    reference the filled columns (several such functions: one after the other,
+    columns named ``_bl_*`` being theirs alone); frames may reach ``halo_before`` rows back and
     ``halo_after`` rows ahead. ``strategy``: ``chunked``, ``direct`` or
     ``auto`` (direct only if the largest series is measured to fit one chunk)."""
     keys, order, fill_cols = _names(keys), _names(order), list(fill_cols)
@@ -219,13 +220,14 @@ def series_windows(
                     e = F.coalesce(e, carry[i])
                 filled.append(e.alias(c))
             frame = frame.select(*[c for c in frame.columns if c not in fill_cols], *filled)
-        extra = build(spec) if build else []
-        return frame.select("*", *extra)
+        for step in build if isinstance(build, (list, tuple)) else [build] if build else []:
+            frame = frame.select("*", *step(spec))  # a later step may use an earlier one's columns
+        return frame
 
     if strategy == "direct":
         spec = Window.partitionBy(*keys).orderBy(*order)
         out = apply(df, spec, None)
-        extra_names = [c for c in out.columns if c not in cols]
+        extra_names = [c for c in out.columns if c not in cols and not c.startswith("_bl_")]
         return out.select(*cols, *extra_names)
 
     if strategy != "chunked":
@@ -261,9 +263,44 @@ def moving_average_columns(col: str, windows=(10, 20, 50, 200), prefix: str = "m
     return build
 
 
+#: Prefix sums: decimals of a value, and the bound of its magnitude. A sum of 10^10
+#: such values fits a decimal(38).
+PREFIX_SCALE, PREFIX_LIMIT = 15, 10**13
+
+
+def prefix_average_columns(col: str, windows=(10, 20, 50, 200), prefix: str = "ma"):
+    """Averages over row frames by differences of prefix sums: one decimal addition
+    a row whatever the frames are, and exact where a frame's double additions drift.
+    A chunk's sums begin at its halo, whose first row no frame of the chunk
+    outreaches, so they need no carry."""
+    c = F.col(col)
+    value = F.when(c.isNotNull() & ~(F.abs(c) < PREFIX_LIMIT), F.raise_error(F.lit(f"{col}: prefix sums take finite values below {PREFIX_LIMIT}"))).otherwise(
+        c.cast(f"decimal(28,{PREFIX_SCALE})"))
+
+    def sums(spec: Window) -> list[Column]:
+        upto = spec.rowsBetween(Window.unboundedPreceding, 0)
+        return [F.sum(value).over(upto).alias("_bl_sum"), F.count(c).over(upto).alias("_bl_n")]
+
+    def differences(spec: Window) -> list[Column]:
+        out = []
+        for n in windows:
+            before = [F.coalesce(F.lag(x, n).over(spec), F.lit(0)) for x in ("_bl_sum", "_bl_n")]
+            total, count = F.coalesce(F.col("_bl_sum"), F.lit(0)) - before[0], F.col("_bl_n") - before[1]
+            out.append(F.when(count > 0, total.cast("double") / count).alias(f"{prefix}{n}"))
+        return out
+
+    return [sums, differences]
+
+
 def rolling_mean(df: DataFrame, keys, order, col: str, windows=(10, 20, 50, 200),
-                 prefix: str = "ma", **kw) -> DataFrame:
-    """Mean of the last n rows (partial at series start, NULL-skipping)."""
+                 prefix: str = "ma", method: str = "frame", **kw) -> DataFrame:
+    """Mean of the last n rows (partial at series start, NULL-skipping). ``frame``
+    adds up every frame (NaN spreads); ``prefix`` takes :func:`prefix_average_columns`,
+    an error for values that are not finite or too large."""
+    if method == "prefix":
+        return series_windows(df, keys, order, build=prefix_average_columns(col, windows, prefix), halo_before=max(windows) - 1, **kw)
+    if method != "frame":
+        raise ValueError(f"unknown method {method!r}")
     return series_windows(df, keys, order, build=moving_average_columns(col, windows, prefix),
                           halo_before=max(windows) - 1, **kw)
 

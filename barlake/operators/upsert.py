@@ -7,9 +7,11 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import staged
+
 Expr = Callable[[Callable[[str], Column], Callable[[str], Column]], Column]
 
 
@@ -59,6 +61,20 @@ def upsert(
     return j.select(*out)
 
 
+def number_rows(df: DataFrame, key: str, first: int) -> DataFrame:
+    """``df`` with ``key``: first, first + 1, ... without gaps. Every partition takes
+    a range as long as itself; no sort and no shuffle, whatever the size. The rows
+    are staged, so a lost executor cannot number them differently."""
+    pid = F.spark_partition_id()
+    rows = staged(df.withColumn("_bl_pid", pid).withColumn("_bl_off", F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), 33)), "numbered")
+    sizes = rows.groupBy("_bl_pid").agg(F.count(F.lit(1)).alias("_bl_n"))
+    # one row per partition: the window and the broadcast are tiny
+    before = Window.orderBy("_bl_pid").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("_bl_pid", (F.coalesce(F.sum("_bl_n").over(before), F.lit(0)) + first).alias("_bl_start"))
+    out = rows.join(F.broadcast(starts), "_bl_pid").withColumn(key, F.col("_bl_start") + F.col("_bl_off"))
+    return out.drop("_bl_pid", "_bl_off", "_bl_start")
+
+
 def assign_keys(existing: DataFrame | None, members: DataFrame, natural: Sequence[str] | str,
                 key: str) -> DataFrame:
     """Surrogate keys: existing members keep theirs; new members (left anti

@@ -3,6 +3,8 @@ view, published as Parquet tables with idempotent upserts."""
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -12,12 +14,14 @@ from ..functions.time import date_attributes, round_to_second, to_price
 from ..operators.clean import dedupe_keep_last
 from ..operators.constraints import check_constraints, enforce_constraints
 from ..operators.series import lead_target, pick_strategy
-from ..operators.upsert import assign_keys, upsert
+from ..operators.upsert import assign_keys, number_rows, upsert
 from ..session import delete_path, staged, staging_scope
+from ..sources.path_index import files_in_window, path_index
 from ..sources.scan import dataset_exists, read_with_path_key, scan_partitioned
 from ..sources.sinks import publish
 from ..sources.versions import apply_pending as complete_silver
 from .windows import EmptyWindow
+from .windows import _date as as_date
 
 #: Length of a ticker in the serving layer's schema.
 TICKER_CHARS = 16
@@ -45,6 +49,7 @@ DIM_DATE_SCHEMA = T.StructType([
     T.StructField("is_weekend", T.BooleanType(), False),
 ])
 FACT_PRICES_SCHEMA = T.StructType([
+    T.StructField("fact_price_key", T.LongType(), False),
     T.StructField("ticker_key", T.LongType(), False),
     T.StructField("date_key", T.IntegerType(), False),
     T.StructField("event_time", T.TimestampNTZType(), False),
@@ -53,11 +58,15 @@ FACT_PRICES_SCHEMA = T.StructType([
     *[T.StructField(c, T.DecimalType(19, 4), True) for c in ("ma10", "ma20", "ma50", "ma200")],
     T.StructField("load_ts_utc", T.TimestampNTZType(), False),
 ])
-SCHEMAS = {"dim_ticker": DIM_TICKER_SCHEMA, "dim_date": DIM_DATE_SCHEMA, "fact_prices": FACT_PRICES_SCHEMA}
+#: The highest fact_price_key given out: a load need not read all facts to go on.
+FACT_KEYS_SCHEMA = T.StructType([T.StructField("high", T.LongType(), False)])
+SCHEMAS = {"dim_ticker": DIM_TICKER_SCHEMA, "dim_date": DIM_DATE_SCHEMA, "fact_prices": FACT_PRICES_SCHEMA, "fact_keys": FACT_KEYS_SCHEMA}
 
 
-PARTITIONS = {"dim_ticker": [], "dim_date": [], "fact_prices": ["date_key"]}
-SORTS = {"dim_ticker": [], "dim_date": [], "fact_prices": ["ticker_key", "event_time"]}
+PARTITIONS = {"dim_ticker": [], "dim_date": [], "fact_prices": ["date_key"], "fact_keys": []}
+SORTS = {"dim_ticker": [], "dim_date": [], "fact_prices": ["ticker_key", "event_time"], "fact_keys": []}
+#: Second access path: files and row groups of a day without the ticker are skipped.
+BLOOM = {"fact_prices": ["ticker_key"]}
 
 
 def ensure_tables(spark: SparkSession, gold_root: str) -> dict[str, bool]:
@@ -83,7 +92,7 @@ DIM_TICKER_COLUMNS = ["ticker_key", "ticker", "sector", "exchange", "is_active",
 DIM_DATE_COLUMNS = ["date_key", "full_date", "year", "quarter", "month", "day", "day_of_week", "is_weekend"]
 
 
-def load_silver(spark: SparkSession, path: str, layout: str = "canonical") -> DataFrame:
+def load_silver(spark: SparkSession, path: str, layout: str = "canonical", start=None, end=None) -> DataFrame:
     """Silver rows, with the time their file was written.
 
     ``canonical``: silver partitioned by trade_date, so a filter on it becomes
@@ -95,9 +104,15 @@ def load_silver(spark: SparkSession, path: str, layout: str = "canonical") -> Da
         raise EmptyWindow(f"no silver data at {path}")
     written = F.col("_metadata.file_modification_time").alias(WRITTEN)
     if layout == "canonical":
-        return scan_partitioned(spark, path, types={"ticker": "string"}).select("*", written)
+        rows = scan_partitioned(spark, path, types={"ticker": "string"})
+        if "written_at" in rows.columns:  # a copy knows when its rows were written first
+            return rows.withColumnRenamed("written_at", WRITTEN)
+        return rows.select("*", written)
     if layout == "mixed":
-        return read_with_path_key(spark, path, extra=[written])
+        files = files_in_window(path_index(spark, path), start, end)
+        if not files:
+            raise EmptyWindow(f"no silver file in the window at {path}")
+        return read_with_path_key(spark, *files, extra=[written])
     raise ValueError(f"unknown layout {layout!r}")
 
 
@@ -108,6 +123,15 @@ def gold_dates(silver: DataFrame, zone: str = "Asia/Ho_Chi_Minh") -> DataFrame:
     return silver.select(F.to_date(round_to_second(local)).alias("full_date"))
 
 
+def canonical_copy(spark: SparkSession, path: str, out: str) -> str:
+    """Mixed silver written once by trade date (of the event time's UTC day), so that
+    any number of windows reads each of its files once. Returns ``out``."""
+    rows = load_silver(spark, path, "mixed").withColumnRenamed(WRITTEN, "written_at")
+    rows = rows.select(*[c for c in rows.columns if c.lower() != "trade_date"], F.to_date("event_time").alias("trade_date"))
+    publish(rows, out, ["trade_date"], sort_by=["ticker", "event_time"])
+    return out
+
+
 def gold_base(silver: DataFrame, zone: str = "Asia/Ho_Chi_Minh") -> DataFrame:
     """Typed silver rows, one per (ticker, event_time): the event time is shown
     as wall clock in ``zone``, rounded to the second (what the serving layer
@@ -189,6 +213,24 @@ def upsert_fact(existing: DataFrame | None, staged: DataFrame) -> DataFrame:
     return upsert(existing.select(*FACT_COLUMNS), staged, ["ticker_key", "event_time"]).select(*FACT_COLUMNS)
 
 
+def with_fact_keys(facts: DataFrame, old: DataFrame, high: int) -> DataFrame:
+    """``facts`` with fact_price_key: rows of ``old`` (by ticker and time) keep
+    theirs, new ones go on from ``high`` in ranges by partition."""
+    known = old.select("ticker_key", "event_time", "fact_price_key")
+    keyed = staged(facts.join(known, ["ticker_key", "event_time"], "left"), "keyed_facts")
+    new = number_rows(keyed.where("fact_price_key IS NULL").drop("fact_price_key"), "fact_price_key", high + 1)
+    return keyed.where("fact_price_key IS NOT NULL").unionByName(new)
+
+
+def highest_fact_key(spark: SparkSession, gold_root: str) -> int:
+    """As recorded with the last load (one row); of tables from before that record,
+    the largest in the facts."""
+    high = read_table(spark, gold_root, "fact_keys").agg(F.max("high")).first()[0]
+    if high is None:
+        high = read_table(spark, gold_root, "fact_prices").agg(F.max("fact_price_key")).first()[0]
+    return high or 0
+
+
 def feature_rows(fact: DataFrame, dim_ticker: DataFrame, dim_date: DataFrame) -> DataFrame:
     """The feature view's rows without the target: fact joined to both dimensions."""
     return (
@@ -232,6 +274,7 @@ def check_staged(tables: dict[str, DataFrame]) -> DataFrame:
         check_constraints(ticker, "dim_ticker", pk=["ticker"]),
         check_constraints(date, "dim_date", pk=["date_key"], not_null=required["dim_date"]),
         check_constraints(date, "dim_date", pk=["full_date"]),
+        check_constraints(fact, "fact_prices", pk=["fact_price_key"]),
         check_constraints(fact, "fact_prices", pk=["ticker_key", "event_time"], not_null=required["fact_prices"],
                           fks={"ticker_key": (ticker, "ticker_key"), "date_key": (date, "date_key")}),
         ticker.agg(F.count_if(F.length("ticker") > TICKER_CHARS).alias("violations")).select(
@@ -256,9 +299,11 @@ def apply_pending(spark: SparkSession, gold_root: str) -> bool:
     pending = _pending(gold_root)
     ready = dataset_exists(spark, f"{pending}/_READY")
     if ready:
-        for name in ("dim_ticker", "dim_date", "fact_prices"):
+        for name in SCHEMAS:
+            if not dataset_exists(spark, f"{pending}/{name}"):
+                continue  # staged before the table was introduced
             table = spark.read.schema(SCHEMAS[name]).parquet(f"{pending}/{name}")
-            publish(table, f"{gold_root}/{name}", PARTITIONS[name], "incremental" if PARTITIONS[name] else "full", SORTS[name])
+            publish(table, f"{gold_root}/{name}", PARTITIONS[name], "incremental" if PARTITIONS[name] else "full", SORTS[name], BLOOM.get(name, ()))
         delete_path(spark, f"{pending}/_READY")
     if dataset_exists(spark, pending):
         delete_path(spark, pending)
@@ -281,7 +326,8 @@ def run_gold(spark: SparkSession, silver_path: str, gold_root: str, load_ts: str
     bronze date."""
     apply_pending(spark, gold_root)
     with staging_scope():
-        silver = load_silver(spark, silver_path, layout)
+        slack = dt.timedelta(days=1)
+        silver = load_silver(spark, silver_path, layout, as_date(start) - slack if start else None, as_date(end) + slack if end else None)
         if layout == "canonical" and start:
             silver = silver.filter(F.col("trade_date") >= F.date_sub(F.lit(str(start)).cast("date"), 1))
         if layout == "canonical" and end:
@@ -309,7 +355,10 @@ def run_gold(spark: SparkSession, silver_path: str, gold_root: str, load_ts: str
         # list: static PartitionFilters on date_key, no scan of other days.
         touched = [r[0] for r in rows.select("date_key").distinct().collect()]
         old = read_table(spark, gold_root, "fact_prices").where(F.col("date_key").isin(touched))
-        facts = stage(upsert_fact(old, rows), "fact_prices")
+        high = highest_fact_key(spark, gold_root)
+        facts = stage(with_fact_keys(upsert_fact(old, rows), old, high), "fact_prices")
+        top = facts.agg(F.coalesce(F.greatest(F.max("fact_price_key"), F.lit(high)), F.lit(high)).alias("high"))
+        stage(top, "fact_keys")
         checked = {"dim_ticker": tickers, "dim_date": dates, "fact_prices": facts}
         enforce_constraints(check_staged(checked))
         spark.range(0).write.parquet(f"{pending}/_READY")

@@ -87,13 +87,13 @@ def path_key(pattern: str = r"/ticker=([^/]+)") -> Column:
     return F.nullif(F.url_decode(raw), F.lit(""))
 
 
-def read_with_path_key(spark: SparkSession, root: str, key: str = "ticker",
+def read_with_path_key(spark: SparkSession, *roots: str, key: str = "ticker",
                        pattern: str = r"/ticker=([^/]+)", schema: StructType | None = None,
                        extra: Sequence[Column] = ()) -> DataFrame:
     """Recursive read of a dataset with mixed layouts. The key is the first
     non-null of: the data's own column of that name (in any case), the folder.
     ``extra``: further columns, e.g. of the file's metadata."""
-    df = scan_recursive(spark, root, schema=schema, merge=True)
+    df = scan_recursive(spark, *roots, schema=schema, merge=True)
     own = [c for c in df.columns if c.lower() == key.lower()]
     sources = [F.col(c).cast("string") for c in own] + [path_key(pattern)]
     return df.select(*[c for c in df.columns if c not in own], F.coalesce(*sources).alias(key), *extra)

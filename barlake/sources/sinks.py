@@ -15,7 +15,7 @@ MAX_RECORDS_PER_FILE = 4_000_000
 
 
 def _write(df: DataFrame, path: str, partition_by: Sequence[str], mode: str, overwrite_mode: str | None,
-           sort_by: Sequence[str] = (), cluster: str = "range") -> None:
+           sort_by: Sequence[str] = (), cluster: str = "range", bloom: Sequence[str] = ()) -> None:
     """``range``: range partitioning on (partition columns, sort columns) —
     each task writes a contiguous slice, a directory gets few files, and a
     huge partition value (one day holding a third of the data) is split over
@@ -31,6 +31,8 @@ def _write(df: DataFrame, path: str, partition_by: Sequence[str], mode: str, ove
             df = df.repartitionByRange(*[F.col(c) for c in partition_by + sort_by])
         df = df.sortWithinPartitions(*partition_by, *sort_by)
     w = df.write.mode(mode).option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
+    for c in bloom:  # for row groups whose dictionary is too large to skip by
+        w = w.option(f"parquet.bloom.filter.enabled#{c}", "true")
     if overwrite_mode:
         w = w.option("partitionOverwriteMode", overwrite_mode)
     if partition_by:
@@ -39,14 +41,15 @@ def _write(df: DataFrame, path: str, partition_by: Sequence[str], mode: str, ove
 
 
 def publish(df: DataFrame, path: str, partition_by: Sequence[str] = (), mode: str = "full",
-            sort_by: Sequence[str] = ()) -> None:
+            sort_by: Sequence[str] = (), bloom: Sequence[str] = ()) -> None:
     """``full``: static overwrite — the dataset is rebuilt and stale partitions
     disappear. ``incremental``: dynamic overwrite — only partitions present in
     ``df`` are replaced. The option is per write, never session-wide.
-    ``df`` must not read ``path`` itself (use :func:`staged_overwrite`)."""
+    ``df`` must not read ``path`` itself (use :func:`staged_overwrite`).
+    ``bloom``: columns with Parquet Bloom filters, a second access path."""
     if mode not in ("full", "incremental"):
         raise ValueError(f"unknown publish mode {mode!r}")
-    _write(df, path, partition_by, "overwrite", "static" if mode == "full" else "dynamic", sort_by)
+    _write(df, path, partition_by, "overwrite", "static" if mode == "full" else "dynamic", sort_by, bloom=bloom)
 
 
 def append(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:

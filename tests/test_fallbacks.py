@@ -38,5 +38,6 @@ def test_overlapping_gold_windows_equal_one_load(spark, tmp_root):
     gold.run_gold(spark, path, one, LOAD_TS)
     gold.run_gold(spark, path, two, LOAD_TS, end="2024-01-15")
     snap = gold.run_gold(spark, path, two, LOAD_TS, start="2024-01-10")
-    fact = _rows(gold.read_table(spark, two, "fact_prices"))
-    assert fact == _rows(gold.read_table(spark, one, "fact_prices")) and snap["fact_prices_count"] == len(fact) > 0
+    facts = [gold.read_table(spark, root, "fact_prices") for root in (one, two)]
+    fact = _rows(facts[1].drop("fact_price_key"))
+    assert fact == _rows(facts[0].drop("fact_price_key")) and snap["fact_prices_count"] == len(fact) > 0
