@@ -838,7 +838,7 @@ def q_path_key_recovery(spark, d):
     # two historical layouts under one root: trade_date=/ticker=/ and ticker=/
     early.write.partitionBy("trade_date", "ticker").parquet(root)
     late.write.mode("append").partitionBy("ticker").parquet(f"{root}/legacy")
-    return read_with_path_key(spark, root, "ticker").select("event_id", "ticker", "ts", "value")
+    return read_with_path_key(spark, root, key="ticker").select("event_id", "ticker", "ts", "value")
 
 
 @register("partition_overwrite", """
