@@ -31,6 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.upsert import number_rows
 from .components import components
 from .decontamination import bitmap, passing
 from .staging import staged
@@ -41,6 +42,9 @@ from .words import WordHashes, mix, shingles, signed, utf8
 ROWS, MISS = 5, 1e-7
 #: Partners of a centre that are compared in one group.
 BLOCK = 256
+#: Nodes of a shingle's prefixes in a block, and ways in which a shingle's rows part
+#: before their number is known.
+PREFIX_BLOCK, SALT = 256, 16
 
 
 def band_count(similarity: float, rows: int = ROWS, miss: float = MISS) -> int:
@@ -101,13 +105,13 @@ def _sketched(docs: DataFrame, id_col: str, text_col: str, words: int, bands: in
                  pa.array(keys, pa.list_(pa.int64()))], names=["id", "text_hash", "n", "print", "keys"])
 
     text = F.col(text_col).cast("string")
-    return docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text).alias("text_hash"), text.alias("t")).mapInArrow(
-        run, "id long, text_hash long, n long, print binary, keys array<long>")
+    rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("text_hash"), text.alias("t"))
+    return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, text_hash long, n long, print binary, keys array<long>")
 
 
 def _compared(pairs: DataFrame, texts: DataFrame, words: int) -> DataFrame:
     """(a, b, both): shingles that the texts of nodes a and b share, on full
-    sets. ``pairs`` is distinct; ``texts`` has (node, n, t) once a node."""
+    sets. ``pairs`` is distinct; ``texts`` has (node, t), also repeatedly."""
     many = pairs.groupBy("a").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
     put = pairs.join(many, "a").select("a", F.pmod(F.xxhash64("b"), "blocks").alias("block"), "b")
     centres = put.select("a", "block").distinct().select("a", "block", F.col("a").alias("node"))
@@ -116,15 +120,18 @@ def _compared(pairs: DataFrame, texts: DataFrame, words: int) -> DataFrame:
     rows = rows.repartition("a", "block").sortWithinPartitions("a", "block", "partner", "node")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, group, centre = WordHashes(), None, None
+        hashes, group, centre, last = WordHashes(), None, None, None
         for batch in batches:
             out: list[tuple[int, int, int]] = []
             for a, block, node, text in zip(*(batch.column(c).to_pylist() for c in ("a", "block", "node")),
                                             utf8(batch.column("t"))):
+                if (a, block, node) == last:
+                    continue
+                last = (a, block, node)
                 found = np.unique(shingles(hashes.of(text), words))
                 if (a, block) != group:
                     group, centre = (a, block), found
-                elif node != a:
+                else:
                     out.append((a, node, len(np.intersect1d(centre, found, assume_unique=True))))
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*out)] or [pa.array([], pa.int64())] * 3,
                                              names=["a", "b", "both"])
@@ -174,23 +181,27 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Defined cases: a null or empty text, or one without words, has no shingles
     and is linked with nothing; a text with fewer words than a shingle is one
     shingle as a whole. Every row gives a row: repeated rows have equal results,
-    rows with one id but several texts are judged by their own text. A row with a
-    null id has no node: its component_id is null and it is kept. Other columns
-    of ``docs`` are not looked at. An empty table gives an empty result."""
+    rows with one id but several texts are judged, and linked, by their own
+    text. Ids are of any type that has an order. A
+    row with a null id has no node: its component_id is null and it is kept. Other
+    columns of ``docs`` are not looked at. An empty table gives an empty result."""
     bands = band_count(percent / 100)
     rows = staged(_sketched(docs, id_col, text_col, words, bands), "sketches")
     solid = rows.where("id IS NOT NULL AND n > 0")
-    first = solid.groupBy("print").agg(F.min("id").alias("node"))
-    reps = solid.join(first.select("print", F.col("node").alias("id")), ["print", "id"], "left_semi")
-    member = reps.select("id", "n", F.explode("keys").alias("bucket"))
-    centre = member.groupBy("bucket").agg(F.min("id").alias("a"), F.max("id").alias("z")).where("a <> z").drop("z")
-    members = staged(member.join(centre, "bucket").select("bucket", "a", F.col("id").alias("b"), F.col("n").alias("nb")),
+    # A node is a set of shingles, whatever rows have it; its row of the smallest id stands for it.
+    first = solid.groupBy("print").agg(F.min(F.struct("id", "text_hash")).alias("row")).select("print", "row.id", "row.text_hash")
+    first = staged(number_rows(first, "node", 0), "nodes")
+    reps = solid.join(first, ["print", "id", "text_hash"])
+    member = reps.select("node", "n", F.explode("keys").alias("bucket"))
+    centre = member.groupBy("bucket").agg(F.min("node").alias("a"), F.max("node").alias("z")).where("a <> z").drop("z")
+    members = staged(member.join(centre, "bucket").select("bucket", "a", F.col("node").alias("b"), F.col("n").alias("nb")),
                      "members")
 
-    sizes = members.groupBy("b").agg(F.max("nb").alias("nb"))
-    texts = docs.select(F.col(id_col).cast("long").alias("node"), F.col(text_col).cast("string").alias("t"))
-    texts = staged(texts.join(sizes.select(F.col("b").alias("node")), "node", "left_semi"), "texts")
-    sizes = staged(sizes, "sizes")
+    sizes = staged(members.groupBy("b").agg(F.max("nb").alias("nb")), "sizes")
+    text = F.col(text_col).cast("string")
+    texts = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("text_hash"), text.alias("t"))
+    wanted = first.join(sizes.select(F.col("b").alias("node")), "node", "left_semi").drop("print")
+    texts = staged(texts.join(wanted, ["id", "text_hash"]).select("node", "t"), "texts")
     na = sizes.select(F.col("b").alias("a"), F.col("nb").alias("na"))
     links = _Links(texts, words, percent)
 
@@ -251,17 +262,23 @@ def _rest(links: _Links, members: DataFrame) -> DataFrame:
     held = staged(texts.mapInArrow(run, "node long, shingle long"), "shingles")
     shared = held.groupBy("shingle").agg(F.count("*").alias("df")).where("df > 1")
     ordered = held.join(shared, "shingle", "left").groupBy("node").agg(
-        F.sort_array(F.collect_list(F.struct(F.coalesce("df", F.lit(1)).alias("df"), "shingle"))).alias("order"))
+        F.sort_array(F.collect_set(F.struct(F.coalesce("df", F.lit(1)).alias("df"), "shingle"))).alias("order"))
     n, percent = F.col("n"), links.percent
     length = (n - F.ceil(percent * n / 100) + 1).cast("int")
     prefix = ordered.join(nodes, "node").select("node", "n", "c", F.posexplode(F.slice("order", F.lit(1), length)).alias("at", "s"))
     prefix = staged(prefix.where("s.df > 1").select("node", "n", "c", "at", F.col("s.shingle").alias("shingle")), "prefix")
 
-    bounds = prefix.groupBy("shingle").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low <> high")
-    inner = prefix.join(bounds.drop("high"), "shingle")
-    outer = inner.where("c <> low").select("shingle", *(F.col(x).alias(f"o_{x}") for x in ("node", "n", "c", "at")))
+    # A shingle may be in many prefixes: its nodes are dealt into blocks, and every
+    # block meets every other one under a key of its own.
+    bounds = prefix.groupBy("shingle").agg(F.min("c").alias("low"), F.max("c").alias("high"), F.count("*").alias("nodes")).where("low <> high")
+    bounds = bounds.select("shingle", "low", F.ceil(F.col("nodes") / PREFIX_BLOCK).alias("blocks"), F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))).alias("salt"))
+    salted = prefix.withColumn("salt", F.pmod(F.xxhash64("node", F.lit(1)), F.lit(SALT)).cast("int"))
+    inner = salted.join(bounds, ["shingle", "salt"]).withColumn("own", F.pmod(F.xxhash64("node"), "blocks"))
+    every = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
+    outer = inner.where("c <> low").select("shingle", F.col("own").alias("first"), every.alias("second"), *(F.col(x).alias(f"o_{x}") for x in ("node", "n", "c", "at")))
+    inner = inner.select("shingle", every.alias("first"), F.col("own").alias("second"), "node", "n", "c", "at")
     left = F.least(n - F.col("at"), F.col("o_n") - F.col("o_at"))
-    pairs = outer.join(inner, "shingle").where((F.col("c") != F.col("o_c")) & links.close("n", "o_n")
+    pairs = outer.join(inner, ["shingle", "first", "second"]).where((F.col("c") != F.col("o_c")) & links.close("n", "o_n")
                                                & (percent * (n + F.col("o_n")) <= (100 + percent) * left))
     ends = [F.struct(F.col("node").alias("id"), "n"), F.struct(F.col("o_node").alias("id"), F.col("o_n").alias("n"))]
     pairs = pairs.select(F.least(*ends).alias("x"), F.greatest(*ends).alias("y"))
@@ -270,8 +287,10 @@ def _rest(links: _Links, members: DataFrame) -> DataFrame:
 
 
 def _labelled(rows: DataFrame, first: DataFrame, labels: DataFrame, id_col: str) -> DataFrame:
-    named = first.join(labels.withColumnRenamed("component", "c"), "node", "left").select(
-        "print", F.coalesce("c", "node").alias("component_id"))
+    linked = first.select("node", "id").join(labels, "node")
+    lowest = linked.groupBy("component").agg(F.min("id").alias("low"))
+    of = staged(labels.join(lowest, "component").select("node", "low"), "lowest")
+    named = first.join(of, "node", "left").select("print", F.coalesce("low", "id").alias("component_id"))
     out = rows.select("id", "text_hash", "n", "print").join(named, "print", "left")
     alone = (F.col("n") == 0) | F.col("id").isNull()
     component = F.when(alone, F.col("id")).otherwise(F.col("component_id"))

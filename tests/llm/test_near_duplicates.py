@@ -152,3 +152,35 @@ def test_components_of_paths_stars_and_cycles(spark):
     got = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     want = {i: 0 for i in range(61)} | {200 + i: 100 for i in range(50)} | {100: 100} | {i: 300 for i in (300, 301, 302)}
     assert got == want | {i: 500 for i in range(500, 560)}
+
+
+def test_rows_of_one_id_keep_the_links_of_each_text(spark):
+    b, c = " ".join(f"b{k}" for k in range(60)), " ".join(f"c{k}" for k in range(60))
+    rows = [(3, b), (3, c), (7, b + " x"), (9, c + " y"), (8, "b " + b), (3, b), (7, b + " x")]
+    got = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), words=3, percent=85)
+    assert sorted(tuple(r)[:4] for r in got.collect()) == brute(rows, 3, 85)
+    assert {r.component_id for r in got.collect()} == {3}
+
+
+def test_ids_of_any_type(spark):
+    t = " ".join(f"w{k}" for k in range(40))
+    df = spark.createDataFrame([("b", t), ("a", t + " z"), ("c", "other words here"), (None, t)], "doc_id string, text string")
+    got = {r.doc_id: (r.component_id, r.kept) for r in near_duplicates(df).collect()}
+    assert got == {"b": ("a", False), "a": ("a", True), "c": ("c", True), None: (None, True)}
+
+
+def test_a_shingle_in_very_many_prefixes_is_dealt_into_blocks(spark, monkeypatch):
+    """Near pairs around one common beginning, with repeated rows."""
+    from barlake.llm import near_duplicates as module
+
+    monkeypatch.setattr(module, "PREFIX_BLOCK", 3)
+    rnd = random.Random(11)
+    rows = []
+    for k in range(40):
+        words = [f"common{j}" for j in range(12)] + [f"g{k % 13}w{j}" for j in range(24)]
+        words[rnd.randrange(12, 36)] = f"edit{k}"
+        rows.append((k, " ".join(words)))
+    rows += rows[:5]
+    for words, percent in ((1, 80), (3, 70)):
+        got = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), words=words, percent=percent)
+        assert sorted(tuple(r)[:4] for r in got.collect()) == brute(rows, words, percent)
