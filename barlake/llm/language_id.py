@@ -33,7 +33,8 @@ BINS, TEMPER, BACKGROUND_PRIOR = 1 << 13, 8.0, 1e-3
 NEVER = -30.0
 #: Pseudo-counts of a host's prior (towards its parent) and of P(value | language).
 HOST_WEIGHT, VALUE_WEIGHT = 20.0, 2.0
-#: Levels of a host that have a prior of their own: host, parents, top.
+#: Levels of a host that have a prior of their own: the host, and its last three,
+#: two and one labels.
 LEVELS = 4
 
 _LETTERS = bytes(c if c > 127 or 97 <= c <= 122 else c + 32 if 65 <= c <= 90 else 32 for c in range(256))
@@ -107,9 +108,13 @@ def _posterior(log: Column) -> Column:
 
 
 def level(host: Column, up: int) -> Column:
-    """The host without its first ``up`` labels; null if none are left."""
-    labels = F.split(host, r"\.", -1)
-    return F.when(F.size(labels) > up, F.array_join(F.slice(labels, F.lit(up + 1), F.greatest(F.size(labels) - up, F.lit(0))), "."))
+    """Level 0 is the host; the others are counted from the right, so every host of a
+    domain shares them however deep it is: the last ``LEVELS - up`` labels, null if
+    the host has no more."""
+    if not up:
+        return host
+    labels, n = F.split(host, r"\.", -1), LEVELS - up
+    return F.when(F.size(labels) > n, F.array_join(F.slice(labels, -n, n), "."))
 
 
 def _sums(n: int, prefix: str) -> list[Column]:
@@ -188,10 +193,14 @@ def language_id(rows: DataFrame, model: np.ndarray, id_col: str = "doc_id", text
 
 def page_evidence(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """(id, text, lang, source) of web pages: text without scripts, styles and
-    tags, the language that the markup declares, and the URL's host."""
+    tags, the language that the markup declares, and the URL's host. A script, style
+    or comment that is not closed lasts to the end, a tag to the next one; a "<" that
+    begins no tag is text."""
     html = F.coalesce(F.col(html_col).cast("string"), F.lit(""))
-    text = F.regexp_replace(html, r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>", " ")
-    lang = F.regexp_extract(html, r"(?i)<html\b[^>]*\blang\s*=\s*[\"']?([a-z]+)", 1)
+    # Possessive, and what is never closed runs to the end: one pass however broken the markup is.
+    text = F.regexp_replace(html, r"(?is)<(script|style)\b(?:(?!</\1\s*+>).)*+(?:</\1\s*+>)?|<!--(?:(?!-->).)*+(?:-->)?|<(?=[a-z/!?])[^<>]*+>?", " ")
+    attributes = F.regexp_extract(html, r"(?i)<html\b([^>]*+)", 1)
+    lang = F.regexp_extract(attributes, r"(?i)\blang\s*+=\s*+[\"']?([a-z]++)", 1)
     host = F.regexp_extract(F.coalesce(F.col(url_col).cast("string"), F.lit("")), r"://([^/?#:]+)", 1)
     return pages.select(F.col(id_col).alias(id_col), text.alias("text"), F.when(lang != "", F.lower(lang)).alias("lang"),
                         F.when(host != "", F.lower(host)).alias("source"))

@@ -52,7 +52,7 @@ def test_other_scripts_are_rejected_and_odd_rows_defined(spark, model):
 def test_host_levels(spark):
     df = spark.createDataFrame([("a.b.c",), ("c",), (None,)], "h string")
     assert [tuple(r) for r in df.select(*[level(F.col("h"), k).alias(str(k)) for k in range(4)]).collect()] == [
-        ("a.b.c", "b.c", "c", None), ("c", None, None, None), (None, None, None, None)]
+        ("a.b.c", None, "b.c", "c"), ("c", None, None, None), (None, None, None, None)]
 
 
 def test_trigrams_of_long_texts_are_all_counted():
@@ -79,3 +79,22 @@ def test_query_judges_documents_and_pages(spark):
     said = {r.page_id: r.lang for r in page_evidence(pages).collect()}
     assert set(found) == set(said) and len(got) == docs.count() + pages.count()
     assert np.mean([found[p] == lang for p, lang in said.items() if lang]) > 0.95
+
+
+def test_levels_are_counted_from_the_right(spark):
+    df = spark.createDataFrame([("a.b.c.d.example.com",), ("www.example.com",), ("com",)], "h string")
+    assert [tuple(r) for r in df.select(*[level(F.col("h"), k).alias(str(k)) for k in range(4)]).collect()] == [
+        ("a.b.c.d.example.com", "d.example.com", "example.com", "com"), ("www.example.com", None, "example.com", "com"), ("com", None, None, None)]
+
+
+def test_broken_markup_takes_linear_time(spark):
+    import time
+
+    hostile = [piece * (1_000_000 // len(piece)) for piece in ("<script", "<script>", "<!--", "<", "<html", "<html ", "lang=", "</script ", "<style></script>", "<a")]
+    pages = spark.createDataFrame(list(enumerate(hostile)), "page_id int, html string").selectExpr("page_id", "'http://x.org/' AS url", "html").repartition(4)
+    at = time.monotonic()
+    assert page_evidence(pages).selectExpr("sum(length(text))", "count(lang)").first()[1] == 0
+    assert time.monotonic() - at < 30
+    good = spark.createDataFrame([(1, "http://x.org", "a<script>no</script >b<!-- no -->c<style>no</STYLE>d<p class='x'>1 < 2 e<script>never closed")],
+                                 "page_id int, url string, html string")
+    assert "".join(page_evidence(good).first().text.split()) == "abcd1<2e"
