@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.upsert import number_rows
+from ..operators.series import POS, with_position
 from .components import components
 from .decontamination import bitmap, passing
 from .staging import staged
@@ -188,9 +188,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     bands = band_count(percent / 100)
     rows = staged(_sketched(docs, id_col, text_col, words, bands), "sketches")
     solid = rows.where("id IS NOT NULL AND n > 0")
-    # A node is a set of shingles, whatever rows have it; its row of the smallest id stands for it.
+    # A node is a set of shingles, whatever rows have it; its row of the smallest id stands
+    # for it. Nodes are numbered in the order of ids: originals come before their copies,
+    # and as the centres of stars they have the fewest pairs.
     first = solid.groupBy("print").agg(F.min(F.struct("id", "text_hash")).alias("row")).select("print", "row.id", "row.text_hash")
-    first = staged(number_rows(first, "node", 0), "nodes")
+    first = with_position(staged(first, "prints"), [], ["id", "text_hash", "print"]).withColumnRenamed(POS, "node")
+    first = staged(first, "nodes")
     reps = solid.join(first, ["print", "id", "text_hash"])
     member = reps.select("node", "n", F.explode("keys").alias("bucket"))
     centre = member.groupBy("bucket").agg(F.min("node").alias("a"), F.max("node").alias("z")).where("a <> z").drop("z")
