@@ -226,10 +226,10 @@ def test_the_most_recent_duplicate_survives(spark, tmp_root):
     assert [float(r.close_price) for r in gold.read_table(spark, f"{tmp_root}/g", "fact_prices").collect()] == [5.0]
 
 
-@pytest.mark.parametrize("crash_at", [1, 2, 3, 4, 5, 6])
+@pytest.mark.parametrize("crash_at", [1, 2, 3, 4, 5, 6, 7, 8])
 def test_a_crash_while_loading_loses_nothing(spark, tmp_root, monkeypatch, crash_at):
-    """Publishing fails at each of its six writes in turn (three staged tables,
-    three published); the next run ends as if nothing had happened."""
+    """Publishing fails at each of its eight writes in turn (four staged tables,
+    four published); the next run ends as if nothing had happened."""
     day = dt.datetime(2024, 1, 1, 9)
     silver_rows(spark, f"{tmp_root}/s", [("b", day, 1.0), ("c", day, 1.0)])
     for root in ("g", "clean"):
@@ -241,7 +241,7 @@ def test_a_crash_while_loading_loses_nothing(spark, tmp_root, monkeypatch, crash
     def failing(*args, **kw):
         calls.append(args[1])
         if len(calls) == crash_at:
-            if crash_at > 3:  # leave the target half written
+            if crash_at > 4:  # leave the target half written
                 os.system(f"mv {args[1]} {args[1]}.gone")
             raise OSError("executor and driver are gone")
         return real(*args, **kw)
@@ -250,7 +250,7 @@ def test_a_crash_while_loading_loses_nothing(spark, tmp_root, monkeypatch, crash
     with pytest.raises(OSError):
         gold.run_gold(spark, f"{tmp_root}/s2", f"{tmp_root}/g", LOAD_TS, zone="UTC")
     monkeypatch.setattr(gold, "publish", real)
-    if crash_at == 6:  # a fact table cannot vanish whole: its partitions are replaced one by one
+    if crash_at == 7:  # a fact table cannot vanish whole: its partitions are replaced one by one
         os.system(f"mv {tmp_root}/g/fact_prices.gone {tmp_root}/g/fact_prices; rm {tmp_root}/g/fact_prices/date_key=20240101/*")
     gold.run_gold(spark, f"{tmp_root}/s2", f"{tmp_root}/g", LOAD_TS, zone="UTC")
     assert gold_rows(spark, f"{tmp_root}/g") == gold_rows(spark, f"{tmp_root}/clean")
